@@ -3,9 +3,31 @@
 QUERIES and ORACLES map query names to callables of (session, folder) and to DuckDB SQL.
 """
 
-from . import op2_packing, op4_decontamination, op5_quality_rules, op6_line_dedup, op7_sharding
+from . import (
+    op1_pii,
+    op2_packing,
+    op3_token_counts,
+    op4_decontamination,
+    op5_quality_rules,
+    op6_line_dedup,
+    op7_sharding,
+    op8_substring_dedup,
+    op9_jaccard_join,
+    op10_license_scans,
+)
 
-_MODULES = (op2_packing, op4_decontamination, op5_quality_rules, op6_line_dedup, op7_sharding)
+_MODULES = (
+    op1_pii,
+    op2_packing,
+    op3_token_counts,
+    op4_decontamination,
+    op5_quality_rules,
+    op6_line_dedup,
+    op7_sharding,
+    op8_substring_dedup,
+    op9_jaccard_join,
+    op10_license_scans,
+)
 _NAMES = [m.__name__.rsplit(".", 1)[1] for m in _MODULES]
 
 QUERIES = {name: getattr(m, name) for name, m in zip(_NAMES, _MODULES, strict=True)}

@@ -5,7 +5,7 @@ counted in a histogram of lengths, rounded up to `unit` tokens: at most capacity
 the corpus. On it the driver solves the linear program of cutting stock by column generation: a pattern says how many
 rests of each length share a sequence; dynamic programming over the knapsack finds the pattern that the current
 prices undervalue most; when none is left, or the bound on the optimum is close, patterns are used as often as the
-solution rounded down says, and the few rests that remain are placed first fit by decreasing length.
+solution rounded down says, and the few rests that remain are placed largest first.
 
 Every rest then finds its place by arithmetic: it is ranked within its length (two_level_rank: no length, however
 common, meets in one task) and a small table says which ranks of a length belong to which sequences.
@@ -27,7 +27,7 @@ from .common import arrow_map, col, list_array, out_batch, stack, staged, two_le
 from .tokenizing import chunk_ids, public_path
 
 CAPACITY = 4096
-UNIT = 16
+UNIT = 8
 #: The end id that closes each document, as little-endian bytes.
 END = (2).to_bytes(4, "little")
 
@@ -80,21 +80,48 @@ def best_pattern(prices: np.ndarray, sizes: np.ndarray, room: int) -> tuple[floa
     return float(best[room]), use
 
 
-def solve(sizes: np.ndarray, demand: np.ndarray, room: int, gap: float = 1e-3, rounds: int = 4000) -> list[tuple[Counter, float]]:
-    """Patterns and how often each is used, of the linear program min sum(x), pattern counts @ x = demand.
-
-    Revised simplex; a column enters when prices make it worth over 1. It ends at the optimum, or when the bound on
-    it is within gap.
+def greedy(left: dict[int, int], room: int) -> list[tuple[Counter, int]]:
+    """Sequences for all of left, largest rests first: a pattern is filled with the largest that fit and used while they last."""
+    left = {s: n for s, n in left.items() if n > 0}
+    made = []
+    while left:
+        use, free = Counter(), room
+        for s in sorted(left, reverse=True):
+            if n := min(left[s], free // s):
+                use[s] = n
+                free -= n * s
+        times = min(left[s] // n for s, n in use.items())
+        made.append((use, times))
+        for s, n in use.items():
+            left[s] -= n * times
+            if not left[s]:
+                del left[s]
+    return made
+
+
+def solve(sizes: np.ndarray, demand: np.ndarray, room: int, known: list[Counter], gap: float = 1e-3, rounds: int = 3000) -> list[tuple[Counter, float]]:
+    """Patterns (of indexes of sizes) and how often each is used, of the linear program min sum(x), pattern counts @ x = demand.
+
+    Revised simplex; a column enters when prices make it worth over 1: of the known patterns as long as there is one,
+    then the one that the knapsack finds. It ends at the optimum, or when the bound on it is within gap.
     """
     m = len(sizes)
     patterns = [Counter({i: int(room // s)}) for i, s in enumerate(sizes)]
     inverse = np.diag([1.0 / (room // s) for s in sizes])
     x = inverse @ demand
+    pool = np.zeros((len(known), m))
+    for k, use in enumerate(known):
+        for i, n in use.items():
+            pool[k, i] = n
     for _ in range(rounds):
         prices = inverse.sum(0)
-        value, use = best_pattern(prices, sizes, room)
-        if value <= 1 + 1e-9 or x.sum() * (1 - 1 / value) <= gap * x.sum():
-            break
+        worth = pool @ prices
+        if len(known) and worth.max() > 1 + 1e-6:
+            use = known[int(worth.argmax())]
+        else:
+            value, use = best_pattern(prices, sizes, room)
+            if value <= 1 + 1e-9 or x.sum() * (1 - 1 / value) <= gap * x.sum():
+                break
         column = np.zeros(m)
         for i, n in use.items():
             column[i] = n
@@ -115,32 +142,23 @@ def solve(sizes: np.ndarray, demand: np.ndarray, room: int, gap: float = 1e-3, r
 
 def plan(histogram: dict[int, int], room: int) -> list[tuple[Counter, int]]:
     """Patterns (size: how many) and how many sequences follow each; they hold the histogram exactly."""
-    sizes = np.array(sorted(k for k in histogram if histogram[k] > 0), np.int64)
-    if not len(sizes):
+    left = {int(s): int(n) for s, n in histogram.items() if n > 0}
+    if not left:
         return []
-    left = {int(s): int(histogram[int(s)]) for s in sizes}
+    sizes = np.array(sorted(left), np.int64)
+    first = greedy(left, room)
+    index = {int(s): i for i, s in enumerate(sizes)}
+    known = [Counter({index[s]: n for s, n in p.items()}) for p, _ in first]
     made: list[tuple[Counter, int]] = []
-    for use, x in solve(sizes, np.array([left[int(s)] for s in sizes], float), room):
+    for use, x in solve(sizes, np.array([left[int(s)] for s in sizes], float), room, known):
         p = Counter({int(sizes[i]): n for i, n in use.items()})
         times = min([int(x + 1e-6), *(left[s] // n for s, n in p.items())])
         if times > 0:
             made.append((p, times))
             for s, n in p.items():
                 left[s] -= n * times
-    # what rounding left over: at most a few rests for each pattern
-    bins: list[list] = []
-    for s in sorted(left, reverse=True):
-        while left[s]:
-            for b in bins:
-                if b[0] >= s:
-                    break
-            else:
-                bins.append(b := [room, Counter()])
-            n = min(left[s], b[0] // s)
-            b[0] -= n * s
-            b[1][s] += n
-            left[s] -= n
-    return made + [(b[1], 1) for b in bins]
+    made += greedy(left, room)  # what rounding left over: at most a few rests for each pattern
+    return min(made, first, key=lambda x: sum(t for _, t in x))
 
 
 def place(cut: DataFrame, capacity: int = CAPACITY, unit: int = UNIT) -> DataFrame:
