@@ -1 +1 @@
-"""Functions of the library."""
+"""Column functions: text keys, mixes of named weights, vectors and signals."""

@@ -1 +1 @@
-"""Operators of the library."""
+"""Operators: DataFrames in, DataFrame out. Wherever order decides, it is a column, never the order of rows."""

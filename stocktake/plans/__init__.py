@@ -1,4 +1,6 @@
 """Query plans over the driver tables: QUERIES (name -> callable) and ORACLES (name -> DuckDB SQL)."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import assign, content, reconcile, signals, stats
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "assign", "content", "reconcile", "signals", "stats"]

@@ -1 +1 @@
-"""Sources of the library."""
+"""Sources: timelines, JSON documents, clip inventories, archives, logs. All keep an explicit order of rows."""

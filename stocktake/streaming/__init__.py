@@ -1 +1 @@
-"""Streaming of the library."""
+"""Incremental runs: what is new since the last run, keyed by content."""
