@@ -12,9 +12,10 @@ while a navigation line under a thousand different articles counts a thousand ti
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +30,11 @@ STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repe
 LINES = "lines array<struct<line:long,other:long,words:long>>"
 
 
+def line_hash(line: bytes) -> int:
+    """63 bits of the normalised line's MD5, which SQL has as well."""
+    return int.from_bytes(hashlib.md5(line.strip().lower()).digest()[:8], "big") >> 1
+
+
 def repeated_words(h: np.ndarray, window: int = WINDOW) -> int:
     """Words inside windows of words that the text has twice or more."""
     n = len(h) - window + 1
@@ -70,7 +76,7 @@ def text_stats(df: DataFrame, host_col: str) -> DataFrame:
             repeats.append(repeated_words(np.fromiter(map(known.__getitem__, words), np.uint64, len(words))) if len(words) > WINDOW else 0)
             own: dict[int, int] = {}
             for x in lines:
-                k = xxhash.xxh3_64_intdigest(x.strip().lower()) >> 1
+                k = line_hash(x)
                 own[k] = own.get(k, 0) + len(x.split())
             least = sorted(own)[:2]
             for k, n in own.items():
@@ -138,5 +144,38 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(stack(spark, sf_dir, "documents"))
 
 
-#: Hashes of lines pick which documents are told apart, so SQL can't follow; tests hold the query against brute force.
-SQL = None
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+SQL = rf"""
+with docs as (
+  select doc_id, source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), windows as (
+  select doc_id, i, count(*) over (partition by doc_id, win) as times
+  from (select doc_id, i, array_to_string(w[i:i + 7], ' ') as win from (select doc_id, w, unnest(range(1, len(w) - 6)) as i from docs))
+), repeats as (
+  select doc_id, count(distinct spot) as n from (select doc_id, unnest(range(i, i + 8)) as spot from windows where times > 1) group by doc_id
+), lines as (
+  select doc_id, source, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as words
+  from (select doc_id, source, unnest(string_split(text, chr(10))) as line from docs) where regexp_matches(line, '[^\x20\x09-\x0D]')
+), dups as (
+  select doc_id, count(*) - count(distinct line) as n from lines group by doc_id
+), keyed as (
+  select doc_id, source, ('0x' || left(md5(translate(trim(line, {_BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')), 16))::ubigint >> 1 as k, words from lines
+), own as (
+  select doc_id, source, k, sum(words) as words, row_number() over (partition by doc_id order by k) as spot from keyed group by doc_id, source, k
+), told as (
+  select o.*, x.k as other from own o left join own x on o.doc_id = x.doc_id and x.spot = case when o.spot = 1 then 2 else 1 end
+), frequent as (
+  select source, k from (select source, k, count(distinct coalesce(other::hugeint, -1)) as docs from told group by source, k)
+  join (select source, count(*) as n from docs group by source) using (source) where docs > 20 and docs > 0.002 * n
+), lost as (
+  select doc_id, cast(sum(words) as bigint) as n from own join frequent using (source, k) group by doc_id
+), counted as (
+  select d.doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+         coalesce(u.n, 0) as n_dup_lines, coalesce(r.n, 0) as n_repeat_words, coalesce(l.n, 0) as n_boilerplate_words
+  from docs d left join dups u on d.doc_id = u.doc_id left join repeats r on d.doc_id = r.doc_id left join lost l on d.doc_id = l.doc_id
+)
+select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+       not (n_words < 20 or 100 * n_repeat_words > 30 * n_words) and n_words - n_boilerplate_words >= 0.3 * n_words as kept
+from counted
+"""

@@ -74,7 +74,7 @@ def quality(docs, max_docs, max_share, min_left):
     """docs: (id, text, host) -> kept by id."""
     own, hosts = {}, Counter()
     holders = defaultdict(set)
-    order = lambda k: __import__("xxhash").xxh3_64_intdigest(k.encode()) >> 1  # noqa: E731  which line tells documents apart
+    order = lambda k: int(hashlib.md5(k.encode()).hexdigest()[:16], 16) >> 1  # noqa: E731  which line tells documents apart
     for d, text, host in docs:
         keys = Counter()
         for x in (text or "").split("\n"):
