@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -19,7 +21,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it; a local one only where it is unset (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="stocktake-")
+        own = tempfile.mkdtemp(prefix="stocktake-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        path = f"file://{own}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 

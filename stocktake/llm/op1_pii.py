@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, col, list_array, out_batch, stack, staged
+from .common import arrow_map, col, out_batch, stack, staged
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -110,7 +110,11 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
             e -= 1
         while k < len(spans) and spans[k][1] <= s:
             k += 1
-        if s < e and not any(a < e and b > s for a, b in spans[k : k + 8]) and (kinds := shape(text[s:e])):
+        j, free = k, s < e
+        while free and j < len(spans) and spans[j][0] < e:
+            free = spans[j][1] <= s
+            j += 1
+        if free and (kinds := shape(text[s:e])):
             out.append((s, e, kinds))
     return out
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, col, list_array, out_batch, stack, staged, texts
+from .common import arrow_map, col, out_batch, stack, staged, texts
 
 _WORD = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 #: Lower-cases A-Z and makes every byte that is in no word a blank.
@@ -218,5 +218,27 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(stack(spark, sf_dir, "documents"), stack(spark, sf_dir, "benchmark")).drop("spans", "items")
 
 
-#: Window by window in SQL this is too slow over whole tables; tests hold it against brute force.
-SQL = None
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL = f"""
+with items as (
+  select cast(item_id as varchar) as item, {_WORDS} as w from benchmark
+), windows as (
+  select distinct item, least(len(w), 10) as n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as win
+  from (select item, w, unnest(range(1, greatest(len(w) - 8, 2))) as i from items where len(w) > 0)
+), docs as (
+  select doc_id, {_WORDS} as w from documents
+), hits as (
+  select distinct doc_id, i, n, item
+  from (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as win
+        from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from docs cross join (select distinct n from windows)))
+  join windows using (n, win)
+), words as (
+  select doc_id, count(distinct spot) as n_hit from (select doc_id, unnest(range(i, i + n)) as spot from hits) group by doc_id
+), found as (
+  select doc_id, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as listed from hits group by doc_id
+)
+select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs d left join words h on d.doc_id = h.doc_id left join found f on d.doc_id = f.doc_id
+"""

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, col, list_array, out_batch, stack, texts
+from .common import arrow_map, col, out_batch, stack, texts
 
 
 def key_of(line: bytes) -> bytes:

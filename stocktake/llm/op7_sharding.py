@@ -71,5 +71,28 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave(stack(spark, sf_dir, "documents"))
 
 
-#: crc32 is not in DuckDB: the driver's comparison is of equal columns, so a table of the 256 remainders is built in SQL and folded.
-SQL = None
+#: DuckDB has no crc32: the 256 remainders are made by rule and folded over the bytes.
+SQL = """
+with rows as (
+  select doc_id, coalesce(text, '') as text, case when source is null then 'n' else 's' || source end as stratum,
+         ('0x' || left(md5('shards:' || doc_id), 15))::bigint as k
+  from documents
+), remainders as (
+  select list(list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t
+  from range(256) r(i)
+), checked as (
+  select doc_id, strlen(text) + 1 as size, stratum, k,
+         xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: ('0x' || x)::bigint)),
+                         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as text_crc32
+  from rows cross join remainders
+), ranked as (
+  select *, (2 * row_number() over (partition by stratum order by k, doc_id, text_crc32, size) - 1)::double
+            / (2 * count(*) over (partition by stratum))::double as frac
+  from checked
+), placed as (
+  select *, row_number() over (order by frac, stratum, k, doc_id, text_crc32, size) - 1 as pos, count(*) over () as total from ranked
+)
+select doc_id, size, text_crc32, 'rows' as law, cast((8 * (pos + 1) - 1) // total as integer) as shard,
+       pos - ((8 * (pos + 1) - 1) // total * total) // 8 as slot, cast(null as integer) as grown_shard
+from placed
+"""

@@ -374,5 +374,21 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-#: Windows of all documents in SQL are too slow over whole tables; tests hold the query against brute force.
-SQL = None
+SQL = r"""
+with docs as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), windows as (
+  select doc_id, i, array_to_string(w[i:i + 19], ' ') as win from (select doc_id, w, unnest(range(1, len(w) - 18)) as i from docs)
+), later as (
+  select doc_id, i from windows qualify row_number() over (partition by win order by doc_id, i) > 1
+), gone as (
+  select distinct doc_id, unnest(range(i, i + 20)) as spot from later
+), words as (
+  select doc_id, unnest(range(1, len(w) + 1)) as spot, unnest(w) as word from docs
+), kept as (
+  select x.doc_id, count(*) as n, string_agg(word, ' ' order by x.spot) as text
+  from words x left join gone g on x.doc_id = g.doc_id and x.spot = g.spot where g.spot is null group by x.doc_id
+)
+select d.doc_id, len(w) as n_words, len(w) - coalesce(k.n, 0) as n_removed, sha256(coalesce(k.text, '')) as kept_sha256
+from docs d left join kept k on d.doc_id = k.doc_id
+"""

@@ -101,8 +101,6 @@ def test_tokens_merge_back():
 
 
 def test_token_counts(docs, frame):
-    import tiktoken
-
     path = tokenizing.public_path("byte_bpe_50k.tiktoken")
     known = tokenizing.token_lengths(path)
     got = {}
