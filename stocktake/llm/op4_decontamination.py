@@ -184,11 +184,13 @@ def contamination(df: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str
 
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, n: int = 10, remove: str = "documents", text_col: str = "text", **options) -> DataFrame:
-    """df without contaminated rows (remove="documents"), or with the hit words cut out of their texts (remove="spans")."""
-    if {"n_words", "spans", "items"} & set(df.columns):
-        raise ValueError("n_words, spans and items are names of this operator's own columns")
+    """df without contaminated rows (remove="documents"), or with the hit words cut out of their texts (remove="spans").
+
+    All columns of df stay, whatever their names; nulls, empty texts and repeated rows as in contamination().
+    """
     names = df.columns
-    plain = df if text_col == "text" else df.withColumnRenamed(text_col, "text")
+    inner = ["text" if c == text_col else f"_{i}" for i, c in enumerate(names)]
+    plain = df.toDF(*inner)
     found = scan(plain.withColumn("text", F.col("text").cast("string")), benchmark, n, **options)
     if remove == "documents":
         kept = found.where(F.size("items") == 0).drop("n_words", "spans", "items")
@@ -211,7 +213,7 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, n: int = 10, remove: str
             return out_batch(**arrays | {"text": pa.array(out, pa.binary()).cast(pa.string())})
 
         kept = arrow_map(found, cut, found.drop("n_words", "spans", "items").schema)
-    return (kept if text_col == "text" else kept.withColumnRenamed("text", text_col)).select(*names)
+    return kept.select(*inner).toDF(*names)
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

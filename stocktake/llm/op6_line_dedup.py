@@ -59,12 +59,14 @@ def dedup_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col: s
     frequent = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("_docs"), F.max("id").alias("_keeper")).where(F.col("_docs") >= min_docs)
     lost = pairs.join(frequent.select("key", "_keeper"), "key").where(F.col("id") < F.col("_keeper"))
     lost = lost.groupBy(F.col("id").alias("_id")).agg(F.collect_list("key").alias("_lost"))
-    own = df.drop("n_lines", "n_dropped")
-    joined = own.withColumn(text_col, F.col(text_col).cast("string")).join(lost, own[id_col] == lost["_id"], "left").drop("_id")
+    kept = [c for c in df.columns if c not in ("n_lines", "n_dropped")]
+    inner = ["text" if c == text_col else f"_{i}" for i, c in enumerate(kept)]
+    own = df.select(*kept).toDF(*inner).withColumn("text", F.col("text").cast("string"))
+    joined = own.join(lost, F.col(inner[kept.index(id_col)]) == F.col("_id"), "left").drop("_id")
 
     def rebuild(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, lines, dropped = [], [], []
-        for b, gone in zip(texts(batch, text_col), col(batch, "_lost").to_pylist(), strict=True):
+        for b, gone in zip(texts(batch), col(batch, "_lost").to_pylist(), strict=True):
             own = b.split(b"\n")
             lines.append(len(own))
             if gone:
@@ -76,11 +78,11 @@ def dedup_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col: s
                 dropped.append(0)
             kept.append(b)
         arrays = {f: col(batch, f) for f in batch.schema.names if f != "_lost"}
-        arrays[text_col] = pa.array(kept, pa.binary()).cast(pa.string())
+        arrays["text"] = pa.array(kept, pa.binary()).cast(pa.string())
         return out_batch(**arrays, n_lines=pa.array(lines, pa.int64()), n_dropped=pa.array(dropped, pa.int64()))
 
     schema = T.StructType([*joined.drop("_lost").schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    return arrow_map(joined, rebuild, schema)
+    return arrow_map(joined, rebuild, schema).toDF(*kept, "n_lines", "n_dropped")
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

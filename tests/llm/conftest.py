@@ -53,8 +53,8 @@ def frame(spark):
     """A DataFrame of (id, text, host) with further columns whose names the operators use themselves."""
 
     def make(docs):
-        rows = [(d, t, s, 1, 2, "z", None) for d, t, s in docs]
-        return spark.createDataFrame(rows, "doc_id long, text string, source string, id int, n int, key string, component int").repartition(3)
+        rows = [(d, t, s, 1, 2, "z", None, 5, 6) for d, t, s in docs]
+        return spark.createDataFrame(rows, "doc_id long, text string, source string, id int, n int, key string, component int, spans int, _id int").repartition(3)
 
     return make
 
