@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space as Python's str.isspace() has it; Java's class lacks the separators U+001C to U+001F.
 BLANK = r"(?U)[\s\x1c-\x1f]"
@@ -23,7 +24,7 @@ SHORTEST_SECONDS = 0.6
 
 
 def _form(name: str):
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def normal(s: pd.Series) -> pd.Series:
         return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize(name, x), na_action="ignore")
 
@@ -49,7 +50,7 @@ def fingerprint(text: Column, normalised: bool = False) -> Column:
     return F.when(n == "", F.lit("")).otherwise(F.substring(F.sha2(n, 256), 1, FINGERPRINT_LENGTH))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unaccented(s: pd.Series) -> pd.Series:
     def plain(x):
         return x if x is None or x.isascii() else "".join(c for c in unicodedata.normalize("NFD", x) if not unicodedata.combining(c))
@@ -181,7 +182,7 @@ def option_pairs(options: Column) -> Column:
 def parse_mix(spec: Column, allowed: list[str] | None = None) -> Column:
     """map name -> weight. A bare name weighs 1, names are lower-cased, the last of equal names wins, empty parts are
     skipped. With `allowed`, an unknown name or an empty mix is an error; without, anything goes."""
-    parts = F.filter(F.transform(F.split(spec, r"\+"), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(spec, r"\+"), lambda p: F.trim(p)), lambda p: p != "")
 
     def add(acc: Column, part: Column) -> Column:
         bits = F.split(part, ":", 2)

@@ -13,21 +13,35 @@ from .rows import first_of
 def as_of(left: DataFrame, right: DataFrame, on: str, value: str, by: list[str] = (), name: str | None = None) -> DataFrame:
     """Left rows with the value of the right row at, or else next below, their `on`; null before the first.
 
-    Both sides meet in one sorted pass per key, without a range join. If several right rows claim a key, pass them
-    through first_of() before.
+    Both sides meet in one sorted pass per key, without a range join. Without keys the pass is cut at quantiles of the
+    right side: each run is filled by itself, and what a run ends with is carried into the next. If several right rows
+    claim a key, pass them through first_of() before.
     """
     name, by = name or value, list(by)
     l = left.withColumn("_row", F.struct(*left.columns)).select(*by, F.col(on).alias("_on"), F.lit(1).alias("_side"), F.col("_row"), F.lit(None).cast(right.schema[value].dataType).alias("_v"))
     r = right.select(*by, F.col(on).alias("_on"), F.lit(0).alias("_side"), F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), F.col(value).alias("_v"))
-    w = (W.partitionBy(*by) if by else W.partitionBy(F.lit(1))).orderBy("_on", "_side").rowsBetween(W.unboundedPreceding, 0)
-    filled = l.unionByName(r).withColumn("_v", F.last("_v", ignorenulls=True).over(w))
+    both, keys = l.unionByName(r), by
+    if not by:
+        runs = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        cuts = right.agg(F.percentile_approx(on, [i / runs for i in range(1, runs)], 10_000)).first()[0] if runs > 1 else None
+        edges = F.array(*map(F.lit, sorted(set(cuts or ())))) if cuts else F.array().cast("array<int>")
+        run = F.size(F.filter(edges, lambda e: e <= F.col("_on"))) if cuts else F.lit(0)
+        both, keys = both.withColumn("_run", run), ["_run"]
+    w = W.partitionBy(*keys).orderBy("_on", "_side").rowsBetween(W.unboundedPreceding, 0)
+    filled = both.withColumn("_v", F.last("_v", ignorenulls=True).over(w))
+    if not by:
+        ends = both.where("_v is not null").groupBy("_run").agg(F.max_by("_v", "_on").alias("_end"))
+        every = left.sparkSession.range(len(set(cuts or ())) + 1).select(F.col("id").cast("int").alias("_run"))
+        before = F.last("_end", ignorenulls=True).over(W.partitionBy(F.lit(1)).orderBy("_run").rowsBetween(W.unboundedPreceding, -1))
+        carried = every.join(ends, "_run", "left").select("_run", before.alias("_before"))  # a row for each run
+        filled = filled.join(F.broadcast(carried), "_run", "left").withColumn("_v", F.coalesce("_v", "_before"))
     return filled.where("_side = 1").select("_row.*", F.col("_v").alias(name))
 
 
-def as_of_ranges(left: DataFrame, small: DataFrame, on: str, value: str, limit: int = 100_000) -> DataFrame:
-    """The same for a right side without keys that is small: it becomes sorted intervals, looked up by binary search in an array literal-sized row.
+def as_of_ranges(left: DataFrame, small: DataFrame, on: str, value: str, limit: int = 1_000) -> DataFrame:
+    """The same for a right side of up to `limit` rows: each left row looks it up in one sorted array, and left isn't shuffled.
 
-    Left isn't shuffled. Beyond `limit` right rows it falls back to as_of().
+    Beyond the limit it is as_of().
     """
     if small.limit(limit + 1).count() > limit:
         return as_of(left, small, on, value)

@@ -52,15 +52,38 @@ def seeded_sample(df: DataFrame, keys: list[str], id_col: str, n: int, seed: int
     return head_of(df, keys, [F.xxhash64(F.lit(seed), F.col(id_col)), F.col(id_col)], n)
 
 
+def with_group(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """df with the columns of its group's one row; null keys are a group too."""
+    other = groups.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], *[c for c in groups.columns if c not in keys])
+    on = [df[k].eqNullSafe(other[f"_g{i}"]) for i, k in enumerate(keys)]
+    return df.join(other, on).drop(*[f"_g{i}" for i in range(len(keys))])
+
+
+def position_in(df: DataFrame, keys: list[str], coarse: str, fine: str, position: str, size: str) -> DataFrame:
+    """0-based position of each row in its key by (coarse, fine), and the key's size.
+
+    Rows are numbered inside (key, coarse) only and counts do the rest, so no key's rows meet in one task.
+    """
+    counts = df.groupBy(*keys, coarse).agg(F.count(F.lit(1)).alias("_n"))
+    w = W.partitionBy(*keys)
+    before = F.coalesce(F.sum("_n").over(w.orderBy(coarse).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select(*keys, coarse, before.alias("_start"), F.sum("_n").over(w).alias(size))
+    inside = F.row_number().over(W.partitionBy(*keys, coarse).orderBy(fine))
+    return with_group(df, starts, [*keys, coarse]).withColumn(position, F.col("_start") + inside - 1).drop("_start")
+
+
 def stratified_longest(df: DataFrame, keys: list[str], number: str, text: str, order: str, k: int) -> DataFrame:
     """The longest text in each of k equal runs of the rows sorted by number; of equals the first.
 
     Rows without a number only count for keys where no row has one. Runs differ by one row at most, the longer first.
     """
-    any_dated = F.max(F.col(number).isNotNull()).over(W.partitionBy(*keys))
-    dated = df.withColumn("_dated", any_dated).where(F.col(number).isNotNull() | ~F.col("_dated"))
-    cut = F.ntile(k).over(W.partitionBy(*keys).orderBy(F.coalesce(number, F.lit(0)), order))
-    return best_of(dated.withColumn("bucket", cut).drop("_dated"), [*keys, "bucket"], F.length(text), [F.coalesce(number, F.lit(0)), order])
+    dated = df.groupBy(*keys).agg(F.max(F.col(number).isNotNull()).alias("_dated"))
+    used = with_group(df, dated, keys).where(F.col(number).isNotNull() | ~F.col("_dated")).drop("_dated")
+    placed = position_in(used.withColumn("_coarse", F.coalesce(number, F.lit(0))), keys, "_coarse", order, "_pos", "_of")
+    longer = F.expr(f"(_of % {k}) * (_of div {k} + 1)")
+    bucket = F.when(F.col("_pos") < longer, F.expr(f"_pos div (_of div {k} + 1)")).otherwise(F.col("_of") % k + F.expr(f"(_pos - (_of % {k}) * (_of div {k} + 1)) div greatest(_of div {k}, 1)")) + 1
+    cut = placed.withColumn("bucket", bucket.cast("int"))
+    return best_of(cut, [*keys, "bucket"], F.length(text), ["_coarse", order]).drop("_coarse", "_pos", "_of")
 
 
 def round_robin(df: DataFrame, open_rows: Column, order: str | list, pool: list[str], taken: DataFrame | None, column: str, reserve: list[str] | None = None) -> DataFrame:

@@ -219,3 +219,15 @@ def job_plan(voices: DataFrame) -> DataFrame:
 
 def megabytes(bytes_: Column) -> Column:
     return F.sum(bytes_) / 1e6
+
+
+def console_table(df: DataFrame, widths: dict[str, int]) -> str:
+    """Columns of fixed width, in the frame's order, for a person to read."""
+    lines = ["".join(c.ljust(w) for c, w in widths.items()).rstrip()]
+    lines += ["".join(("" if x is None else str(x)).ljust(w) for x, w in zip(r, widths.values(), strict=True)).rstrip() for r in df.select(*widths).collect()]
+    return "\n".join(lines)
+
+
+def write_report(df: DataFrame, path: str) -> None:
+    """Rows of a metric report as JSON lines, by Spark."""
+    df.write.mode("overwrite").json(path)

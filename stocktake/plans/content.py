@@ -84,7 +84,7 @@ def census_roles(t):
     return found.withColumn("members", F.array_join("members", ","))
 
 
-@query("select c_custkey, 1000 + cast(list_sum(list_transform(string_split(c_name, ''), x -> ascii(x))) as integer) % 10000 as seed from customer")
+@query("select c_custkey, 1000 + cast(list_sum(list_transform(string_split(c_name, ''), lambda x: ascii(x))) as integer) % 10000 as seed from customer")
 def byte_sum_seed(t):
     return t.customer.select("c_custkey", X.byte_sum_seed(F.col("c_name"), 1000).alias("seed"))
 
@@ -109,10 +109,10 @@ def clip_names(t):
 
 @query("""
 select doc_id, greatest(0.6, length(text) / 14.0::double) as expected, regexp_matches(text, '[0-9A-Za-zÀ-ÿ]') as pronounceable,
-       regexp_replace(left(text, 40), '\\|', '\\\\|', 'g') as cell, 'chapter_' || lpad(cast(doc_id % 100 as varchar), 2, '0') as file,
+       replace(left(text, 40), '|', chr(92) || '|') as cell, 'chapter_' || lpad(cast(doc_id % 100 as varchar), 2, '0') as file,
        translate('aiden:0.7+' || lang || ':0.3', ':.+', '--_') as spec
 from documents
-""".replace("'\\|', '\\\\|'", r"'\|', '\\\\|'"))
+""")
 def text_scalars(t):
     text = F.col("text")
     return t.documents.select(

@@ -32,9 +32,9 @@ def present_semi(t):
     return R.still_demanded(t.orders.select("o_orderkey", "o_orderstatus"), demanded, ["o_orderkey"])
 
 
-@query("select c_custkey, c_mktsegment from customer where c_custkey not in (select o_custkey from orders)")
+@query("select c_custkey, c_mktsegment from customer where c_custkey not in (select o_custkey from orders where o_orderstatus = 'P')")
 def work_list(t):
-    return R.missing(t.customer.select("c_custkey", "c_mktsegment"), t.orders.select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    return R.missing(t.customer.select("c_custkey", "c_mktsegment"), t.orders.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
 
 
 @query("""
@@ -178,8 +178,8 @@ def status_board(t):
     return board.select(F.col("slug").alias("n_nationkey"), "n_name", F.col("choice.r_name").alias("region"), "files")
 
 
-@query("select distinct lang || '-' || source as label from documents where doc_id % 2 = 0 intersect select distinct lang || '-' || source from documents where doc_id % 2 = 1")
+@query("select distinct lang || '-' || source as label from documents where doc_id % 3 = 0 intersect select distinct lang || '-' || source from documents where doc_id % 3 = 1")
 def shared_labels(t):
     label = F.concat_ws("-", "lang", "source").alias("label")
     d = t.documents
-    return d.where("doc_id % 2 = 0").select(label).intersect(d.where("doc_id % 2 = 1").select(label)).orderBy("label")
+    return d.where("doc_id % 3 = 0").select(label).intersect(d.where("doc_id % 3 = 1").select(label)).orderBy("label")

@@ -65,7 +65,7 @@ def weighted_mix(t):
 @query("""
 with s as (select vec_id, embedding::double[] as v from embeddings)
 select vec_id, round(20 * log10(sqrt(list_dot_product(v, v) / 64) + 1e-10), 6) as rms_db,
-       len(list_filter(list_transform(range(4), i -> sqrt(list_dot_product(v[i*16+1:i*16+16], v[i*16+1:i*16+16]) / 16)), r -> r > 0.1)) / 4.0::double as active from s
+       len(list_filter(list_transform(range(4), lambda i: sqrt(list_dot_product(v[i*16+1:i*16+16], v[i*16+1:i*16+16]) / 16)), lambda r: r > 0.1)) / 4.0::double as active from s
 """)
 def signal_level(t):
     return t.embeddings.select("vec_id", F.round(V.rms_db(F.col("embedding")), 6).alias("rms_db"), V.active_share(F.col("embedding"), 16, 0.1).alias("active"))

@@ -7,6 +7,7 @@ import struct
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 
@@ -18,7 +19,7 @@ def json_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def json_docs(spark: SparkSession, keys: DataFrame, path: str, schema: str, key: str = "path") -> DataFrame:
     """One document per wanted path; a missing or broken one is a row of nulls."""
-    texts = spark.read.format("binaryFile").load(path).select(F.col("path").alias("_p"), F.decode("content", F.lit("UTF-8")).alias("_body"))
+    texts = spark.read.format("binaryFile").load(path).select(F.col("path").alias("_p"), F.decode("content", "UTF-8").alias("_body"))
     read = texts.withColumn("doc", F.from_json("_body", schema, {"mode": "PERMISSIVE"})).drop("_body")
     return keys.join(read, keys[key] == read["_p"], "left").drop("_p")
 
@@ -45,14 +46,17 @@ def candidates(spark: SparkSession, glob: str, choices: str) -> DataFrame:
     )
 
 
-def clips(spark: SparkSession, path: str, recursive: bool = True, pattern: str = "*.ogg", over_bytes: int = -1) -> DataFrame:
-    """(path, clip, folder, bytes, modified) of clips larger than over_bytes; contents aren't read."""
+def clips(spark: SparkSession, path: str, recursive: bool = True, pattern: str = "*.ogg", over_bytes: int = 0) -> DataFrame:
+    """(path, clip, folder, bytes, modified) of clips larger than over_bytes; contents aren't read.
+
+    Spark's file sources pass over empty files, so an empty clip is never there.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower()).load(path)
     stem = F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1)
     return files.where(F.col("length") > over_bytes).select("path", stem.alias("clip"), folder_name("path").alias("folder"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ogg_seconds(content: pd.Series) -> pd.Series:
     """Length of an Ogg Vorbis file from its headers: last granule over sample rate; 0 if either is missing."""
 
@@ -143,6 +147,28 @@ def manifest_files(manifests: DataFrame) -> DataFrame:
     return manifests.select(F.explode("voix").alias("voix", "v")).select("voix", F.posexplode("v.fichiers").alias("ord", "f")).select("voix", "ord", "f.*")
 
 
+def read_waves(spark: SparkSession, path: str) -> DataFrame:
+    """(path, rate, channels): PCM WAV files; channels has a row of floats in -1 to 1 for each sample."""
+    import io
+    import wave
+
+    import numpy as np
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for name, data in zip(pdf["path"], pdf["content"], strict=True):
+                with wave.open(io.BytesIO(data)) as w:
+                    width, n = w.getsampwidth(), w.getnchannels()
+                    raw = np.frombuffer(w.readframes(w.getnframes()), {1: "u1", 2: "<i2", 4: "<i4"}[width]).astype(np.float64)
+                    x = (raw - 128) / 128 if width == 1 else raw / 2.0 ** (8 * width - 1)
+                    out.append((name, w.getframerate(), x.reshape(-1, n).tolist()))
+            yield pd.DataFrame(out, columns=["path", "rate", "channels"])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    return files.mapInPandas(run, "path string, rate int, channels array<array<double>>")
+
+
 def waves(df: DataFrame, channels: str = "channels") -> DataFrame:
     """Adds wave: the mean of the channels of each sample."""
     from ..functions.signal import downmix

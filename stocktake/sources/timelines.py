@@ -21,7 +21,7 @@ def read_whole(spark: SparkSession, path: str, recursive: bool = False, pattern:
     """(path, timeline, content); a missing path is an error."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower()).load(path)
     stem = F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1)
-    return files.select("path", F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B"))).alias("timeline"), F.decode("content", F.lit("UTF-8")).alias("content"))
+    return files.select("path", F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B"))).alias("timeline"), F.decode("content", "UTF-8").alias("content"))
 
 
 def split_lines(files: DataFrame, content: str = "content") -> DataFrame:

@@ -14,7 +14,7 @@ def timeline_stream(spark: SparkSession, path: str, recursive: bool = True) -> D
     schema = "path string, modificationTime timestamp, length long, content binary"
     files = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.dtl").option("recursiveFileLookup", str(recursive).lower()).load(path)
     stem = F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1)
-    whole = files.select("path", stem.alias("timeline"), F.decode("content", F.lit("UTF-8")).alias("content"))
+    whole = files.select("path", stem.alias("timeline"), F.decode("content", "UTF-8").alias("content"))
     return timelines.utterances(timelines.split_lines(whole))
 
 

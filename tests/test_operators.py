@@ -32,6 +32,15 @@ def test_stage_of(spark):
     assert {r.ch: r.stage for r in wide.collect()} == {0: None, 1: None, 2: None} | {k: v for k, v in got.items() if k > 1}
 
 
+def test_as_of_without_keys_carries_over_runs(spark):
+    left = spark.range(0, 300).select(F.col("id").cast("int").alias("x"))
+    right = spark.createDataFrame([(x, f"v{x}") for x in range(7, 290, 9) if not 100 < x < 220], "x int, v string")
+    claims = sorted(r.x for r in right.collect())
+    want = {x: next((f"v{c}" for c in reversed(claims) if c <= x), None) for x in range(300)}
+    assert {r.x: r.v for r in M.as_of(left, right, "x", "v").collect()} == want
+    assert {r.v for r in M.as_of(left, right.limit(0), "x", "v").collect()} == {None}
+
+
 def test_nearest_takes_the_first_of_equals(spark):
     df = spark.createDataFrame([(1, 15.0), (2, None)], "id int, x double")
     got = [(r.id, r.target) for r in M.nearest(df, [("a", 10.0), ("b", 20.0)], F.col("x")).collect()]

@@ -82,8 +82,8 @@ def test_scalars(spark):
 
 
 def test_mixes(spark):
-    mixes = values(spark, ["Aiden", "a:0.5+B:2", "a:1+a:3", "a++b", ""], X.parse_mix)
-    assert mixes == [{"aiden": 1.0}, {"a": 0.5, "b": 2.0}, {"a": 3.0}, {"a": 1.0, "b": 1.0}, {}]
+    mixes = values(spark, ["Aiden", "a:10+B:2", "a:1+a:3", "a++b", ""], X.parse_mix)
+    assert mixes == [{"aiden": 1.0}, {"a": 10.0, "b": 2.0}, {"a": 3.0}, {"a": 1.0, "b": 1.0}, {}]
     assert values(spark, ["a:1+b:3", "a+b"], lambda c: X.dominant(X.parse_mix(c))) == ["b", "a"]
     assert values(spark, ["a:1+b:3"], lambda c: X.mix_share(X.parse_mix(c), ["b"])) == [0.75]
     assert values(spark, ["a+b", "a"], lambda c: X.mix_kinds(X.parse_mix(c), {"a": "M", "b": "F"})) == ["F+M", "M"]
