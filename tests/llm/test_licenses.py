@@ -21,7 +21,7 @@ def test_against_sql(spark):
 ROWS = [
     (1, "Licensed under the Apache License, Version 2.0.\ncode", "a/LICENSE"),
     (2, "no statement", "a/b/c/x"),
-    (3, "This is released under the MIT License\n", "a/b/LICENSE"),
+    (3, "Released under the MIT License.\n", "a/b/LICENSE"),
     (4, None, "a/b/c/d/y"),
     (5, "", "z/q"),
     (6, "text\nAll rights reserved.", "a/b/c/w"),
