@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 
 #: All boundaries of str.splitlines(); a carriage return and line feed are one.
-LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 #: Fixed value: the grammar of an utterance, 'Speaker: text'.
 UTTERANCE = r"(?U)^([A-Za-zÀ-ÿ][\w '\-À-ÿ]*)[\s\x1c-\x1f]*:[\s\x1c-\x1f]*([^\n]+)$"
 
@@ -21,7 +21,7 @@ def read_whole(spark: SparkSession, path: str, recursive: bool = False, pattern:
     """(path, timeline, content); a missing path is an error."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower()).load(path)
     stem = F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1)
-    return files.select("path", F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B"))).alias("timeline"), F.decode("content", "UTF-8").alias("content"))
+    return files.select("path", stem.alias("timeline"), F.decode("content", "UTF-8").alias("content"))
 
 
 def split_lines(files: DataFrame, content: str = "content") -> DataFrame:
