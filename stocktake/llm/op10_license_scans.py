@@ -48,11 +48,15 @@ def has_anchor(text: Column) -> Column:
     return found
 
 
-def statement_scores(df: DataFrame, min_score: float) -> DataFrame:
-    """(_row, license, score, line): the best statement of each row of (_row, text) that has one."""
-    spark = df.sparkSession
-    lines = df.where(has_anchor(F.col("text"))).select("_row", F.posexplode(F.split("text", "\n")).alias("line", "said")).where(has_anchor(F.col("said")))
-    lines = staged(lines, "license-lines")
+def anchored_lines(text: Column) -> Column:
+    """array<struct<line, said>>: the lines with an anchor; most texts have none and aren't split."""
+    every = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("said")))
+    return F.when(has_anchor(text), F.filter(every, lambda x: has_anchor(x["said"])))
+
+
+def statement_scores(lines: DataFrame, min_score: float) -> DataFrame:
+    """(_row, license, score, line): the best statement of each row with lines (_row, line, said), staged."""
+    spark = lines.sparkSession
     counted = lines.select("_row", "line", F.explode(terms(F.col("said"))).alias("term")).groupBy("_row", "line", "term").agg(F.count(F.lit(1)).alias("tf"))
     counted = staged(counted, "license-terms")
     template = spark.createDataFrame(list(TEMPLATES.items()), "license string, said string")
@@ -81,10 +85,18 @@ def scan_licenses(df: DataFrame, min_score: float = 0.6, id_col: str = "doc_id",
     directory inherited from. Null and empty texts state nothing; a null path is in no directory; repeated rows are
     each returned; an empty table gives an empty result; other columns are ignored.
     """
-    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("doc_id"), F.col(path_col).cast("string").alias("path"), F.col(text_col).cast("string").alias("text"))
-    stated = staged(statement_scores(rows.select("_row", "text"), min_score), "license-statements")
-    files = rows.drop("text").withColumn("dir", F.regexp_replace("path", "/?[^/]*$", ""))
-    files = staged(files.join(stated, "_row", "left"), "license-files")
+    path = F.col(path_col).cast("string")
+    # row numbers hold for one reading of df only, so all that is needed of it is read and staged at once
+    rows = df.select(
+        F.monotonically_increasing_id().alias("_row"),
+        F.col(id_col).alias("doc_id"),
+        path.alias("path"),
+        F.regexp_replace(path, "/?[^/]*$", "").alias("dir"),
+        anchored_lines(F.col(text_col).cast("string")).alias("said"),
+    )
+    rows = staged(rows, "license-lines")
+    stated = staged(statement_scores(rows.select("_row", F.explode("said").alias("x")).select("_row", "x.line", "x.said"), min_score), "license-statements")
+    files = staged(rows.drop("said").join(stated, "_row", "left"), "license-files")
     named = files.where("license is not null and line = 0 and dir is not null").groupBy("dir").agg(F.min(F.struct("doc_id", "license")).alias("x"))
     speaking = named.select(F.col("dir").alias("licensed_by"), F.col("x.license").alias("from_dir"))
     dirs = files.where("license is null and dir is not null").select("dir").distinct()

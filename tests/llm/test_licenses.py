@@ -26,8 +26,8 @@ ROWS = [
     (5, "", "z/q"),
     (6, "text\nAll rights reserved.", "a/b/c/w"),
     (7, "plain", None),
-    (8, "Licensed under CC BY-NC 4.0.", "top"),
-    (8, "Licensed under CC BY-NC 4.0.", "top"),
+    (8, "Licensed under CC BY-NC 4.0.", "y/top"),
+    (8, "Licensed under CC BY-NC 4.0.", "y/top"),
     (9, "A licence is mentioned in this long sentence about the license of somebody to drive a car on all roads", "z/r"),
     (10, "x " * 60_000 + "license", "z/s"),
 ]
