@@ -1,12 +1,14 @@
 """N-gram Jaccard join with set-relation skipping: block-skipped index lists, and answers derived from similar sets.
 
-A document's set is its distinct 3-word shingles, hashed. Sets link when their Jaccard similarity is 0.9 or more.
+A document's set is its distinct shingles, hashed: runs of 3 words in the query. Sets link when their Jaccard similarity
+is 0.9 or more in the query. Both are parameters, the similarity in per cent; all bounds below follow from them.
 
 Index. Sets are put into classes by size so that linked sets are in the same or neighbouring classes. In a class the
 universe of shingles is cut, by hash, into one position more than two linked sets of the class can have differing
 shingles; so linked sets agree in all of at least one position. An index list holds the sets with the same content at
 the same position of the same class. Unlike lists of single shingles, no list grows long because of a passage, line
-or phrase that many documents share: a list needs a whole slice of the set, a tenth of its positions' shingles, to agree.
+or phrase that many documents share: a list needs a whole slice of the set, all shingles of a position, to agree. A position
+without shingles is listed only where a set has so many of them that a linked set could agree in no other.
 
 Index-level skipping. A set reaches only the lists of its class and the next, position by position; within a list,
 whole blocks are passed over by size and by a parity bitmap, whose distance never exceeds the sets' difference.
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from math import log
+from math import exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -34,54 +36,61 @@ from pyspark.sql import types as T
 from .common import WordHash, arrow_map, col, list_array, mix64, out_batch, stack, staged, texts
 
 SHINGLE = 3
+SIMILARITY = 90  # per cent
 BITMAP_WORDS = 16
-STEP = log(1.112)  # over 1 / 0.9: linked sets are at most one class apart
 BLOCK = 1024
 MEMBERS = 256  # sets verified against one copy of a leader's text
 BROADCAST_IDS = 1_000_000
 
 
-def shingles(words: list[bytes], known: WordHash) -> np.ndarray:
+def shingles(words: list[bytes], known: WordHash, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles."""
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64)
     h = np.fromiter(map(known.__getitem__, words), np.uint64, n)
-    k = min(SHINGLE, n)
+    k = min(size, n)
     out = np.full(n - k + 1, k, np.uint64)
     for j in range(k):
         out = mix64(out + h[j : j + n - k + 1])
     return np.unique(out)
 
 
-def size_class(n: int) -> int:
-    return int(log(n) / STEP + 1e-9)
-
-
 class Positions:
     """For each class: how many positions its universe is cut into."""
 
-    def __init__(self) -> None:
-        self.cache: dict[int, tuple[int, np.ndarray]] = {}
+    def __init__(self, similarity: int = SIMILARITY) -> None:
+        self.similarity = similarity
+        self.step = log(100.08 / similarity)  # over 100 / similarity: linked sets are at most one class apart
+        self.cache: dict[int, tuple[int, int, np.ndarray]] = {}
+
+    def differ(self, n: int) -> int:
+        """In how many shingles two sets that link, with n shingles together, differ at most."""
+        return n * (100 - self.similarity) // (100 + self.similarity)
 
-    def of(self, c: int) -> tuple[int, np.ndarray]:
+    def of(self, c: int) -> tuple[int, int, np.ndarray]:
         if c not in self.cache:
-            largest = int(np.exp((c + 1) * STEP)) + 1
-            m = 2 * largest // 19 + 1  # two sets of up to n shingles that link differ in 2 n / 19 at most
-            self.cache[c] = m, mix64(np.arange(m, dtype=np.uint64) + np.uint64(c << 32))
+            largest = int(np.exp((c + 1) * self.step)) + 1
+            m = self.differ(2 * largest) + 1
+            m += int(4 * m * exp(-(100 + self.similarity) / (2 * (100 - self.similarity))))  # more than are empty
+            self.cache[c] = m, largest, mix64(np.arange(m, dtype=np.uint64) + np.uint64(c << 32))
         return self.cache[c]
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
-        own = size_class(len(s))
+        n = len(s)
+        own = int(log(n) / self.step + 1e-9)
         t = mix64(s)
         low, high = (t & np.uint64(0xFFFFFFFF)).astype(float), (t >> np.uint64(32)).astype(float)
         spread = (s >> np.uint64(20)) & np.uint64(0xFFFFFFFF)
         out = []
         for c in (own, own + 1):
-            m, salt = self.of(c)
+            m, largest, salt = self.of(c)
             at = (spread % np.uint64(m)).astype(np.int64)
             part = np.bincount(at, low, m).astype(np.uint64) + (np.bincount(at, high, m).astype(np.uint64) << np.uint64(32))
-            out.append(mix64(part ^ salt))
+            filled = np.bincount(at, minlength=m) > 0
+            agree = m - self.differ(n + min(largest, n * 100 // self.similarity))  # positions at least, with any linked set
+            lists = mix64(part ^ salt)
+            out.append(lists[filled] if m - filled.sum() < agree else lists)
         return np.concatenate(out)
 
 
@@ -91,14 +100,14 @@ def bitmap(s: np.ndarray) -> np.ndarray:
     return np.packbits(cells.astype(np.uint8)).view(np.int64)
 
 
-def sets_of(df: DataFrame) -> DataFrame:
+def sets_of(df: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
     """(id, n, set, bits, lists) of each row of (id, text); lists is empty where the task saw the set before."""
-    known, positions, seen = WordHash(), Positions(), set()
+    known, positions, seen = WordHash(), Positions(similarity), set()
 
     def look(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, name, bits, lists, sizes = [], [], [], [], []
         for b in texts(batch):
-            s = shingles(b.lower().split(), known)
+            s = shingles(b.lower().split(), known, shingle)
             n.append(len(s))
             if not len(s):
                 name.append(None)
@@ -156,14 +165,14 @@ def first_pairs(sets: DataFrame) -> DataFrame:
     return spread.mapInArrow(stream, "list long, first long, other long")
 
 
-def may_link(a: str, b: str) -> F.Column:
+def may_link(a: str, b: str, similarity: int = SIMILARITY) -> F.Column:
     """Sizes and bitmaps of two sets (columns n and bits of a and b) allow a link."""
     n1, n2 = F.col(f"{a}.n"), F.col(f"{b}.n")
     apart = F.expr(f"aggregate(zip_with({a}.bits, {b}.bits, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
-    return (100 * F.least(n1, n2) >= 90 * F.greatest(n1, n2)) & (19 * apart <= n1 + n2)
+    return (100 * F.least(n1, n2) >= similarity * F.greatest(n1, n2)) & ((100 + similarity) * apart <= (100 - similarity) * (n1 + n2))
 
 
-def linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def linked(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
     """The pairs (a, b: document ids) whose sets link. A text meets only the pairs it is in; many pairs of one a are split."""
     of = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_n"))
     keyed = pairs.join(of, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.floor(F.col("_n") / MEMBERS) + 1).alias("part"))
@@ -180,12 +189,12 @@ def linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         for batch in batches:
             found_a, found_b = [], []
             for a, b, text in zip(col(batch, "a").to_pylist(), col(batch, "b").to_pylist(), texts(batch), strict=True):
-                s = shingles(text.lower().split(), known)
+                s = shingles(text.lower().split(), known, shingle)
                 if b is None:
                     head = s
                     continue
                 both = len(np.intersect1d(head, s, assume_unique=True))
-                if 100 * both >= 90 * (len(head) + len(s) - both):
+                if 100 * both >= similarity * (len(head) + len(s) - both):
                     found_a.append(a)
                     found_b.append(b)
             if found_a:
@@ -209,7 +218,7 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("id", "component")
 
 
-def unresolved_pairs(pairs: DataFrame, info: DataFrame) -> DataFrame:
+def unresolved_pairs(pairs: DataFrame, info: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """Pairs of sets of different components in one index list that size and bitmap let through, block against block.
 
     info: (set, n, bits, id, component). Blocks hold up to BLOCK sets; each pair of blocks is one unit of work.
@@ -232,12 +241,12 @@ def unresolved_pairs(pairs: DataFrame, info: DataFrame) -> DataFrame:
         crossed = rows[0]["lo"] != rows[0]["hi"]
         a, b = [], []
         for i in range(len(rows) - 1):
-            end = np.searchsorted(n, n[i] * 100 // 90, "right")  # sets beyond are too large to link
+            end = np.searchsorted(n, n[i] * 100 // similarity, "right")  # sets beyond are too large to link
             j = np.arange(i + 1, end)
             j = j[(comp[j] != comp[i]) & ((own[j] != own[i]) | (not crossed))]
             if len(j):
                 apart = np.bitwise_count(bits[j] ^ bits[i]).sum(1)
-                j = j[19 * apart.astype(np.int64) <= n[j] + n[i]]
+                j = j[(100 + similarity) * apart.astype(np.int64) <= (100 - similarity) * (n[j] + n[i])]
                 a += np.minimum(ids[i], ids[j]).tolist()
                 b += np.maximum(ids[i], ids[j]).tolist()
         return a, b
@@ -265,37 +274,37 @@ def unresolved_pairs(pairs: DataFrame, info: DataFrame) -> DataFrame:
     return rows.mapInArrow(stream, "a long, b long").distinct()
 
 
-def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links).
 
-    A text without words, or null, has an empty set and links with nothing. A row without an id links with nothing
+    shingle: words in a shingle; similarity: the least Jaccard similarity of a link, in per cent, 1 to 99. A text without words, or null, has an empty set and links with nothing. A row without an id links with nothing
     and has no component. Rows that repeat an id are documents that share it; equal rows have equal results. An empty
     table gives an empty result. Other columns are ignored. Ids are integers.
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sets = staged(sets_of(docs), "sets")
+    sets = staged(sets_of(docs, shingle, similarity), "sets")
     whole = sets.where("set is not null and id is not null")
     info = staged(whole.groupBy("set").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "distinct-sets")
     pairs = staged(first_pairs(whole), "list-pairs")
     named = lambda x: info.select(*(F.col(c).alias(f"{x}_{c}") for c in ("set", "id")), F.struct("n", "bits").alias(x))
     once = pairs.select("first", "other").distinct()
     some = once.join(named("p"), F.col("first") == F.col("p_set")).join(named("q"), F.col("other") == F.col("q_set"))
-    some = staged(some.where(may_link("p", "q")).select(F.least("p_id", "q_id").alias("a"), F.greatest("p_id", "q_id").alias("b")).where("a < b").distinct(), "candidates")
-    links = staged(linked(some, docs), "verified")
+    some = staged(some.where(may_link("p", "q", similarity)).select(F.least("p_id", "q_id").alias("a"), F.greatest("p_id", "q_id").alias("b")).where("a < b").distinct(), "candidates")
+    links = staged(linked(some, docs, shingle, similarity), "verified")
     groups = components(links)
     known = info.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    more = staged(unresolved_pairs(pairs, known).join(some, ["a", "b"], "left_anti"), "late-candidates")
+    more = staged(unresolved_pairs(pairs, known, similarity).join(some, ["a", "b"], "left_anti"), "late-candidates")
     if more.limit(1).count():
-        late = staged(linked(more, docs), "late-verified")
+        late = staged(linked(more, docs, shingle, similarity), "late-verified")
         groups = components(links.unionByName(late))
         known = info.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     found = sets.select("id", "n", "set").join(known.select("set", "component"), "set", "left")
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
 
 
-def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
     """df with one document of each group of linked documents: the one with the smallest id. Rows without an id stay."""
-    groups = similar_groups(df, id_col, text_col)
+    groups = similar_groups(df, id_col, text_col, shingle, similarity)
     gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
     return df.join(gone, df[id_col].cast("long") == gone["_gone"], "left_anti")
 
