@@ -5,9 +5,9 @@ across documents: normalised lines are hashed and, for each host, the distinct d
 line in more documents of its host than the limits allow is boilerplate; a document that is depleted, with less than
 `min_left` of its words outside such lines, is rejected.
 
-Copies of one document are no sign of boilerplate, so distinct documents are told apart by their other lines (the
-smallest hash among them): a thousand copies of an article, exact or with a few lines changed, count about once,
-while a navigation line under a thousand different articles counts a thousand times.
+Copies of one document are no sign of boilerplate, so documents with the same normalised lines in the same order count
+once: a thousand copies of an article count once, while a navigation line under a thousand different documents counts a
+thousand times, whatever other lines they share. An article with one line changed is another document.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-LINES = "lines array<struct<line:long,other:long,words:long>>"
+LINES = "copy long, lines array<struct<line:long,words:long>>"
 
 
 def line_hash(line: bytes) -> int:
@@ -59,12 +59,12 @@ def repeated_words(h: np.ndarray, window: int = WINDOW) -> int:
 
 
 def text_stats(df: DataFrame, host_col: str) -> DataFrame:
-    """_row, id, host, the base counts and, for each distinct line with a word, its hash, the smallest hash among the document's other lines, and its words."""
+    """_row, id, host, the base counts, copy (a hash of all lines with a word, in order) and, for each distinct one of these lines, its hash and its words."""
     known = WordHash()
 
     def look(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n_words, chars, symbols, dups, repeats, sizes = [], [], [], [], [], []
-        line_h, other_h, line_n = [], [], []
+        n_words, chars, symbols, dups, repeats, copies, sizes = [], [], [], [], [], [], []
+        line_h, line_n = [], []
         for b in texts(batch):
             words = b.split()
             n_words.append(len(words))
@@ -75,18 +75,16 @@ def text_stats(df: DataFrame, host_col: str) -> DataFrame:
             dups.append(len(lines) - len(set(lines)))
             repeats.append(repeated_words(np.fromiter(map(known.__getitem__, words), np.uint64, len(words))) if len(words) > WINDOW else 0)
             own: dict[int, int] = {}
-            for x in lines:
-                k = line_hash(x)
+            hashes = list(map(line_hash, lines))
+            for k, x in zip(hashes, lines, strict=True):
                 own[k] = own.get(k, 0) + len(x.split())
-            least = sorted(own)[:2]
-            for k, n in own.items():
-                line_h.append(k)
-                other_h.append(least[0] if k != least[0] else least[1] if len(least) > 1 else -1)
-                line_n.append(n)
+            copies.append(int.from_bytes(hashlib.md5(np.array(hashes, np.int64).tobytes()).digest()[:8], "big", signed=True))
+            line_h += own.keys()
+            line_n += own.values()
             sizes.append(len(own))
-        lines = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in (line_h, other_h, line_n)], ["line", "other", "words"])
+        lines = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in (line_h, line_n)], ["line", "words"])
         longs = {k: pa.array(v, pa.int64()) for k, v in zip(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), (n_words, chars, symbols, dups, repeats), strict=True)}
-        return out_batch(_row=col(batch, "_row"), id=col(batch, "id"), host=col(batch, "host"), **longs, lines=list_array(lines, sizes))
+        return out_batch(_row=col(batch, "_row"), id=col(batch, "id"), host=col(batch, "host"), **longs, copy=pa.array(copies, pa.int64()), lines=list_array(lines, sizes))
 
     plain = df.withColumn("host", F.when(F.col(host_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(host_col).cast("string"))))
     schema = T.StructType([*plain.select("_row", "id", "host").schema.fields, *T._parse_datatype_string(f"{STATS}, {LINES}").fields])
@@ -95,7 +93,7 @@ def text_stats(df: DataFrame, host_col: str) -> DataFrame:
 
 def frequent_lines(stats: DataFrame, max_docs: int, max_share: float) -> DataFrame:
     """(host, line): lines in more distinct documents of their host than max_docs, and than max_share of its documents."""
-    lines = stats.select("host", F.explode("lines").alias("x")).select("host", "x.line", "x.other")
+    lines = stats.select("host", "copy", F.explode("lines.line").alias("line"))
     counts = lines.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"))
     hosts = stats.groupBy("host").agg(F.count(F.lit(1)).alias("of"))
     return counts.where(F.col("docs") > max_docs).join(hosts, "host").where(F.col("docs") > max_share * F.col("of")).select("host", "line")
@@ -122,7 +120,7 @@ def quality(
     frequent = frequent_lines(stats, max_docs, max_share)
     lines = stats.select("_row", "host", F.explode("lines").alias("x")).select("_row", "host", "x.line", "x.words")
     lost = lines.join(frequent, ["host", "line"]).groupBy("_row").agg(F.sum("words").alias("_lost"))
-    judged = stats.drop("lines").join(lost, "_row", "left")
+    judged = stats.drop("copy", "lines").join(lost, "_row", "left")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     gone = F.coalesce("_lost", F.lit(0)).cast("long")
     return judged.select(
