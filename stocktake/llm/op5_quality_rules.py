@@ -2,7 +2,7 @@
 
 Base rules look at one text: too few words, or too many words in passages that the text repeats. The method looks
 across documents: normalised lines are hashed and, for each host, the distinct documents with a line are counted. A
-line in more documents of its host than the limits allow is boilerplate; a document that is depleted, with less than
+line in more documents of its host than the limit allows, however large the host, is boilerplate; a document that is depleted, with less than
 `min_left` of its words outside such lines, is rejected.
 
 Copies of one document are no sign of boilerplate, so documents with the same normalised lines in the same order count
@@ -91,18 +91,16 @@ def text_stats(df: DataFrame, host_col: str) -> DataFrame:
     return arrow_map(plain.select("_row", "id", "host", "text"), look, schema)
 
 
-def frequent_lines(stats: DataFrame, max_docs: int, max_share: float) -> DataFrame:
-    """(host, line): lines in more distinct documents of their host than max_docs, and than max_share of its documents."""
+def frequent_lines(stats: DataFrame, max_docs: int) -> DataFrame:
+    """(host, line): lines in more distinct documents of their host than max_docs."""
     lines = stats.select("host", "copy", F.explode("lines.line").alias("line"))
     counts = lines.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"))
-    hosts = stats.groupBy("host").agg(F.count(F.lit(1)).alias("of"))
-    return counts.where(F.col("docs") > max_docs).join(hosts, "host").where(F.col("docs") > max_share * F.col("of")).select("host", "line")
+    return counts.where(F.col("docs") > max_docs).select("host", "line")
 
 
 def quality(
     df: DataFrame,
     max_docs: int = 20,
-    max_share: float = 0.002,
     min_left: float = 0.3,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -117,7 +115,7 @@ def quality(
     """
     rows = df.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(host_col).alias("_host"))
     stats = staged(text_stats(rows, "_host"), "quality-stats")
-    frequent = frequent_lines(stats, max_docs, max_share)
+    frequent = frequent_lines(stats, max_docs)
     lines = stats.select("_row", "host", F.explode("lines").alias("x")).select("_row", "host", "x.line", "x.words")
     lost = lines.join(frequent, ["host", "line"]).groupBy("_row").agg(F.sum("words").alias("_lost"))
     judged = stats.drop("copy", "lines").join(lost, "_row", "left")

@@ -11,3 +11,13 @@ def test_different_documents_count_whatever_they_share(frame):
     got = {r.doc_id: r for r in op5_quality_rules.quality(frame(docs), max_docs=99).collect()}
     assert all(got[i].n_boilerplate_words == 60 and not got[i].kept for i in range(100))
     assert all(got[200 + i].n_boilerplate_words == 0 and got[200 + i].kept for i in range(100))
+
+
+def test_further_rows_make_no_line_good(frame):
+    """21 different documents with a footer are depleted on a host of 21 rows and on one of 12,000."""
+    footer = " ".join(f"footer{i}" for i in range(30))
+    docs = [(i, f"{footer}\nown{i}", "h") for i in range(21)]
+    more = [(100 + i, f"text {i}", "h") for i in range(12_000)]
+    for rows in (docs, docs + more):
+        got = {r.doc_id: r.kept for r in op5_quality_rules.quality(frame(rows)).collect()}
+        assert not any(got[i] for i in range(21))
