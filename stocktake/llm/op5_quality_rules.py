@@ -3,7 +3,7 @@
 Base rules look at one text: too few words, or too many words in passages that the text repeats. The method looks
 across documents: normalised lines are hashed and, for each host, the distinct documents with a line are counted. A
 line in more documents of its host than the limit allows, however large the host, is boilerplate; a document that is depleted, with less than
-`min_left` of its words outside such lines, is rejected.
+`min_left` of its words outside such lines, is rejected. clean_good() gives the other documents without these lines.
 
 Copies of one document are no sign of boilerplate, so documents with the same normalised lines in the same order count
 once: a thousand copies of an article count once, while a navigation line under a thousand different documents counts a
@@ -35,6 +35,12 @@ def line_hash(line: bytes) -> int:
     return int.from_bytes(hashlib.md5(line.strip().lower()).digest()[:8], "big") >> 1
 
 
+def line_key(line: F.Column) -> F.Column:
+    """line_hash() of a column."""
+    plain = F.translate(F.btrim(line, F.lit(SPACE.decode())), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.shiftrightunsigned(F.conv(F.substring(F.md5(plain.cast("binary")), 1, 16), 16, -10).cast("long"), 1)
+
+
 def repeated_words(h: np.ndarray, window: int = WINDOW) -> int:
     """Words inside windows of words that the text has twice or more."""
     n = len(h) - window + 1
@@ -58,6 +64,11 @@ def repeated_words(h: np.ndarray, window: int = WINDOW) -> int:
     return int((np.cumsum(edge)[:-1] > 0).sum())
 
 
+def host_key(host: F.Column) -> F.Column:
+    """A null host is a host of its own."""
+    return F.when(host.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), host.cast("string")))
+
+
 def text_stats(df: DataFrame, host_col: str) -> DataFrame:
     """_row, id, host, the base counts, copy (a hash of all lines with a word, in order) and, for each distinct one of these lines, its hash and its words."""
     known = WordHash()
@@ -86,7 +97,7 @@ def text_stats(df: DataFrame, host_col: str) -> DataFrame:
         longs = {k: pa.array(v, pa.int64()) for k, v in zip(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), (n_words, chars, symbols, dups, repeats), strict=True)}
         return out_batch(_row=col(batch, "_row"), id=col(batch, "id"), host=col(batch, "host"), **longs, copy=pa.array(copies, pa.int64()), lines=list_array(lines, sizes))
 
-    plain = df.withColumn("host", F.when(F.col(host_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(host_col).cast("string"))))
+    plain = df.withColumn("host", host_key(F.col(host_col)))
     schema = T.StructType([*plain.select("_row", "id", "host").schema.fields, *T._parse_datatype_string(f"{STATS}, {LINES}").fields])
     return arrow_map(plain.select("_row", "id", "host", "text"), look, schema)
 
@@ -98,6 +109,18 @@ def frequent_lines(stats: DataFrame, max_docs: int) -> DataFrame:
     return counts.where(F.col("docs") > max_docs).select("host", "line")
 
 
+def judged_rows(df: DataFrame, max_docs: int, min_left: float, id_col: str, text_col: str, host_col: str) -> DataFrame:
+    """id, host, the base counts, failed, gone (words in boilerplate lines), kept and boilerplate (hashes of these lines, or null) of each row."""
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(host_col).alias("_host"))
+    stats = staged(text_stats(rows, "_host"), "quality-stats")
+    frequent = frequent_lines(stats, max_docs)
+    lines = stats.select("_row", "host", F.explode("lines").alias("x")).select("_row", "host", "x.line", "x.words")
+    lost = lines.join(frequent, ["host", "line"]).groupBy("_row").agg(F.sum("words").alias("_lost"), F.collect_list("line").alias("boilerplate"))
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    judged = stats.drop("copy", "lines").join(lost, "_row", "left").withColumn("failed", failed).withColumn("gone", F.coalesce("_lost", F.lit(0)).cast("long"))
+    return judged.withColumn("kept", ~F.col("failed") & (F.col("n_words") - F.col("gone") >= min_left * F.col("n_words")))
+
+
 def quality(
     df: DataFrame,
     max_docs: int = 20,
@@ -113,20 +136,12 @@ def quality(
     host of its own; repeated rows are copies of one another and each is judged; an empty table gives an empty result;
     other columns are ignored.
     """
-    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(host_col).alias("_host"))
-    stats = staged(text_stats(rows, "_host"), "quality-stats")
-    frequent = frequent_lines(stats, max_docs)
-    lines = stats.select("_row", "host", F.explode("lines").alias("x")).select("_row", "host", "x.line", "x.words")
-    lost = lines.join(frequent, ["host", "line"]).groupBy("_row").agg(F.sum("words").alias("_lost"))
-    judged = stats.drop("copy", "lines").join(lost, "_row", "left")
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    gone = F.coalesce("_lost", F.lit(0)).cast("long")
-    return judged.select(
+    return judged_rows(df, max_docs, min_left, id_col, text_col, host_col).select(
         F.col("id").alias("doc_id"),
         *(x.split()[0] for x in STATS.split(", ")),
-        failed.alias("base_failed"),
-        (~failed & (F.col("n_words") - gone >= min_left * F.col("n_words"))).alias("kept"),
-        gone.alias("n_boilerplate_words"),
+        F.col("failed").alias("base_failed"),
+        "kept",
+        F.col("gone").alias("n_boilerplate_words"),
     )
 
 
@@ -136,6 +151,30 @@ def keep_good(df: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     return df.join(good, df[id_col].eqNullSafe(good["_kept_id"]), "left_semi")
 
 
+def clean_good(
+    df: DataFrame,
+    max_docs: int = 20,
+    min_left: float = 0.3,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+) -> DataFrame:
+    """The rows of keep_good(), their text without the lines that are boilerplate on their host; all columns.
+
+    Other texts stay as they are. Lines go with their line break, so a text of such lines alone becomes empty.
+    """
+    judged = staged(judged_rows(df, max_docs, min_left, id_col, text_col, host_col).select("id", "host", "kept", "boilerplate"), "quality-judged")
+    good = judged.where("kept").select(F.col("id").alias("_kept_id")).distinct()
+    lines = judged.where("boilerplate is not null").select("id", "host", F.explode("boilerplate").alias("line"))
+    cut = lines.groupBy(F.col("id").alias("_cut_id")).agg(F.collect_set(F.struct("host", "line")).alias("_cut"))
+    known = good.join(cut, F.col("_kept_id").eqNullSafe(F.col("_cut_id")), "left").select("_kept_id", "_cut")
+    host, text = host_key(df[host_col]), df[text_col]
+    stays = lambda x: ~F.array_contains("_cut", F.struct(host.alias("host"), line_key(x).alias("line")))
+    left = F.when(F.col("_cut").isNull(), text).otherwise(F.array_join(F.filter(F.split(text, "\n", -1), stays), "\n"))
+    rows = df.join(known, df[id_col].eqNullSafe(known["_kept_id"]))
+    return rows.select(*(left.alias(c) if c == text_col else df[c] for c in df.columns))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(stack(spark, sf_dir, "documents"))
 

@@ -1,5 +1,8 @@
 """Boilerplate lines where documents share other lines too."""
 
+from pyspark.sql import functions as F
+
+import corpus_pipeline
 from stocktake.llm import op5_quality_rules
 
 
@@ -21,3 +24,21 @@ def test_further_rows_make_no_line_good(frame):
     for rows in (docs, docs + more):
         got = {r.doc_id: r.kept for r in op5_quality_rules.quality(frame(rows)).collect()}
         assert not any(got[i] for i in range(21))
+
+
+def test_boilerplate_lines_are_cut_out(spark, frame):
+    """A short menu line goes from kept documents of its host only, and n_chars follows; other lines and columns stay."""
+    own = lambda i: "\n".join(" ".join(f"w{i}x{j}x{k}" for k in range(12)) for j in range(3))
+    docs = [(i, f"Menu \n\n{own(i)}\nmenu", "h") for i in range(30)] + [(100, f"menu\n{own(100)}", None), (101, None, "h")]
+    got = op5_quality_rules.clean_good(frame(docs))
+    assert got.columns == frame(docs).columns
+    assert {r.doc_id: r.text for r in got.collect()} == {i: f"\n{own(i)}" for i in range(30)} | {100: f"menu\n{own(100)}"}
+    table = spark.createDataFrame([(d, t, "en", h, len(t or "")) for d, t, h in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    staged = corpus_pipeline.quality_rules(spark, table, "")
+    assert staged.columns == table.columns and {r.doc_id: r.n_chars for r in staged.collect()} == {i: len(own(i)) + 1 for i in range(30)} | {100: len(own(100)) + 5}
+
+
+def test_line_hash_is_the_same_in_spark(spark, nasty_docs):
+    lines = sorted({x for _, t, _ in nasty_docs for x in (t or "").split("\n")})
+    df = spark.createDataFrame([(x,) for x in lines], "x string").select("x", op5_quality_rules.line_key(F.col("x")).alias("k"))
+    assert {r.x: r.k for r in df.collect()} == {x: op5_quality_rules.line_hash(x.encode()) for x in lines}
