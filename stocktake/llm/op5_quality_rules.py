@@ -2,12 +2,15 @@
 
 Base rules look at one text: too few words, or too many words in passages that the text repeats. The method looks
 across documents: normalised lines are hashed and, for each host, the distinct documents with a line are counted. A
-line in more documents of its host than the limit allows, however large the host, is boilerplate; a document that is depleted, with less than
-`min_left` of its words outside such lines, is rejected. clean_good() gives the other documents without these lines.
+line in more documents of its host than the limit allows, however large the host, is boilerplate; a document that is
+depleted, with less than `min_left` of its words outside such lines, is rejected. clean_good() gives the other
+documents without these lines.
 
 Copies of one document are no sign of boilerplate, so documents with the same normalised lines in the same order count
 once: a thousand copies of an article count once, while a navigation line under a thousand different documents counts a
 thousand times, whatever other lines they share. An article with one line changed is another document.
+
+A line that a third of all documents hold is counted with partial sums, and joined by spread_join().
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHash, arrow_map, col, list_array, mix64, out_batch, stack, staged, texts
+from .common import HOT_KEYS, WordHash, arrow_map, col, list_array, mix64, out_batch, spread_join, stack, staged, texts
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -103,19 +106,22 @@ def text_stats(df: DataFrame, host_col: str) -> DataFrame:
 
 
 def frequent_lines(stats: DataFrame, max_docs: int) -> DataFrame:
-    """(host, line): lines in more distinct documents of their host than max_docs."""
+    """(host, line, rows): lines in more distinct documents of their host than max_docs, and in how many rows."""
     lines = stats.select("host", "copy", F.explode("lines.line").alias("line"))
-    counts = lines.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"))
-    return counts.where(F.col("docs") > max_docs).select("host", "line")
+    copies = lines.groupBy("host", "copy", "line").agg(F.count(F.lit(1)).alias("rows"))
+    counts = copies.groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"), F.sum("rows").alias("rows"))
+    return counts.where(F.col("docs") > max_docs).select("host", "line", "rows")
 
 
 def judged_rows(df: DataFrame, max_docs: int, min_left: float, id_col: str, text_col: str, host_col: str) -> DataFrame:
     """id, host, the base counts, failed, gone (words in boilerplate lines), kept and boilerplate (hashes of these lines, or null) of each row."""
     rows = df.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(host_col).alias("_host"))
     stats = staged(text_stats(rows, "_host"), "quality-stats")
-    frequent = frequent_lines(stats, max_docs)
+    held = stats.agg(F.sum(F.size("lines"))).first()[0] or 0
+    frequent = staged(frequent_lines(stats, max_docs), "quality-frequent")
     lines = stats.select("_row", "host", F.explode("lines").alias("x")).select("_row", "host", "x.line", "x.words")
-    lost = lines.join(frequent, ["host", "line"]).groupBy("_row").agg(F.sum("words").alias("_lost"), F.collect_list("line").alias("boilerplate"))
+    lost = spread_join(lines, frequent, ["host", "line"], F.col("rows") > held // HOT_KEYS)
+    lost = lost.groupBy("_row").agg(F.sum("words").alias("_lost"), F.collect_list("line").alias("boilerplate"))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     judged = stats.drop("copy", "lines").join(lost, "_row", "left").withColumn("failed", failed).withColumn("gone", F.coalesce("_lost", F.lit(0)).cast("long"))
     return judged.withColumn("kept", ~F.col("failed") & (F.col("n_words") - F.col("gone") >= min_left * F.col("n_words")))
@@ -190,21 +196,20 @@ with docs as (
 ), repeats as (
   select doc_id, count(distinct spot) as n from (select doc_id, unnest(range(i, i + 8)) as spot from windows where times > 1) group by doc_id
 ), lines as (
-  select doc_id, source, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as words
-  from (select doc_id, source, unnest(string_split(text, chr(10))) as line from docs) where regexp_matches(line, '[^\x20\x09-\x0D]')
+  select doc_id, source, pos, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as words
+  from (select doc_id, source, unnest(range(len(string_split(text, chr(10))))) as pos, unnest(string_split(text, chr(10))) as line from docs) where regexp_matches(line, '[^\x20\x09-\x0D]')
 ), dups as (
   select doc_id, count(*) - count(distinct line) as n from lines group by doc_id
 ), keyed as (
-  select doc_id, source, ('0x' || left(md5(translate(trim(line, {_BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')), 16))::ubigint >> 1 as k, words from lines
+  select doc_id, source, pos, translate(trim(line, {_BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as line, words from lines
 ), own as (
-  select doc_id, source, k, sum(words) as words, row_number() over (partition by doc_id order by k) as spot from keyed group by doc_id, source, k
-), told as (
-  select o.*, x.k as other from own o left join own x on o.doc_id = x.doc_id and x.spot = case when o.spot = 1 then 2 else 1 end
+  select doc_id, source, line, sum(words) as words from keyed group by doc_id, source, line
+), copies as (
+  select doc_id, string_agg(line, chr(10) order by pos) as copy from keyed group by doc_id
 ), frequent as (
-  select source, k from (select source, k, count(distinct coalesce(other::hugeint, -1)) as docs from told group by source, k)
-  join (select source, count(*) as n from docs group by source) using (source) where docs > 20 and docs > 0.002 * n
+  select source, line from own join copies using (doc_id) group by source, line having count(distinct copy) > 20
 ), lost as (
-  select doc_id, cast(sum(words) as bigint) as n from own join frequent using (source, k) group by doc_id
+  select doc_id, cast(sum(words) as bigint) as n from own join frequent f on own.line = f.line and own.source is not distinct from f.source group by doc_id
 ), counted as (
   select d.doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
          coalesce(u.n, 0) as n_dup_lines, coalesce(r.n, 0) as n_repeat_words, coalesce(l.n, 0) as n_boilerplate_words

@@ -3,7 +3,8 @@
 A line's key is the line without white space ([ \\t-\\r]) at its ends and with A-Z lower-cased. Keys of at least
 `min_chars` code points that at least `min_docs` documents hold lose all their lines, except in the largest
 document id that holds them. Only 16-byte hashes of keys are exploded and counted, once per document; the text
-moves once, to meet the keys that its document loses.
+moves once, to meet the keys that its document loses. A key that a third of all documents hold is counted with
+partial sums, and joined by spread_join().
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, col, out_batch, stack, texts
+from .common import HOT_KEYS, arrow_map, col, out_batch, spread_join, stack, staged, texts
 
 
 def key_of(line: bytes) -> bytes:
@@ -55,10 +56,12 @@ def dedup_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col: s
     equal lines in the document that keeps them all stay. An empty table gives an empty result. Columns of df named
     n_lines or n_dropped are replaced.
     """
-    pairs = line_keys(df, min_chars, id_col, text_col).distinct()
-    frequent = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("_docs"), F.max("id").alias("_keeper")).where(F.col("_docs") >= min_docs)
-    lost = pairs.join(frequent.select("key", "_keeper"), "key").where(F.col("id") < F.col("_keeper"))
-    lost = lost.groupBy(F.col("id").alias("_id")).agg(F.collect_list("key").alias("_lost"))
+    pairs = staged(line_keys(df, min_chars, id_col, text_col), "line-keys")
+    once = pairs.groupBy("id", "key").agg(F.count(F.lit(1)).alias("_rows"))
+    counts = once.groupBy("key").agg(F.count(F.lit(1)).alias("_docs"), F.max("id").alias("_keeper"), F.sum("_rows").alias("_rows"))
+    frequent = staged(counts.where(F.col("_docs") >= min_docs).drop("_docs"), "line-frequent")
+    lost = spread_join(pairs, frequent, ["key"], F.col("_rows") > pairs.count() // HOT_KEYS).where(F.col("id") < F.col("_keeper"))
+    lost = lost.groupBy(F.col("id").alias("_id")).agg(F.collect_set("key").alias("_lost"))
     kept = [c for c in df.columns if c not in ("n_lines", "n_dropped")]
     inner = ["text" if c == text_col else f"_{i}" for i, c in enumerate(kept)]
     own = df.select(*kept).toDF(*inner).withColumn("text", F.col("text").cast("string"))

@@ -18,6 +18,8 @@ from functools import cache
 import numpy as np
 import regex
 
+from .common import Remembered
+
 PLAIN = regex.compile("[\\x21-\\x7e\\xa1-\\u024f]*")
 #: The pattern in word_bpe_49k.json.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -52,10 +54,8 @@ def suffixed_ranks(path: str) -> dict[bytes, int]:
     return ranks
 
 
-class ChunkIds(dict):
-    """chunk -> its ids as little-endian unsigned 32-bit bytes; up to LIMIT chunks are remembered."""
-
-    LIMIT = 500_000
+class ChunkIds(Remembered):
+    """chunk -> its ids as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
         import tiktoken
@@ -67,22 +67,16 @@ class ChunkIds(dict):
         ranks = suffixed_ranks(path)
         self.merge = tiktoken.Encoding("word-ends", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        if PLAIN.fullmatch(chunk) and "<|" not in chunk:
-            if (low := chunk.lower()) != chunk:
-                made = self[low]
-            elif chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
-                made = self[chunk[:-1]] + self.little(self.merge(chunk[-1:].encode() + END_OF_WORD))
-            elif chunk.isalpha():
-                made = self.little(self.merge(chunk.encode() + END_OF_WORD))
-            else:
-                made = b"".join(self.little(self.merge(x.encode() + END_OF_WORD)) for x in PIECES.findall(chunk))
-        else:
-            made = self.little(self.whole.encode(chunk, add_special_tokens=False).ids)
-        self[chunk] = made
-        return made
+    def make(self, chunk: str) -> bytes:
+        if not PLAIN.fullmatch(chunk) or "<|" in chunk:
+            return self.little(self.whole.encode(chunk, add_special_tokens=False).ids)
+        if (low := chunk.lower()) != chunk:
+            return self[low]
+        if chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
+            return self[chunk[:-1]] + self.little(self.merge(chunk[-1:].encode() + END_OF_WORD))
+        if chunk.isalpha():
+            return self.little(self.merge(chunk.encode() + END_OF_WORD))
+        return b"".join(self.little(self.merge(x.encode() + END_OF_WORD)) for x in PIECES.findall(chunk))
 
     @staticmethod
     def little(ids: list[int]) -> bytes:
@@ -97,14 +91,13 @@ def chunk_ids(path: str) -> ChunkIds:
     return ChunkIds(path)
 
 
-class TokenLengths(dict):
+class TokenLengths(Remembered):
     """chunk -> the byte lengths of its tokens (16-bit), for a byte-level vocabulary given as a rank file.
 
     Token boundaries of these vocabularies always fall before a blank that stands between two other characters, and
     around a single line break between two other characters, so such chunks are encoded by themselves.
     """
 
-    LIMIT = 500_000
     CHUNKS = regex.compile(r"\n| ?[^ \n]+")
     RUNS = regex.compile(r"\s\s|^\s|\s$|[^\S \n]")
 
@@ -123,11 +116,7 @@ class TokenLengths(dict):
     def slow(self, text: str) -> bytes:
         return self.sizes[np.array(self.encode(text), np.int64)].tobytes() if text else b""
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        made = self[chunk] = self.slow(chunk)
-        return made
+    make = slow
 
     def of(self, text: str) -> np.ndarray:
         joined = self.slow(text) if self.RUNS.search(text) else b"".join(map(self.__getitem__, self.CHUNKS.findall(text)))

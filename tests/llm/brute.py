@@ -70,26 +70,22 @@ def quality_base(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(twice), failed
 
 
-def quality(docs, max_docs, max_share, min_left):
-    """docs: (id, text, host) -> kept by id."""
-    own, hosts = {}, Counter()
+def quality(docs, max_docs, min_left):
+    """docs: (id, text, host) -> {id: (kept, words in boilerplate lines, text without these lines)}."""
+    key = lambda x: lower(x.strip(BLANKS))
     holders = defaultdict(set)
-    order = lambda k: int(hashlib.md5(k.encode()).hexdigest()[:16], 16) >> 1  # noqa: E731  which line tells documents apart
-    for d, text, host in docs:
-        keys = Counter()
-        for x in (text or "").split("\n"):
-            if WORD.search(x):
-                keys[lower(x.strip(BLANKS))] += len(WORD.findall(x))
-        own[d] = keys
-        hosts[host] += 1
-        for k in keys:
-            holders[host, k].add(min((order(o) for o in keys if o != k), default=-1))
-    often = {hk for hk, s in holders.items() if len(s) > max_docs and len(s) > max_share * hosts[hk[0]]}
+    for _, text, host in docs:
+        lines = tuple(key(x) for x in (text or "").split("\n") if WORD.search(x))
+        for k in lines:
+            holders[host, k].add(lines)  # documents with the same lines in the same order are copies
+    often = {hk for hk, s in holders.items() if len(s) > max_docs}
     out = {}
     for d, text, host in docs:
         n, *_, failed = quality_base(text)
-        gone = sum(c for k, c in own[d].items() if (host, k) in often)
-        out[d] = not failed and n - gone >= min_left * n
+        lines = (text or "").split("\n")
+        gone = sum(len(WORD.findall(x)) for x in lines if (host, key(x)) in often)
+        left = "\n".join(x for x in lines if (host, key(x)) not in often)
+        out[d] = not failed and n - gone >= min_left * n, gone, left
     return out
 
 
@@ -123,13 +119,14 @@ def substrings(docs, n=20):
     return out
 
 
-def shingle_set(text):
+def shingle_set(text, size=3):
     w = WORD.findall(lower(text or ""))
-    return {tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) >= 3 else {tuple(w)} if w else set()
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
 
 
-def groups(docs):
-    sets = [(d, shingle_set(t)) for d, t in docs]
+def groups(docs, size=3, similarity=90):
+    """(id, shingles, smallest id reachable by links) of each of (id, text)."""
+    sets = [(d, shingle_set(t, size)) for d, t in docs]
     root = {d: d for d, _ in sets}
 
     def find(x):
@@ -144,7 +141,7 @@ def groups(docs):
     for k, (d, s) in enumerate(sets):
         common = Counter(j for x in s for j in at[x] if j < k)
         for j, c in common.items():
-            if 100 * c >= 90 * (len(s) + len(sets[j][1]) - c):
+            if 100 * c >= similarity * (len(s) + len(sets[j][1]) - c):
                 a, b = sorted((find(d), find(sets[j][0])))
                 root[b] = a
     return [(d, len(s), find(d)) for d, s in sets]

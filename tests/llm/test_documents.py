@@ -159,9 +159,10 @@ def test_quality(docs, frame, rows):
     got = op5_quality_rules.quality(frame(docs), max_docs=5)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     assert rows(got, "doc_id", *names) == sorted(((d, *brute.quality_base(t)) for d, t, _ in docs), key=repr)
-    kept = brute.quality(docs, 5, 0.002, 0.3)
-    assert {r.doc_id: r.kept for r in got.collect()} == kept
-    assert {r.doc_id for r in op5_quality_rules.keep_good(frame(docs), max_docs=5).collect()} == {d for d, k in kept.items() if k}
+    want = brute.quality(docs, 5, 0.3)
+    assert {r.doc_id: (r.kept, r.n_boilerplate_words) for r in got.collect()} == {d: x[:2] for d, x in want.items()}
+    assert {r.doc_id for r in op5_quality_rules.keep_good(frame(docs), max_docs=5).collect()} == {d for d, x in want.items() if x[0]}
+    assert {r.doc_id: r.text or "" for r in op5_quality_rules.clean_good(frame(docs), max_docs=5).collect()} == {d: x[2] for d, x in want.items() if x[0]}
 
 
 def test_boilerplate_goes_and_copies_stay(frame):

@@ -1,7 +1,5 @@
 """The Jaccard join with other shingles and similarities than the query's, against brute force."""
 
-from collections import Counter, defaultdict
-
 import pytest
 
 import corpus_pipeline
@@ -13,39 +11,15 @@ from . import brute
 SF = "/root/testdata/sf0.001"
 
 
-def groups(docs, size, similarity):
-    """(id, shingles, smallest id reachable by links) of each of (id, text)."""
-    sets, at, root = [], defaultdict(list), {}
-    for d, text in docs:
-        w = brute.WORD.findall(brute.lower(text or ""))
-        sets.append((d, {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()))
-        root[d] = d
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for k, (d, s) in enumerate(sets):
-        common = Counter(j for x in s for j in at[x])
-        for j, c in common.items():
-            if 100 * c >= similarity * (len(s) + len(sets[j][1]) - c):
-                a, b = sorted((find(d), find(sets[j][0])))
-                root[b] = a
-        for x in s:
-            at[x].append(k)
-    return [(d, len(s), find(d)) for d, s in sets]
-
-
 @pytest.mark.parametrize("size, similarity", [(5, 80), (1, 60)])
 def test_parameters(frame, rows, small_docs, nasty_docs, size, similarity):
     docs = small_docs + nasty_docs
     got = op9_jaccard_join.similar_groups(frame(docs), shingle=size, similarity=similarity)
-    assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(groups([(d, t) for d, t, _ in docs], size, similarity), key=repr)
+    assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(brute.groups([(d, t) for d, t, _ in docs], size, similarity), key=repr)
 
 
 def test_stage_of_the_pipeline(spark):
     """The stage alone, over whole documents: five words and 0.8."""
     docs = stack(spark, SF, "documents")
-    want = groups([tuple(r) for r in docs.select("doc_id", "text").collect()], 5, 80)
+    want = brute.groups([tuple(r) for r in docs.select("doc_id", "text").collect()], 5, 80)
     assert {r.doc_id for r in corpus_pipeline.jaccard_join(spark, docs, SF).collect()} == {d for d, _, c in want if c == d}
