@@ -197,6 +197,17 @@ def test_sharding(docs, frame):
     assert sorted(map(tuple, op7_sharding.interleave(frame(docs[::-1])).collect())) == sorted(map(tuple, got)) if docs else True
 
 
+def test_sharding_many_sources(frame):
+    """Thousands of sources with one row, one with a third of all rows, and rows without an id, in bulk."""
+    docs = [(i, f"text {i}", f"site{i}") for i in range(3000)] + [(10_000 + i, "copy", "hot") for i in range(2000)] + [(None, "nameless", None)] * 1000
+    got = op7_sharding.interleave(frame(docs)).collect()
+    assert len(got) == 6000 and all(sum(r.shard == k for r in got) == 750 for k in range(8))
+    assert all(sorted(r.slot for r in got if r.shard == k) == list(range(750)) for k in range(8))
+    for kind in (lambda r: r.doc_id is not None and r.doc_id >= 10_000, lambda r: r.doc_id is None):
+        own = [sum(map(kind, (r for r in got if r.shard == k))) for k in range(8)]
+        assert max(own) - min(own) <= 2
+
+
 def test_substrings(docs, frame, rows):
     got = op8_substring_dedup.dedup_substrings(frame(docs))
     assert rows(got, "doc_id", "n_words", "n_removed", "text") == sorted(brute.substrings([(d, t) for d, t, _ in docs]), key=repr)
