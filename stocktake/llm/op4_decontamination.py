@@ -1,12 +1,14 @@
 """Benchmark decontamination: a broadcast set of normalised test n-grams, scanned for in every document.
 
 Words are the runs of digits, letters a-z (A-Z lower-cased) and characters beyond ASCII. The windows of an item are
-its n-grams of `n` words, or the item itself if it is shorter. Windows are broadcast as arrays of word numbers,
-sorted by hash; a document's words are numbered by the windows' vocabulary, runs of known words are hashed n words
-at a time, and every hit of the hash is verified word by word. The scan moves no document.
-
-The broadcast is bounded: a benchmark of more than `block_words` words is cut into blocks of whole items, each
-scanned for by itself, and the hits of a document are put together afterwards.
+its n-grams of `n` words, or the item itself if it is shorter. Windows are broadcast as arrays of word numbers with
+hashes; a document's words are numbered by the windows' vocabulary, runs of known words are hashed n words at a time,
+and every hit of the hash is verified word by word. The scan moves no document.
+
+The broadcast is bounded: items are cut into runs of at most RUN windows, so none is too long to be dealt out, and a
+benchmark of more than `block_windows` windows goes in blocks of about as many, of whole runs. Each block is scanned for by itself, and the
+hits of a document are put together afterwards; the result is the same. A window takes some 30 bytes and a distinct word
+some 150, on the driver and in every Python worker.
 """
 
 from __future__ import annotations
@@ -32,32 +34,45 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class Windows:
-    """The distinct windows of some items, by length, ready to be looked up."""
+    """The distinct windows of some runs of items, (item, its words joined by blanks), by length, ready to be looked up."""
 
-    def __init__(self, items: list[tuple], n: int):
+    def __init__(self, runs: list[tuple[str, str]], n: int):
         self.vocab: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set[int]] = {}
-        self.names: list[str] = []
-        for name, text in items:
-            ids = tuple(self.vocab.setdefault(w, len(self.vocab)) for w in words_of((text or "").encode()))
-            for i in range(max(1, len(ids) - n + 1)) if ids else ():
-                found.setdefault(ids[i : i + n], set()).add(len(self.names))
-            self.names.append(str(name))
-        self.by_length = {}
+        self.names = sorted({name for name, _ in runs})
+        number = {x: i for i, x in enumerate(self.names)}
+        parts, starts, owners = [], {}, {}
+        at = 0
+        for name, text in runs:
+            words = text.encode().split(b" ")
+            length = min(n, len(words))
+            parts.append(np.fromiter((self.vocab.setdefault(w, len(self.vocab)) for w in words), np.int32, len(words)))
+            first = np.arange(at, at + len(words) - length + 1)
+            starts.setdefault(length, []).append(first)
+            owners.setdefault(length, []).append(np.full(len(first), number[name], np.int32))
+            at += len(words)
+        self.words = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        self.by_length = {k: self.table(k, np.concatenate(starts[k]), np.concatenate(owners[k])) for k in sorted(starts)}
+
+    def table(self, length: int, start: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of the windows at start: hash factors, sorted hashes, the place of each distinct window, and where its items begin; the items."""
         seed = 1
-        for length in sorted({len(w) for w in found}):
-            wins = [w for w in found if len(w) == length]
-            grid = np.array(wins, np.int64)
-            while True:  # another seed in the unlikely case that two windows share a hash
-                odd = np.random.default_rng(seed).integers(0, 2**63, length, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-                h = (grid.astype(np.uint64) * odd).sum(1, dtype=np.uint64)
-                if len(np.unique(h)) == len(wins):
-                    break
-                seed += 1
-            order = np.argsort(h)
-            owners = [sorted(found[wins[i]]) for i in order]
-            starts = np.cumsum([0, *map(len, owners)])
-            self.by_length[length] = odd, h[order], grid[order], starts, np.array([x for o in owners for x in o], np.int64)
+        while True:  # another seed in the unlikely case that two windows share a hash
+            odd = np.random.default_rng(seed).integers(0, 2**63, length, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+            h = np.zeros(len(start), np.uint64)
+            for j in range(length):
+                h += self.words[start + j].astype(np.uint64) * odd[j]
+            order = np.lexsort((owner, h))
+            s = h[order]
+            fresh = np.concatenate([[True], s[1:] != s[:-1]])
+            head = np.maximum.accumulate(np.where(fresh, np.arange(len(s)), 0))
+            if all((self.words[start[order] + j] == self.words[start[order][head] + j]).all() for j in range(length)):
+                break
+            seed += 1
+        own = owner[order]
+        once = fresh | np.concatenate([[True], own[1:] != own[:-1]])
+        window = np.cumsum(fresh) - 1
+        begins = np.concatenate([[0], np.cumsum(np.bincount(window[once], minlength=int(fresh.sum())))])
+        return odd, s[fresh], start[order][fresh].astype(np.int32), begins, own[once]
 
     def hits(self, docs: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Number of words of each document; document, first word, length and item of each occurrence of a window."""
@@ -73,7 +88,7 @@ class Windows:
         at = np.arange(len(ids))
         run = at - np.maximum.accumulate(np.where(ids < 0, at, -1)) if len(ids) else at
         got = []
-        for length, (odd, hashes, grid, starts, owners) in self.by_length.items():
+        for length, (odd, hashes, place, starts, owners) in self.by_length.items():
             s = np.flatnonzero(run >= length) - length + 1
             for lo in range(0, len(s), 1 << 20):
                 part = s[lo : lo + (1 << 20)]
@@ -84,7 +99,7 @@ class Windows:
                 same = hashes[k] == h
                 part, k = part[same], k[same]
                 if len(part):
-                    true = (ids[part[:, None] + np.arange(length)] == grid[k]).all(1)
+                    true = (ids[part[:, None] + np.arange(length)] == self.words[place[k][:, None] + np.arange(length)]).all(1)
                     part, k = part[true], k[true]
                     n = starts[k + 1] - starts[k]
                     item = owners[np.repeat(starts[k] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] if len(k) else np.zeros(0, np.int64)
@@ -108,18 +123,39 @@ def _merged(start: np.ndarray, length: np.ndarray) -> list[tuple[int, int]]:
 HITS = "n_words long, spans array<struct<s:long,e:long>>, items array<string>"
 
 
-def scan(df: DataFrame, benchmark: DataFrame, n: int = 10, block_words: int = 20_000_000, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """df with n_words, the spans of hit words (word numbers, end exclusive) and the items with a window there."""
+RUN = 50_000
+
+
+def runs_of(benchmark: DataFrame, n: int, run: int, item_col: str, text_col: str) -> DataFrame:
+    """(item, part, windows, words): each item's words in runs of at most `run` windows; runs overlap by n - 1 words. An item without an id is named by the empty string."""
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        item, part, windows, words = [], [], [], []
+        for name, text in zip(col(batch, "item").to_pylist(), texts(batch), strict=True):
+            w = words_of(text)
+            for k, lo in enumerate(range(0, max(1, len(w) - n + 1), run) if w else ()):
+                own = w[lo : lo + run + n - 1]
+                item.append(name or "")
+                part.append(k)
+                windows.append(max(1, len(own) - n + 1))
+                words.append(b" ".join(own))
+        return out_batch(item=pa.array(item, pa.string()), part=pa.array(part, pa.int64()), windows=pa.array(windows, pa.int64()), words=pa.array(words, pa.binary()).cast(pa.string()))
+
+    plain = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
+    return arrow_map(plain, cut, "item string, part long, windows long, words string")
+
+
+def scan(df: DataFrame, benchmark: DataFrame, n: int = 10, block_windows: int = 1_000_000, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """df with n_words, the spans of hit words (word numbers, end exclusive) and the items with a window there, sorted."""
     spark = df.sparkSession
-    bench = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
-    size = F.floor(F.coalesce(F.octet_length("text"), F.lit(0)) / 2) + 1  # words, at most
-    total = bench.agg(F.sum(size)).first()[0] or 0
-    blocks = int(total // block_words) + 1
+    bench = staged(runs_of(benchmark, n, min(RUN, block_windows), item_col, text_col).withColumn("_run", F.monotonically_increasing_id()), "decontamination-windows")
+    total = bench.agg(F.sum("windows")).first()[0] or 0
+    blocks = -(-total // block_windows)
     names = df.schema.names
     schema = T.StructType([*df.schema.fields, *T._parse_datatype_string(HITS).fields])
 
     def one(rows: DataFrame, items: list[tuple], hit_only: bool) -> DataFrame:
-        shared = spark.sparkContext.broadcast(Windows(items, n))
+        shared = spark.sparkContext.broadcast(Windows(items, n))  # about block_windows windows at most
 
         def look(batch: pa.RecordBatch) -> pa.RecordBatch:
             w = shared.value
@@ -141,18 +177,18 @@ def scan(df: DataFrame, benchmark: DataFrame, n: int = 10, block_words: int = 20
 
         return arrow_map(rows, look, schema)
 
-    if blocks == 1:
-        return one(df, [tuple(r) for r in bench.collect()], False)
+    if blocks <= 1:
+        return one(df, [tuple(r) for r in bench.select("item", "words").collect()], False)
     keyed = staged(df.withColumn("_row", F.monotonically_increasing_id()), "decontamination-rows")
     names = [*names, "_row"]
     schema = T.StructType([*keyed.schema.fields, *T._parse_datatype_string(HITS).fields])
-    numbered = staged(bench.withColumn("_block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks))), "decontamination-items")
+    numbered = staged(bench.withColumn("_block", F.pmod(F.xxhash64("_run"), F.lit(blocks))), "decontamination-items")
     hits = None
     for b in range(blocks):
-        items = [tuple(r) for r in numbered.where(F.col("_block") == b).select("item", "text").collect()]
+        items = [tuple(r) for r in numbered.where(F.col("_block") == b).select("item", "words").collect()]
         part = staged(one(keyed, items, True).select("_row", "spans", "items"), "decontamination-hits")
         hits = part if hits is None else hits.unionByName(part)
-    merged = hits.groupBy("_row").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    merged = hits.groupBy("_row").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     fold = """aggregate(spans, cast(array() as array<struct<s:bigint,e:bigint>>), (a, x) -> case
         when size(a) > 0 and x.s <= element_at(a, -1).e
         then concat(slice(a, 1, size(a) - 1), array(named_struct('s', element_at(a, -1).s, 'e', greatest(element_at(a, -1).e, x.e))))
@@ -167,7 +203,7 @@ def contamination(df: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str
     """One row per input row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans, items.
 
     A null or empty text has no words and no hits. A null, empty or wordless item has no windows. Items that repeat
-    an id count once. Repeated rows are each returned. An empty benchmark hits nothing. Other columns are ignored.
+    an id count once; items without an id are one item, named by the empty string. Repeated rows are each returned. An empty benchmark hits nothing. Other columns are ignored.
     """
     found = scan(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), benchmark, n, **options)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
@@ -176,7 +212,7 @@ def contamination(df: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str
         "n_words",
         hit.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
         "spans",
         "items",

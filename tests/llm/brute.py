@@ -45,7 +45,7 @@ def contamination(docs, items, n=10):
     for i, text in items:
         w = BENCH_WORD.findall(lower(text or ""))
         for k in range(max(1, len(w) - n + 1)) if w else ():
-            windows[tuple(w[k : k + n])].add(str(i))
+            windows[tuple(w[k : k + n])].add("" if i is None else str(i))
     sizes = {len(w) for w in windows}
     out = []
     for d, text in docs:

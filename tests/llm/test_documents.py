@@ -100,33 +100,49 @@ def test_tokens_merge_back():
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
 
-def test_token_counts(docs, frame):
-    path = tokenizing.public_path("byte_bpe_50k.tiktoken")
-    known = tokenizing.token_lengths(path)
+@pytest.fixture(scope="module")
+def token_bytes():
+    """The lengths in bytes of a text's tokens, by another library than the operator's, from the same vocabulary."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizing.public_path("byte_bpe_50k.json"))
+
+    def lengths(text):
+        for special in ("<|endoftext|>",):  # the operator knows no special tokens
+            assert special not in text
+        return [len(whole.id_to_token(i)) for i in whole.encode(text, add_special_tokens=False).ids]
+
+    return lengths
+
+
+def attributed(lengths, sections):
+    """Tokens of each section, the plain way; sections are spans of bytes, in order."""
+    counts, at = [0] * len(sections), 0
+    for n in lengths:
+        over = [max(0, min(at + n, y) - max(at, x)) for x, y in sections]
+        own = over.index(max(over)) if max(over) else max((k for k, (x, _) in enumerate(sections) if x < at + n), default=0)
+        counts[own] += 1
+        at += n
+    return counts
+
+
+def test_token_counts(docs, frame, token_bytes):
+    docs = [(d, (t or "").replace("<|endoftext|>", "<end>"), s) for d, t, s in docs]
     got = {}
     for r in op3_token_counts.count_tokens(frame(docs)).collect():
         got.setdefault(r.doc_id, {}).setdefault(r.section, []).append(r)
     assert set(got) == {d for d, _, _ in docs}
-    for d, text, _ in docs:
-        text = text or ""
-        ids = known.encode(text)
-        ends = np.cumsum([known.sizes[i] for i in ids], dtype=int).tolist()
-        begins = [0, *ends[:-1]]
+    for d, text in {(d, t) for d, t, _ in docs}:
         lines, at = [], 0
         for x in text.split("\n"):
             lines.append((at, at + len(x.encode())))
             at += len(x.encode()) + 1
-        want = [0] * len(lines)
-        for b, e in zip(begins, ends):
-            over = [max(0, min(e, y) - max(b, x)) for x, y in lines] if len(lines) < 200 else None
-            if over is None:
-                continue
-            own = over.index(max(over)) if max(over) else max([k for k, (x, _) in enumerate(lines) if x < e], default=0)
-            want[own] += 1
+        lengths = token_bytes(text)
+        want = attributed(lengths, lines)
+        assert sum(lengths) == len(text.encode()) and len(got[d]) == len(lines)
         for k, (x, y) in enumerate(lines):
             for r in got[d][k]:
-                assert text[r.char_start : r.char_end].encode() == text.encode()[x:y] and r.doc_tokens == len(ids)
-                assert len(lines) >= 200 or r.n_tokens == want[k]
+                assert text[r.char_start : r.char_end].encode() == text.encode()[x:y] and (r.doc_tokens, r.n_tokens) == (len(lengths), want[k])
 
 
 def test_crossing_tokens_go_by_most_bytes(spark):
@@ -135,24 +151,65 @@ def test_crossing_tokens_go_by_most_bytes(spark):
     assert sum(r[4] for r in got) == got[0][6] == 2 and sum(r[5] for r in got) == 1
 
 
-ITEMS = [(1, "w1 w2 w3"), (2, None), (3, "..."), (3, "The same line of navigation everywhere. w5 w6 w7 w8 w9 w10"), (9, "A LINE that is long enough to count other words stand here")]
-
-
-@pytest.mark.parametrize("blocks", [20_000_000, 8])
+def test_any_sections(spark, token_bytes):
+    """Sections in any order, overlapping, empty, beyond the text, without a bound, or none at all; texts with wide characters."""
+    rng = np.random.default_rng(2)
+    texts = ["héllo wörld, 漢字 and\n\n\nthe rest of it " * 3, "plain words only " * 5, "", "é"]
+    rows = [(0, None, [(0, 4)]), (1, texts[0], None), (2, texts[0], []), (3, texts[0], [None, (None, 4), (2, None)]), (4, texts[0], [(5, 900), (-7, 3), None, (3, 3), (9, 2)])]
+    for i in range(60):
+        t = texts[i % 4]
+        rows.append((10 + i, t, [tuple(int(x) for x in rng.integers(-5, len(t) + 9, 2)) for _ in range(rng.integers(1, 7))]))
+    df = spark.createDataFrame(rows, "doc_id int, text string, parts array<struct<start:int,end:int>>").repartition(3)
+    got = {}
+    for r in op3_token_counts.count_tokens(df, sections_col="parts").collect():
+        got.setdefault(r.doc_id, {})[r.section] = r
+    for d, text, parts in rows:
+        text = text or ""
+        given = list(parts or ())
+        known = [(x, i) for i, x in enumerate(given) if x and None not in x]
+        if not known:
+            given.append((0, len(text)))
+            known = [((0, len(text)), len(given) - 1)]
+        clamp = lambda x: min(max(x, 0), len(text))
+        spans, reached = [], 0
+        for s, e, i in sorted((clamp(s), clamp(e), i) for (s, e), i in known):
+            s, e, reached = max(s, reached), e, max(reached, e)
+            spans.append((len(text[:s].encode()), len(text[: max(s, e)].encode()), i))
+        counts = attributed(token_bytes(text), [x[:2] for x in spans])
+        want = dict.fromkeys(range(len(given)), 0) | {i: n for (_, _, i), n in zip(spans, counts)}
+        assert {k: r.n_tokens for k, r in got[d].items()} == want, (d, text, parts)
+        assert [(r.char_start, r.char_end) for _, r in sorted(got[d].items())] == [x or (None, None) for x in given]
+        assert {r.doc_tokens for r in got[d].values()} == {len(token_bytes(text))}
+
+
+ITEMS = [(1, "w1 w2 w3"), (2, None), (3, "..."), (None, "w4 w5"), (None, "w8"), (3, "The same line of navigation everywhere. w5 w6 w7 w8 w9 w10"), (9, "A LINE that is long enough to count other words stand here")]
+
+
+@pytest.mark.parametrize("blocks", [1_000_000, 40])
 def test_decontamination(docs, frame, rows, spark, blocks):
-    items = ITEMS + [(100 + d, t[50:400]) for d, t, _ in docs[3:9] if t]
+    """In one block and in many, with an item longer than a block, items that repeat an id, and items without one."""
+    items = ITEMS + [(100 + d, t[50:400]) for d, t, _ in docs[3:9] if t] + [(7, t[:3000]) for _, t, _ in docs[10:11] if t]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = op4_decontamination.contamination(frame(docs), bench, block_words=blocks)
+    got = op4_decontamination.contamination(frame(docs), bench, block_windows=blocks)
     want = sorted(brute.contamination([(d, t) for d, t, _ in docs], items), key=repr)
     assert rows(got, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == want
-    assert rows(op4_decontamination.decontaminate(frame(docs), bench), "doc_id") == [(d,) for d, *_, bad in want if not bad]
+    whole = op4_decontamination.contamination(frame(docs), bench)
+    assert rows(got, "doc_id", "spans", "items") == rows(whole, "doc_id", "spans", "items")
+    assert rows(op4_decontamination.decontaminate(frame(docs), bench, block_windows=blocks), "doc_id") == [(d,) for d, *_, bad in want if not bad]
 
 
-def test_spans_are_cut_out(spark):
-    df = spark.createDataFrame([(1, "Keep this. One two, THREE four! And this."), (2, "clean")], "doc_id long, text string")
-    bench = spark.createDataFrame([(1, "one two three four")], "item_id long, text string")
-    got = dict(tuple(r) for r in op4_decontamination.decontaminate(df, bench, remove="spans").collect())
-    assert got == {1: "Keep this. ! And this.", 2: "clean"}
+@pytest.mark.parametrize("blocks", [1_000_000, 2])
+def test_spans_are_cut_out(docs, frame, rows, spark, blocks):
+    df = spark.createDataFrame([(1, "Keep this. One two, THREE four! And this."), (2, "clean"), (3, "one two three four ONE-TWO-THREE-FOUR five"), (4, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "one two three four"), (2, "four five")], "item_id long, text string")
+    got = dict(tuple(r) for r in op4_decontamination.decontaminate(df, bench, remove="spans", block_windows=blocks).collect())
+    assert {k: v or "" for k, v in got.items()} == {1: "Keep this. ! And this.", 2: "clean", 3: "", 4: ""}
+    items = ITEMS + [(100 + d, t[50:400]) for d, t, _ in docs[3:9] if t]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    left = rows(op4_decontamination.decontaminate(frame(docs), bench, remove="spans", block_windows=10 * blocks), "doc_id", "text")
+    word = lambda t: brute.BENCH_WORD.findall(brute.lower(t or ""))
+    counts = {(d, n - hit) for d, n, hit, *_ in brute.contamination([(d, t) for d, t, _ in docs], items)}
+    assert {(d, len(word(t))) for d, t in left} == counts and len(left) == len(docs)
 
 
 def test_quality(docs, frame, rows):
