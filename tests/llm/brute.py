@@ -40,6 +40,43 @@ def pii(text):
     return (*(sum(k == i for _, k, _ in out) for i in range(4)), sha(joined), joined)
 
 
+def pattern_graph(mentions, min_support=5, min_confidence=0.8, min_belief=0.95, doubt=0.25):
+    """mentions: (instance, kind or None, shape, patterns) -> {instance: kind} of the candidates accepted at the end."""
+    kinds, shape, around = defaultdict(set), {}, defaultdict(set)
+    for i, k, s, ps in mentions:
+        if k is None:
+            shape[i] = shape.get(i, 0) | s
+        else:
+            kinds[i].add(k)
+        for p in ps:
+            around[p].add(i)
+    accepted = {}
+    while True:
+        confidence = {}
+        for p, own in around.items():
+            for k in range(4):
+                backs = sum(k in kinds[i] if i in kinds else accepted.get(i) == k for i in own)
+                weight = 1 + sum(1 if i in kinds or i in accepted or not shape[i] >> k & 1 else doubt for i in own)
+                if backs >= min_support and round(backs / weight, 9) >= min_confidence:
+                    confidence[p, k] = round(backs / weight, 9)
+        new = {}
+        for i in shape:
+            if i in kinds or i in accepted:
+                continue
+            best = (0, 0)
+            for k in range(4):
+                left = 1.0
+                for p in around:
+                    if i in around[p] and (p, k) in confidence and shape[i] >> k & 1:
+                        left *= max(1 - confidence[p, k], 1e-6)
+                best = max(best, (round(1 - left, 9), -k))
+            if best[0] >= min_belief:
+                new[i] = -best[1]
+        if not new:
+            return accepted
+        accepted |= new
+
+
 def contamination(docs, items, n=10):
     windows = defaultdict(set)
     for i, text in items:

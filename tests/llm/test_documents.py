@@ -33,6 +33,51 @@ def test_pii_discovers_by_context(frame):
     assert got[200].spans == "" and got[5].n_phone == 1
 
 
+def test_pii_by_one_cue_and_in_chains(frame):
+    """A left cue alone is enough where many seeds have it; what one round finds is a seed of the next, to the end."""
+    rng = np.random.default_rng(4)
+    word = lambda: f"w{rng.integers(0, 10**9)}"
+    docs = [(i, f"{word()} {word()} phone: +1 (656) 555-{1000 + i} {word()} {word()}", "a") for i in range(1500)]
+    docs += [(10_000 + i, f"{word()} {word()} phone: 656-555-{2000 + i} {word()} {word()}", "a") for i in range(4)]
+    # 'phone' finds numbers that stand at 'desk' too, these make 'desk' sure and find those at 'room', which find the one at 'hall'
+    chain = [("phone:", "desk", 200), ("desk", "room", 30), ("room", "hall", 1)]
+    docs += [(20_000 + 1000 * step + i, f"{word()} {word()} {a} 656-{700 + step}-{3000 + i} {word()} {word()}", "a") for step, (*cues, n) in enumerate(chain) for i in range(n) for a in cues]
+    docs += [(30_000 + i, f"{word()} {word()} part 656-555-{5000 + i} {word()} {word()}", "a") for i in range(30)]
+    got = {}
+    for r in op1_pii.find_pii(frame(docs)).collect():
+        got[r.doc_id] = max(got.get(r.doc_id, 0), r.n_found)
+    assert all(got[10_000 + i] == 1 for i in range(4)) and all(got[20_000 + 1000 * k + i] == 1 for k, (*_, n) in enumerate(chain) for i in range(n))
+    assert not any(got[30_000 + i] for i in range(30))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_pii_graph(spark, seed):
+    """Random graphs with hubs, conflicts between kinds, ties, and discoveries in later rounds."""
+    rng = np.random.default_rng(seed)
+    mentions = []
+    for i in range(400):
+        kind = int(rng.integers(0, 4))
+        seeded = rng.random() < 0.6
+        shape = 1 << kind | (int(rng.integers(0, 16)) if rng.random() < 0.5 else 0)
+        cues = [f"p{kind}{rng.integers(0, 3)}" if rng.random() < 0.9 else f"p{rng.integers(0, 4)}{rng.integers(0, 6)}" for _ in range(rng.integers(1, 4))]
+        for _ in range(rng.integers(1, 3)):
+            mentions.append((i, kind if seeded else None, shape, [hash_of(x) for x in {*cues, *(["hub"] if rng.random() < 0.5 else [])}]))
+    mentions.append((7, None, 15, [hash_of("p00")]))
+    df = spark.createDataFrame(mentions, "instance long, kind int, shape int, patterns array<long>")
+    got = {r.instance: r.kind for r in op1_pii.believed(df, 5, 0.6, 0.8, 0.25).collect()}
+    assert got == brute.pattern_graph(mentions, 5, 0.6, 0.8, 0.25) and 20 < len(got) < 160
+
+
+def hash_of(x):
+    return zlib.crc32(x.encode())
+
+
+def test_pii_contexts_are_words():
+    far = "call" + " " * 500 + "+1 (656) 555-1000" + "\n" * 300 + "x" * 900
+    s = far.index("+")
+    assert op1_pii.patterns(far, s, s + 17) == ["call _", f"{op1_pii.EDGE} call _", "call _ " + "x" * 900, "_ " + "x" * 900 + f" {op1_pii.EDGE}", "_ " + "x" * 900]
+
+
 def test_packing_round_trip(docs, frame):
     from tokenizers import Tokenizer
 
