@@ -1,10 +1,18 @@
 """License scans, with DataFrame operations only: sparse TF-IDF cosine to templates, then directory inheritance.
 
-Lines that may state a licence are those with an anchor, a string that every template has one of. Their terms and
-the templates' are weighted by TF-IDF over all such lines, and a line takes the licence of the template with the
-highest cosine, from `min_score` on. A file takes the licence of its best line. A file without one inherits from the
-licence file of the nearest directory above it, found by joining paths: the distinct directories, not the files, meet
-their ancestors, so a directory with a third of all files is one row.
+Documents' terms are counted over the whole corpus. Templates are the statements, headers, titles and paragraphs of
+well-known licences, as unit vectors of TF-IDF weights. What is held against them are the units of a file: each line,
+each header, that is each block of lines up to a blank one, and the whole text of a file that is named as a licence.
+Copyright notices are taken out before. A unit takes the licence of the template with the highest cosine, from
+`min_score` on; a file takes that of its best unit.
+
+Most units need not be weighed, by a bound that loses no hit. Of each template the terms of the highest weight are taken
+until the rest of its vector is shorter than min_score. A unit without any of these terms meets the template in the
+rest alone, and its cosine, at most the length of the rest, is below min_score. So only texts, and in them only lines and
+blocks, with such a term are weighed, as whole units with all their terms.
+
+A file without a licence inherits from the licence file of the nearest directory above it, found by joining paths: the
+distinct directories, not the files, meet their ancestors, so a directory with a third of all files is one row.
 """
 
 from __future__ import annotations
@@ -13,110 +21,235 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stack, staged
-
-#: Usual statements of well-known licences.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "MIT": "Released under the MIT License",
-    "MIT-long": "Permission is hereby granted, free of charge, under the terms of the MIT License",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "GPL-2.0": "This program is licensed under the GNU General Public License, version 2",
-    "LGPL-3.0": "This library is licensed under the GNU Lesser General Public License, version 3",
-    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-    "BSD-3-Clause": "Use of this source code is governed by a BSD-style license",
-    "CC-BY-4.0": "Licensed under CC BY 4.0",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
-    "CC0-1.0": "Released into the public domain under CC0 1.0",
-    "proprietary": "All rights reserved",
-}
-ANCHORS = ("licen", "rights reserved", "public domain", "copyright")
+from .common import HOT_KEYS, spread_join, stack, staged
+
+#: Public texts of licences, or the parts that identify them. Several rows may have one licence.
+TEMPLATES = (
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ Terms and conditions for use, reproduction, and distribution"),
+    (
+        "Apache-2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at '
+        "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+        '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and '
+        "limitations under the License.",
+    ),
+    (
+        "Apache-2.0",
+        'Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements. See the NOTICE file distributed with this work for additional information '
+        'regarding copyright ownership. The ASF licenses this file to You under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
+    ),
+    ("MIT", "Released under the MIT License"),
+    ("MIT", "The MIT License (MIT)"),
+    ("MIT", "MIT License"),
+    ("MIT", "Permission is hereby granted, free of charge, under the terms of the MIT License"),
+    (
+        "MIT",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software '
+        "without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+        "persons to whom the Software is furnished to do so, subject to the following conditions:",
+    ),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    (
+        "MIT",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR '
+        "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy"),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies.",
+    ),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license"),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code "
+        "must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list "
+        "of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of "
+        "its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ),
+    (
+        "BSD-3-Clause",
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF '
+        "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+        "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+        "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+        "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    (
+        "GPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version.",
+    ),
+    ("GPL-2.0", "This program is licensed under the GNU General Public License, version 2"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either "
+        "version 2 of the License, or (at your option) any later version.",
+    ),
+    ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    (
+        "LGPL-3.0",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
+    ),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
+    ),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at "
+        "https://mozilla.org/MPL/2.0/.",
+    ),
+    ("CC-BY-4.0", "CC BY 4.0"),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0", "CC BY-SA 4.0"),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "CC BY-NC 4.0"),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC0-1.0", "Released into the public domain under CC0 1.0"),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("proprietary", "All rights reserved"),
+)
 TERM = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
+#: A copyright notice at the begin of a lower-case line: up to the end of the sentence that has its year. No term is cut.
+NOTICE = r"^[^a-z0-9]*(?:copyright|\(c\)|©)[^.]*[0-9]{4}[^\n]*?(?:\.[ \t\r]|\.?\z)"
+BLANK = r"^[ \t\r]*\z"
+#: Names that licence files have.
+NAMED = r"(?i)(?:^|/)(?:(?:un)?licen[cs]e|copying|copyright|notice)[^/]*$"
 
 
 def terms(line: Column) -> Column:
-    return F.regexp_extract_all(F.lower(line), F.lit(TERM), F.lit(0))
-
-
-def has_anchor(text: Column) -> Column:
-    low = F.lower(text)
-    found = F.contains(low, F.lit(ANCHORS[0]))
-    for a in ANCHORS[1:]:
-        found = found | F.contains(low, F.lit(a))
-    return found
-
-
-def anchored_lines(text: Column) -> Column:
-    """array<struct<line, said>>: the lines with an anchor; most texts have none and aren't split."""
-    every = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("said")))
-    return F.when(has_anchor(text), F.filter(every, lambda x: has_anchor(x["said"])))
-
-
-def statement_scores(lines: DataFrame, min_score: float) -> DataFrame:
-    """(_row, license, score, line): the best statement of each row with lines (_row, line, said), staged."""
-    spark = lines.sparkSession
-    counted = lines.select("_row", "line", F.explode(terms(F.col("said"))).alias("term")).groupBy("_row", "line", "term").agg(F.count(F.lit(1)).alias("tf"))
-    counted = staged(counted, "license-terms")
-    template = spark.createDataFrame(list(TEMPLATES.items()), "license string, said string")
-    vocabulary = template.select("license", F.explode(terms(F.col("said"))).alias("term")).groupBy("license", "term").agg(F.count(F.lit(1)).alias("tf"))
-    total = lines.count()
-    known = F.broadcast(vocabulary.select("term").distinct())  # the templates' terms: fixed
-    seen = counted.join(known, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    weigh = F.log((F.lit(total) + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)) + 1
-    idf = vocabulary.select("term").distinct().join(seen, "term", "left").select("term", weigh.alias("idf"))
-    rare = F.log(F.lit(total) + 1.0) + 1  # terms of no template weigh as unseen ones
-    sides = vocabulary.join(idf, "term").select("license", "term", (F.col("tf") * F.col("idf")).alias("t"))
-    sides = sides.withColumn("t", F.col("t") / F.sqrt(F.sum(F.col("t") * F.col("t")).over(W.partitionBy("license"))))
-    weights = counted.join(F.broadcast(idf), "term", "left").select("_row", "line", "term", (F.col("tf") * F.coalesce("idf", rare)).alias("w"))
-    norms = weights.groupBy("_row", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = weights.join(F.broadcast(sides), "term").groupBy("_row", "line", "license").agg(F.sum(F.col("w") * F.col("t")).alias("dot"))
-    scored = dots.join(norms, ["_row", "line"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 4)).where(F.col("score") >= min_score)
-    best = scored.groupBy("_row").agg(F.min(F.struct((-F.col("score")).alias("s"), "line", "license")).alias("x"))
-    return best.select("_row", F.regexp_replace("x.license", "-long$", "").alias("license"), (-F.col("x.s")).alias("score"), F.col("x.line").cast("long").alias("line"))
+    return F.regexp_extract_all(F.regexp_replace(F.lower(line), NOTICE, " "), F.lit(TERM), F.lit(0))
+
+
+def document_terms(text: Column) -> Column:
+    """The distinct terms of a whole text, copyright notices too."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
+
+
+def weight(df: str, total: int) -> Column:
+    return F.log((F.lit(total) + 1.0) / (F.coalesce(df, F.lit(0)) + 1.0)) + 1
+
+
+def template_sides(spark: SparkSession, frequency: DataFrame, total: int) -> DataFrame:
+    """(template, license, term, t, key): unit vectors; key marks the terms without which a unit stays below the score that is asked for."""
+    said = spark.createDataFrame([(i, *x) for i, x in enumerate(TEMPLATES)], "template int, license string, said string")
+    counted = said.select("template", "license", F.explode(terms(F.col("said"))).alias("term")).groupBy("template", "license", "term").agg(F.count(F.lit(1)).alias("tf"))
+    known = frequency.join(F.broadcast(counted.select("term").distinct()), "term", "left_semi")
+    weighed = counted.join(known, "term", "left").select("template", "license", "term", (F.col("tf") * weight("df", total)).alias("w"))
+    return weighed.select("template", "license", "term", (F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("template")))).alias("t"))
+
+
+def key_terms(sides: DataFrame, min_score: float) -> list[str]:
+    """Of each template the heaviest terms, until what is left of its vector is shorter than min_score."""
+    upto = W.partitionBy("template").orderBy(F.desc("t"), "term")
+    left = 1 - F.coalesce(F.sum(F.col("t") * F.col("t")).over(upto.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+    # a hair more, for rounding: a key term too many only means more to weigh
+    keys = sides.withColumn("left", left).where(F.col("left") >= (min_score - 1e-4) ** 2).select("term").distinct()
+    return sorted(r.term for r in keys.collect())  # of the templates, whatever the corpus
+
+
+def unit_terms(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(_row, unit, line, term, tf): the terms of the lines, blocks and whole texts that hold a key term. rows: (_row, path, text).
+
+    unit tells units of a text apart; line is where one begins.
+    """
+    lines = rows.select("_row", F.posexplode(F.split("text", "\n")).alias("line", "said"))
+    own = lines.select("_row", "line", F.rlike("said", F.lit(BLANK)).alias("blank"), terms(F.col("said")).alias("terms"))
+    # a block's number is that of the blank lines before it; the lines of a text are no more than one row held
+    block = F.count_if(F.col("blank")).over(W.partitionBy("_row").orderBy("line").rowsBetween(W.unboundedPreceding, 0))
+    hit = F.arrays_overlap("terms", F.array(*map(F.lit, keys)).cast("array<string>"))
+    marked = staged(own.withColumn("block", block).where(~F.col("blank")).withColumn("hit", hit), "license-lines")
+    one = marked.where("hit").select("_row", F.concat(F.lit("l"), F.col("line").cast("string")).alias("unit"), "line", "terms")
+    blocks = marked.groupBy("_row", "block").agg(F.min("line").alias("_first"), F.count(F.lit(1)).alias("_lines"), F.max("hit").alias("_hit")).where("_hit and _lines > 1")
+    many = marked.join(blocks, ["_row", "block"]).select("_row", F.concat(F.lit("b"), F.col("block").cast("string")).alias("unit"), F.col("_first").alias("line"), "terms")
+    whole = rows.where(F.rlike("path", F.lit(NAMED))).select("_row")
+    whole = marked.join(whole, "_row", "left_semi").select("_row", F.lit("w").alias("unit"), F.lit(0).alias("line"), "terms")
+    each = one.unionByName(many).unionByName(whole).select("_row", "unit", "line", F.explode("terms").alias("term"))
+    return each.groupBy("_row", "unit", "line", "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def unit_scores(counted: DataFrame, frequency: DataFrame, sides: DataFrame, total: int, min_score: float) -> DataFrame:
+    """(_row, license, score, line): the best unit of each row that has one. 'proprietary' counts where no licence is stated."""
+    held = counted.groupBy("term").agg(F.count(F.lit(1)).alias("held"))
+    known = staged(frequency.join(held, "term"), "license-known")
+    weighed = spread_join(counted, known, ["term"], F.col("held") > counted.count() // HOT_KEYS).withColumn("w", F.col("tf") * weight("df", total))
+    weighed = staged(weighed.select("_row", "unit", "line", "term", "w"), "license-weights")
+    norms = weighed.groupBy("_row", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    # the templates' terms: fixed
+    dots = weighed.join(F.broadcast(sides), "term").groupBy("_row", "unit", "line", "template", "license").agg(F.sum(F.col("w") * F.col("t")).alias("dot"))
+    scored = dots.join(norms, ["_row", "unit"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 4)).where(F.col("score") >= min_score)
+    best = scored.groupBy("_row").agg(F.min(F.struct((F.col("license") == "proprietary").alias("p"), (-F.col("score")).alias("s"), "line", "license")).alias("x"))
+    return best.select("_row", F.col("x.license").alias("license"), (-F.col("x.s")).alias("score"), F.col("x.line").cast("long").alias("line"))
 
 
 def scan_licenses(df: DataFrame, min_score: float = 0.6, id_col: str = "doc_id", text_col: str = "text", path_col: str = "path") -> DataFrame:
     """One row per input row: doc_id, path, license, how (stated, inherited or none), score, line, licensed_by.
 
-    A licence file is one whose first line states a licence; of several in one directory the one with the smallest id
-    speaks for it. Of lines with equal scores the first counts, then the licence first by name. licensed_by is the
+    A licence file is one that is named as such, or whose first line or first block states a licence; of several in one
+    directory the one with the smallest id speaks for it. Of units with equal scores the one that begins first counts,
+    then the licence first by name; a licence goes before 'proprietary', all rights reserved. licensed_by is the
     directory inherited from. Null and empty texts state nothing; a null path is in no directory; repeated rows are
     each returned; an empty table gives an empty result; other columns are ignored.
     """
-    path = F.col(path_col).cast("string")
-    # row numbers hold for one reading of df only, so all that is needed of it is read and staged at once
+    spark = df.sparkSession
+    text, path = F.col(text_col).cast("string"), F.col(path_col).cast("string")
+    each = df.select(text.alias("text"))
+    total = each.count()
+    frequency = staged(each.select(F.explode(document_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "license-frequency")
+    sides = staged(template_sides(spark, frequency, total), "license-sides")
+    keys = key_terms(sides, min_score)
+    # row numbers hold for one reading of df only, so all that is needed of it from here on is read and staged at once
     rows = df.select(
         F.monotonically_increasing_id().alias("_row"),
         F.col(id_col).alias("doc_id"),
         path.alias("path"),
         F.regexp_replace(path, "/?[^/]*$", "").alias("dir"),
-        anchored_lines(F.col(text_col).cast("string")).alias("said"),
+        F.when(F.arrays_overlap(document_terms(text), F.array(*map(F.lit, keys)).cast("array<string>")), text).alias("text"),
     )
-    rows = staged(rows, "license-lines")
-    stated = staged(statement_scores(rows.select("_row", F.explode("said").alias("x")).select("_row", "x.line", "x.said"), min_score), "license-statements")
-    files = staged(rows.drop("said").join(stated, "_row", "left"), "license-files")
-    named = files.where("license is not null and line = 0 and dir is not null").groupBy("dir").agg(F.min(F.struct("doc_id", "license")).alias("x"))
+    rows = staged(rows, "license-rows")
+    counted = staged(unit_terms(rows.where("text is not null").select("_row", "path", "text"), keys), "license-terms")
+    stated = staged(unit_scores(counted, frequency, sides, total, min_score), "license-statements")
+    files = staged(rows.drop("text").join(stated, "_row", "left"), "license-files")
+    named = files.where("license is not null and dir is not null").where((F.col("line") == 0) | F.rlike("path", F.lit(NAMED)))
+    named = named.groupBy("dir").agg(F.min(F.struct("doc_id", "license")).alias("x"))
     speaking = named.select(F.col("dir").alias("licensed_by"), F.col("x.license").alias("from_dir"))
-    dirs = files.where("license is null and dir is not null").select("dir").distinct()
+    dirs = files.where("license is null and dir is not null").groupBy("dir").agg(F.count(F.lit(1)).alias("_files"))
     depth = F.size(F.split("dir", "/"))
     above = dirs.withColumn("depth", F.explode(F.sequence(F.lit(0), depth))).withColumn("up", F.expr("substring_index(dir, '/', depth)"))
-    nearest = above.join(speaking, F.col("up") == F.col("licensed_by")).groupBy("dir").agg(F.max_by(F.struct("licensed_by", "from_dir"), "depth").alias("x"))
-    nearest = nearest.select("dir", "x.licensed_by", "x.from_dir")
-    open_files = files.where("license is null").join(nearest, "dir", "left")
-    own = files.where("license is not null")
-    return own.select("doc_id", "path", "license", F.lit("stated").alias("how"), "score", "line", F.lit(None).cast("string").alias("licensed_by")).unionByName(
-        open_files.select(
-            "doc_id",
-            "path",
-            F.col("from_dir").alias("license"),
-            F.when(F.col("from_dir").isNotNull(), "inherited").otherwise("none").alias("how"),
-            "score",
-            "line",
-            "licensed_by",
-        )
-    )
+    nearest = above.join(speaking, F.col("up") == F.col("licensed_by")).groupBy("dir").agg(F.max_by(F.struct("licensed_by", "from_dir"), "depth").alias("x"), F.first("_files").alias("_files"))
+    nearest = staged(nearest.select("dir", "x.licensed_by", "x.from_dir", "_files"), "license-nearest")
+    none = F.lit(None).cast("string")
+    own = files.where("license is not null").select("doc_id", "path", "license", F.lit("stated").alias("how"), "score", "line", none.alias("licensed_by"))
+    left = files.where("license is null")
+    heirs = spread_join(left, nearest, ["dir"], F.col("_files") > total // HOT_KEYS)
+    heirs = heirs.select("doc_id", "path", F.col("from_dir").alias("license"), F.lit("inherited").alias("how"), "score", "line", "licensed_by")
+    bare = left.join(nearest.select("dir"), "dir", "left_anti").select("doc_id", "path", none.alias("license"), F.lit("none").alias("how"), "score", "line", none.alias("licensed_by"))
+    return own.unionByName(heirs).unionByName(bare)
 
 
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,31 +261,39 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    values = ", ".join(f"('{k}', '{v.lower()}')" for k, v in TEMPLATES.items())
-    anchored = " or ".join(f"contains(lower({{0}}), '{a}')" for a in ANCHORS)
+    """Every line and every block against every template, without the bound."""
+    quoted = lambda x: "'" + x.lower().replace("'", "''") + "'"
+    values = ", ".join(f"({i}, '{k}', {quoted(v)})" for i, (k, v) in enumerate(TEMPLATES))
     return f"""
-with lines as (
-  select * from (select doc_id, unnest(range(len(string_split(text, chr(10))))) as line, unnest(string_split(text, chr(10))) as said from documents where {anchored.format('text')})
-  where {anchored.format('said')}
+with total as (select count(*) as n from documents
+), frequency as (
+  select term, count(*) as df from (select unnest(list_distinct(regexp_extract_all(lower(text), '{TERM}'))) as term from documents) group by 1
+), lines as (
+  select doc_id, line, regexp_matches(said, '{BLANK}') as blank, regexp_extract_all(regexp_replace(lower(said), '{NOTICE}', ' '), '{TERM}') as terms
+  from (select doc_id, unnest(range(len(string_split(text, chr(10))))) as line, unnest(string_split(text, chr(10))) as said from documents)
+), marked as (
+  select * from (select *, count(*) filter (where blank) over (partition by doc_id order by line rows unbounded preceding) as block from lines) where not blank
+), units as (
+  select doc_id, 'l' || line as unit, line, terms from marked
+  union all
+  select doc_id, 'b' || block, first_line, terms from (select *, min(line) over w as first_line, count(*) over w as n from marked window w as (partition by doc_id, block)) where n > 1
 ), counted as (
-  select doc_id, line, term, count(*) as tf from (select doc_id, line, unnest(regexp_extract_all(lower(said), '{TERM}')) as term from lines) group by all
+  select doc_id, unit, line, term, count(*) as tf from (select doc_id, unit, line, unnest(terms) as term from units) group by all
 ), vocabulary as (
-  select license, term, count(*) as tf from (select license, unnest(regexp_extract_all(said, '{TERM}')) as term from (values {values}) as t(license, said)) group by all
-), total as (select count(*) as n from lines
-), idf as (
-  select v.term, ln((n + 1.0) / (coalesce(d.df, 0) + 1.0)) + 1 as idf
-  from (select distinct term from vocabulary) v cross join total left join (select term, count(*) as df from counted group by term) d on v.term = d.term
+  select template, license, term, count(*) as tf
+  from (select template, license, unnest(regexp_extract_all(regexp_replace(said, '{NOTICE}', ' '), '{TERM}')) as term from (values {values}) as t(template, license, said)) group by all
 ), sides as (
-  select license, v.term, v.tf * idf / sqrt(sum(v.tf * idf * v.tf * idf) over (partition by license)) as t from vocabulary v join idf on v.term = idf.term
+  select template, license, term, w / sqrt(sum(w * w) over (partition by template)) as t
+  from (select template, license, v.term, v.tf * (ln((n + 1.0) / (coalesce(f.df, 0) + 1.0)) + 1) as w from vocabulary v cross join total left join frequency f on v.term = f.term)
 ), weights as (
-  select doc_id, line, c.term, c.tf * coalesce(i.idf, ln(n + 1.0) + 1) as w from counted c cross join total left join idf i on c.term = i.term
+  select doc_id, unit, line, c.term, c.tf * (ln((n + 1.0) / (f.df + 1.0)) + 1) as w from counted c cross join total join frequency f on c.term = f.term
 ), scored as (
   select d.doc_id, d.line, d.license, round(d.dot / m.norm, 4) as score
-  from (select doc_id, line, license, sum(w * t) as dot from weights join sides on weights.term = sides.term group by all) d
-  join (select doc_id, line, sqrt(sum(w * w)) as norm from weights group by all) m on d.doc_id = m.doc_id and d.line = m.line
+  from (select doc_id, unit, line, template, license, sum(w * t) as dot from weights join sides on weights.term = sides.term group by all) d
+  join (select doc_id, unit, sqrt(sum(w * w)) as norm from weights group by all) m on d.doc_id = m.doc_id and d.unit = m.unit
 ), best as (
-  select doc_id, regexp_replace(license, '-long$', '') as license, score, line
-  from scored where score >= 0.6 qualify row_number() over (partition by doc_id order by score desc, line, license) = 1
+  select doc_id, license, score, line
+  from scored where score >= 0.6 qualify row_number() over (partition by doc_id order by license = 'proprietary', score desc, line, license) = 1
 ), files as (
   select d.doc_id, b.license, b.score, b.line,
          case when d.doc_id % 1000 = 0 then source

@@ -43,6 +43,67 @@ def test_inheritance(spark):
     assert got[5].how == got[7].how == got[9].how == got[10].how == "none" and got[8].license == "CC-BY-NC-4.0"
 
 
+GPL = """# frob - frobs things
+# Copyright (C) 2019-2021  J. Doe <doe@example.org>
+#
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+
+import frob
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+"""
+FILES = [
+    ("CC-BY-4.0", "pictures/notes.txt", "Some pictures of the sea.\nCC BY 4.0\nMore on them."),
+    ("BSD-3-Clause", "bsd/LICENSE", "Copyright (c) 2010, The Frob Project\nAll rights reserved.\n\n" + BSD),
+    ("BSD-3-Clause", "bare/LICENSE", BSD),
+    ("MIT", "mit/frob.js", "/*\n * Copyright (c) 2020 J. Doe\n *\n * Permission is hereby granted, free of charge, to any person obtaining a copy\n * of this software\n */\nfrob();"),
+    ("GPL-3.0", "gpl/frob.py", GPL),
+    ("BSD-3-Clause", "go/a.go", "// Copyright 2009 The Frob Authors. All rights reserved.\n// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file.\n\npackage frob"),
+    ("GPL-2.0", "old/a.c", "/* " + L.TEMPLATES[[x[0] for x in L.TEMPLATES].index("GPL-2.0") + 2][1] + " */"),
+    ("Apache-2.0", "ap/COPYING", "\n".join(L.TEMPLATES[i][1] for i in (1, 3))),
+    ("proprietary", "own/a.txt", "Copyright (c) 1999 Frob Inc. All rights reserved."),
+]
+
+
+def test_headers_and_licence_files(spark):
+    """Usual headers and licence files among a table's documents, and what stands below the licence files."""
+    docs = [(r.doc_id, r.text, f"docs/{r.doc_id}") for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    files = [(10_000 + i, text, path) for i, (_, path, text) in enumerate(FILES)] + [(20_000, "frob", "bsd/src/x/y.c"), (20_001, None, "ap/z")]
+    df = spark.createDataFrame(docs + files, "doc_id long, text string, path string").repartition(3)
+    got = {r.doc_id: r for r in L.scan_licenses(df).collect()}
+    assert {p: got[10_000 + i].license for i, (_, p, _) in enumerate(FILES)} == {p: k for k, p, _ in FILES}
+    assert (got[20_000].license, got[20_000].licensed_by, got[20_001].license) == ("BSD-3-Clause", "bsd", "Apache-2.0")
+
+
+def test_the_bound_loses_nothing(spark):
+    """Lines made of templates' words and others: what has no key term is below the score."""
+    import random
+
+    rng = random.Random(3)
+    texts = []
+    for _ in range(300):
+        words = rng.choice(L.TEMPLATES)[1].split()
+        own = [w for w in words if rng.random() < 0.7] + [f"x{rng.randrange(50)}" for _ in range(rng.randrange(6))]
+        rng.shuffle(own)
+        texts.append(" ".join(own))
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, path string")
+    kept = {r.doc_id: (r.license, r.score) for r in L.scan_licenses(df).collect()}
+    every = L.key_terms
+    try:
+        L.key_terms = lambda sides, _: sorted({r.term for r in sides.collect()})
+        assert {r.doc_id: (r.license, r.score) for r in L.scan_licenses(df).collect()} == kept
+    finally:
+        L.key_terms = every
+    assert 50 < sum(k is not None for k, _ in kept.values()) < 300
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None, None)]])
 def test_nothing_there(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string, path string")
