@@ -151,8 +151,9 @@ def document_terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
-def weight(df: str, total: int) -> Column:
-    return F.log((F.lit(total) + 1.0) / (F.coalesce(df, F.lit(0)) + 1.0)) + 1
+def weight(tf: str, df: str, total: int) -> Column:
+    """Of a term that is tf times in its unit and in df of all documents: repeated words of a long text weigh by the logarithm."""
+    return (F.log(F.col(tf)) + 1) * (F.log((F.lit(total) + 1.0) / (F.coalesce(df, F.lit(0)) + 1.0)) + 1)
 
 
 def template_sides(spark: SparkSession, frequency: DataFrame, total: int) -> DataFrame:
@@ -160,7 +161,7 @@ def template_sides(spark: SparkSession, frequency: DataFrame, total: int) -> Dat
     said = spark.createDataFrame([(i, *x) for i, x in enumerate(TEMPLATES)], "template int, license string, said string")
     counted = said.select("template", "license", F.explode(terms(F.col("said"))).alias("term")).groupBy("template", "license", "term").agg(F.count(F.lit(1)).alias("tf"))
     known = frequency.join(F.broadcast(counted.select("term").distinct()), "term", "left_semi")
-    weighed = counted.join(known, "term", "left").select("template", "license", "term", (F.col("tf") * weight("df", total)).alias("w"))
+    weighed = counted.join(known, "term", "left").select("template", "license", "term", weight("tf", "df", total).alias("w"))
     return weighed.select("template", "license", "term", (F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("template")))).alias("t"))
 
 
@@ -197,7 +198,7 @@ def unit_scores(counted: DataFrame, frequency: DataFrame, sides: DataFrame, tota
     """(_row, license, score, line): the best unit of each row that has one. 'proprietary' counts where no licence is stated."""
     held = counted.groupBy("term").agg(F.count(F.lit(1)).alias("held"))
     known = staged(frequency.join(held, "term"), "license-known")
-    weighed = spread_join(counted, known, ["term"], F.col("held") > counted.count() // HOT_KEYS).withColumn("w", F.col("tf") * weight("df", total))
+    weighed = spread_join(counted, known, ["term"], F.col("held") > counted.count() // HOT_KEYS).withColumn("w", weight("tf", "df", total))
     weighed = staged(weighed.select("_row", "unit", "line", "term", "w"), "license-weights")
     norms = weighed.groupBy("_row", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     # the templates' terms: fixed
@@ -284,9 +285,9 @@ with total as (select count(*) as n from documents
   from (select template, license, unnest(regexp_extract_all(regexp_replace(said, '{NOTICE}', ' '), '{TERM}')) as term from (values {values}) as t(template, license, said)) group by all
 ), sides as (
   select template, license, term, w / sqrt(sum(w * w) over (partition by template)) as t
-  from (select template, license, v.term, v.tf * (ln((n + 1.0) / (coalesce(f.df, 0) + 1.0)) + 1) as w from vocabulary v cross join total left join frequency f on v.term = f.term)
+  from (select template, license, v.term, (ln(v.tf) + 1) * (ln((n + 1.0) / (coalesce(f.df, 0) + 1.0)) + 1) as w from vocabulary v cross join total left join frequency f on v.term = f.term)
 ), weights as (
-  select doc_id, unit, line, c.term, c.tf * (ln((n + 1.0) / (f.df + 1.0)) + 1) as w from counted c cross join total join frequency f on c.term = f.term
+  select doc_id, unit, line, c.term, (ln(c.tf) + 1) * (ln((n + 1.0) / (f.df + 1.0)) + 1) as w from counted c cross join total join frequency f on c.term = f.term
 ), scored as (
   select d.doc_id, d.line, d.license, round(d.dot / m.norm, 4) as score
   from (select doc_id, unit, line, template, license, sum(w * t) as dot from weights join sides on weights.term = sides.term group by all) d
