@@ -163,6 +163,12 @@ def spread_join(left: DataFrame, right: DataFrame, on: list[str], hot: Column) -
     return left.join(F.broadcast(big), on).unionByName(rest)
 
 
+def spread_on(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """left.join(right, key) by spread_join(); how many of left's rows have each key is counted."""
+    held = left.groupBy(key).agg(F.count(F.lit(1)).alias("_held"))
+    return spread_join(left, staged(right.join(held, key), "spread"), [key], F.col("_held") > left.count() // HOT_KEYS).drop("_held")
+
+
 def two_level_rank(df: DataFrame, group: list[str], bucket: str, order: list, rank: str) -> DataFrame:
     """0-based rank of each row in its group by (bucket, order), without a group ever meeting in one task.
 

@@ -7,18 +7,24 @@ Index. Sets are put into classes by size so that linked sets are in the same or
 universe of shingles is cut, by hash, into one position more than two linked sets of the class can have differing
 shingles; so linked sets agree in all of at least one position. An index list holds the sets with the same content at
 the same position of the same class. Unlike lists of single shingles, no list grows long because of a passage, line
-or phrase that many documents share: a list needs a whole slice of the set, all shingles of a position, to agree. A position
-without shingles is listed only where a set has so many of them that a linked set could agree in no other.
+or phrase that many documents share: a list needs a whole slice of the set, all shingles of a position, to agree.
+Positions without shingles are in no list. A set with too few others to be sure of a partner cuts the universe anew, by
+another hash, and is listed there too, until a cut fills enough: of two linked sets, the one that stops first is sure to
+meet the other. So unrelated sets share no list.
 
-Index-level skipping. A set reaches only the lists of its class and the next, position by position; within a list,
-whole blocks are passed over by size and by a parity bitmap, whose distance never exceeds the sets' difference.
+Index-level skipping. A set reaches only the lists of its class and the next, position by position. Where the sets of a
+list are to be compared they are cut into blocks, by component and by size; a block's bounds are its sizes and the bits
+that all or any of its sets' parity bitmaps have, whose distance never exceeds the sets' difference. A pair of blocks
+whose bounds allow no link is passed over, and its sets are never sent.
 
 Answer-level skipping. Of each list only (first set, other set) is verified at first. Sets that link to the first one
-share its answer: their component. Lists whose sets then all have one component are skipped; only in the others are
-sets of different components compared, block against block, through the bitmap, and verified. So no link between
-different sets is lost, and a group of n similar sets costs about n verifications, not n squared.
+share its answer: their component. Lists whose sets then all have one component are skipped; in the others no two
+blocks of one component are compared. So no link between different sets is lost, and a group of n similar sets costs
+about n verifications, not n squared.
 
-Equal sets are one set from the start. Lists are sorted streams over all tasks; no list is held in memory.
+Equal sets are one set from the start. Lists are sorted streams over ranges of (list, set): no list is held in memory,
+and a long one is in many tasks, whose first sets are joined up. Joins split hot keys. What stays quadratic is the number
+of pairs of blocks of a list whose sets agree in a slice but aren't similar, a block being BLOCK sets.
 """
 
 from __future__ import annotations
@@ -33,14 +39,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHash, arrow_map, col, list_array, mix64, out_batch, stack, staged, texts
+from .common import HOT_KEYS, WordHash, arrow_map, col, list_array, mix64, out_batch, spread_join, spread_on, stack, staged, texts, tidy
 
 SHINGLE = 3
 SIMILARITY = 90  # per cent
 BITMAP_WORDS = 16
+CUTS = 16  # of the universe, for a set whose shingles lie in few positions
 BLOCK = 1024
 MEMBERS = 256  # sets verified against one copy of a leader's text
-BROADCAST_IDS = 1_000_000
+BROADCAST_IDS = 300_000
 
 
 def shingles(words: list[bytes], known: WordHash, size: int = SHINGLE) -> np.ndarray:
@@ -56,41 +63,48 @@ def shingles(words: list[bytes], known: WordHash, size: int = SHINGLE) -> np.nda
     return np.unique(out)
 
 
+def set_name(s: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
 class Positions:
     """For each class: how many positions its universe is cut into."""
 
     def __init__(self, similarity: int = SIMILARITY) -> None:
         self.similarity = similarity
         self.step = log(100.08 / similarity)  # over 100 / similarity: linked sets are at most one class apart
-        self.cache: dict[int, tuple[int, int, np.ndarray]] = {}
+        self.cache: dict[int, tuple[int, int]] = {}
 
     def differ(self, n: int) -> int:
         """In how many shingles two sets that link, with n shingles together, differ at most."""
         return n * (100 - self.similarity) // (100 + self.similarity)
 
-    def of(self, c: int) -> tuple[int, int, np.ndarray]:
+    def of(self, c: int) -> tuple[int, int]:
         if c not in self.cache:
             largest = int(np.exp((c + 1) * self.step)) + 1
             m = self.differ(2 * largest) + 1
-            m += int(4 * m * exp(-(100 + self.similarity) / (2 * (100 - self.similarity))))  # more than are empty
-            self.cache[c] = m, largest, mix64(np.arange(m, dtype=np.uint64) + np.uint64(c << 32))
+            self.cache[c] = m + int(4 * m * exp(-(100 + self.similarity) / (2 * (100 - self.similarity)))), largest  # more than are empty
         return self.cache[c]
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
         n = len(s)
         own = int(log(n) / self.step + 1e-9)
-        t = mix64(s)
-        low, high = (t & np.uint64(0xFFFFFFFF)).astype(float), (t >> np.uint64(32)).astype(float)
-        spread = (s >> np.uint64(20)) & np.uint64(0xFFFFFFFF)
         out = []
         for c in (own, own + 1):
-            m, largest, salt = self.of(c)
-            at = (spread % np.uint64(m)).astype(np.int64)
-            part = np.bincount(at, low, m).astype(np.uint64) + (np.bincount(at, high, m).astype(np.uint64) << np.uint64(32))
-            filled = np.bincount(at, minlength=m) > 0
-            agree = m - self.differ(n + min(largest, n * 100 // self.similarity))  # positions at least, with any linked set
-            lists = mix64(part ^ salt)
-            out.append(lists[filled] if m - filled.sum() < agree else lists)
+            m, largest = self.of(c)
+            apart = self.differ(n + min(largest, n * 100 // self.similarity))  # positions at most in which a linked set is another
+            for k in range(CUTS):
+                x = s if not k else mix64(s + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64))
+                t = mix64(x)
+                low, high = (t & np.uint64(0xFFFFFFFF)).astype(float), (t >> np.uint64(32)).astype(float)
+                at = (((x >> np.uint64(20)) & np.uint64(0xFFFFFFFF)) % np.uint64(m)).astype(np.int64)
+                part = np.bincount(at, low, m).astype(np.uint64) + (np.bincount(at, high, m).astype(np.uint64) << np.uint64(32))
+                filled = np.bincount(at, minlength=m) > 0
+                lists = mix64(part ^ mix64(np.arange(m, dtype=np.uint64) + np.uint64((c << 32) + (k << 24))))
+                sure = filled.sum() > apart
+                out.append(lists[filled] if sure or k < CUTS - 1 else lists)
+                if sure:
+                    break
         return np.concatenate(out)
 
 
@@ -101,12 +115,12 @@ def bitmap(s: np.ndarray) -> np.ndarray:
 
 
 def sets_of(df: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
-    """(id, n, set, bits, lists) of each row of (id, text); lists is empty where the task saw the set before."""
+    """(id, n, set, bits, lists) of each row of (id, text); lists is empty where there is no id or the task saw the set before."""
     known, positions, seen = WordHash(), Positions(similarity), set()
 
     def look(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, name, bits, lists, sizes = [], [], [], [], []
-        for b in texts(batch):
+        for b, named in zip(texts(batch), col(batch, "id").is_valid().to_pylist(), strict=True):
             s = shingles(b.lower().split(), known, shingle)
             n.append(len(s))
             if not len(s):
@@ -114,13 +128,13 @@ def sets_of(df: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY)
                 bits.append(np.zeros(BITMAP_WORDS, np.int64))
                 sizes.append(0)
                 continue
-            k = int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+            k = set_name(s)
             name.append(k)
             bits.append(bitmap(s))
-            if k in seen:
+            if k in seen or not named:
                 sizes.append(0)
             else:
-                if len(seen) > 1_000_000:
+                if len(seen) > 200_000:
                     seen.clear()
                 seen.add(k)
                 lists.append(positions.signatures(s))
@@ -139,10 +153,13 @@ def sets_of(df: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY)
 
 
 def first_pairs(sets: DataFrame) -> DataFrame:
-    """(list, first, other): each set of an index list of two sets or more, with the list's first set."""
+    """(list, first, other): each set of an index list of two sets or more, with a first set of the list.
+
+    A list that lies in several ranges has a first set in each, and pairs of the first of all with these.
+    """
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_list = first = last = None
+        head = last_list = first = last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -156,13 +173,25 @@ def first_pairs(sets: DataFrame) -> DataFrame:
             at = np.maximum.accumulate(np.where(start, np.arange(len(ls)), -1))
             leads = np.where(at >= 0, st[at], first if first is not None else 0)
             keep = ~start & fresh
+            if head is None:
+                head = ls[0]
+                yield ends(ls[0], st[0])
             last_list, last, first = ls[-1], st[-1], leads[-1]
             if keep.any():
                 yield out_batch(list=ls[keep], first=leads[keep], other=st[keep])
+        if last_list != head:
+            yield ends(last_list, first)
+
+    def ends(name: int, first: int) -> pa.RecordBatch:
+        """A range's first and last list can go on in others: its first set, without another."""
+        return out_batch(list=pa.array([name], pa.int64()), first=pa.array([first], pa.int64()), other=pa.array([None], pa.int64()))
 
     entries = sets.select(F.explode("lists").alias("list"), "set")
-    spread = entries.repartition("list").sortWithinPartitions("list", "set")
-    return spread.mapInArrow(stream, "list long, first long, other long")
+    spread = entries.repartitionByRange("list", "set").sortWithinPartitions("list", "set")
+    found = staged(spread.mapInArrow(tidy(stream), "list long, first long, other long"), "list-pairs")
+    open_ = found.where("other is null").select("list", F.col("first").alias("other")).distinct()  # two for each range
+    firsts = open_.groupBy("list").agg(F.min("other").alias("first"))
+    return found.where("other is not null").unionByName(staged(open_.join(firsts, "list").where("first <> other").select("list", "first", "other"), "list-ends"))
 
 
 def may_link(a: str, b: str, similarity: int = SIMILARITY) -> F.Column:
@@ -173,26 +202,37 @@ def may_link(a: str, b: str, similarity: int = SIMILARITY) -> F.Column:
 
 
 def linked(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
-    """The pairs (a, b: document ids) whose sets link. A text meets only the pairs it is in; many pairs of one a are split."""
-    of = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_n"))
-    keyed = pairs.join(of, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.floor(F.col("_n") / MEMBERS) + 1).alias("part"))
+    """The pairs (a, b: document ids) of pairs (a, sa, b, sb), with the names of their sets, whose sets link.
+
+    A text meets only the pairs it is in; many pairs of one a are split. Of several texts with one id the one with the set is taken.
+    """
+    keyed = spread_on(pairs, pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_n")), "a")
+    keyed = keyed.select("a", "sa", "b", "sb", F.pmod(F.xxhash64("b"), F.floor(F.col("_n") / MEMBERS) + 1).alias("part"))
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    needed = docs.join(F.broadcast(ids) if few else ids, "id", "left_semi").dropDuplicates(["id"])
-    heads = keyed.select("a", "part").distinct().join(needed, F.col("a") == F.col("id")).select("a", "part", F.lit(None).cast("long").alias("b"), "text")
-    tails = keyed.join(needed, F.col("b") == F.col("id")).select("a", "part", "b", "text")
-    rows = heads.unionByName(tails).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    needed = docs.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    none = F.lit(None).cast("long")
+    heads = keyed.select("a", "sa", "part").distinct().join(needed, F.col("a") == F.col("id")).select("a", "sa", "part", none.alias("b"), none.alias("sb"), "text")
+    tails = keyed.join(needed, F.col("b") == F.col("id")).select("a", "sa", "part", "b", "sb", "text")
+    rows = heads.unionByName(tails).repartition("a", "sa", "part").sortWithinPartitions("a", "sa", "part", F.col("b").asc_nulls_first())
     known = WordHash()
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = None
+        head = key = done = None
         for batch in batches:
             found_a, found_b = [], []
-            for a, b, text in zip(col(batch, "a").to_pylist(), col(batch, "b").to_pylist(), texts(batch), strict=True):
+            for a, sa, b, sb, text in zip(*(col(batch, c).to_pylist() for c in ("a", "sa", "b", "sb")), texts(batch), strict=True):
+                if b is not None and (a, sa, b, sb) == done:
+                    continue
                 s = shingles(text.lower().split(), known, shingle)
+                if set_name(s) != (sa if b is None else sb):
+                    continue
                 if b is None:
-                    head = s
+                    head, key = s, (a, sa)
                     continue
+                done = a, sa, b, sb
+                if key != (a, sa):
+                    raise ValueError("a pair without its first text")
                 both = len(np.intersect1d(head, s, assume_unique=True))
                 if 100 * both >= similarity * (len(head) + len(s) - both):
                     found_a.append(a)
@@ -200,46 +240,83 @@ def linked(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, similarity
             if found_a:
                 yield out_batch(a=pa.array(found_a, pa.int64()), b=pa.array(found_b, pa.int64()))
 
-    return rows.mapInArrow(stream, "a long, b long")
+    return rows.mapInArrow(tidy(stream), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(id, component): the smallest id that each id of the links reaches. Labels sink along links and through labels."""
     edges = staged(links.select("a", "b").union(links.select("b", "a")).toDF("a", "b"), "links")
     labels = staged(edges.groupBy("a").agg(F.min("b").alias("l")).select(F.col("a").alias("id"), F.least("a", "l").alias("component")), "labels")
+    few = labels.count() <= BROADCAST_IDS
+    meet = (lambda left, right, key: left.join(F.broadcast(right), key)) if few else spread_on
     while True:
-        seen = edges.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("component").alias("l"))
-        sunk = labels.join(seen, F.col("id") == F.col("a"), "left").select("id", F.least("component", "l").alias("near"), F.col("component").alias("was"))
-        far = labels.select(F.col("id").alias("_of"), F.col("component").alias("_far"))
-        new = sunk.join(far, F.col("near") == F.col("_of"), "left").select("id", F.least("near", "_far").alias("component"), "was")
-        new = staged(new, "labels")
+        seen = meet(edges, labels.select(F.col("id").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("l"))
+        sunk = labels.join(seen, F.col("id") == F.col("a")).select("id", F.least("component", "l").alias("near"), F.col("component").alias("was"))
+        sunk = sunk if few else staged(sunk, "labels-near")
+        far = labels.select(F.col("id").alias("near"), F.col("component").alias("_far"))
+        new = staged(meet(sunk, far, "near").select("id", F.least("near", "_far").alias("component"), "was"), "labels")
         if not new.where("component < was").limit(1).count():
             return new.select("id", "component")
         labels = new.select("id", "component")
 
 
+def block_pairs(members: DataFrame, similarity: int) -> DataFrame:
+    """(list, lo, hi): pairs of blocks of a list, or a block and itself, that may hold a link between components.
+
+    members: (list, block, component, n, bits). Bounds of a block: its sizes, the bits that all and that any of its sets have.
+    """
+    word = lambda i: F.col("bits")[i]
+    bounds = members.groupBy("list", "block").agg(
+        F.min("n").alias("least"),
+        F.max("n").alias("most"),
+        F.min("component").alias("from"),
+        F.max("component").alias("to"),
+        F.array(*[F.bit_and(word(i)) for i in range(BITMAP_WORDS)]).alias("all_have"),
+        F.array(*[F.bit_or(word(i)) for i in range(BITMAP_WORDS)]).alias("any_has"),
+    )
+    bounds = staged(bounds, "block-bounds")
+    p, q = bounds.alias("p"), bounds.alias("q")
+    apart = F.expr(
+        """aggregate(zip_with(zip_with(p.all_have, q.any_has, (x, y) -> x & ~y), zip_with(q.all_have, p.any_has, (x, y) -> x & ~y), (x, y) -> bit_count(x | y)), 0, (s, x) -> s + x)"""
+    )
+    fits = (100 * F.col("p.most") >= similarity * F.col("q.least")) & (100 * F.col("q.most") >= similarity * F.col("p.least"))
+    near = (100 + similarity) * apart <= (100 - similarity) * (F.col("p.most") + F.col("q.most"))
+    several = F.least("p.from", "q.from") < F.greatest("p.to", "q.to")
+    both = p.join(q, (F.col("p.list") == F.col("q.list")) & (F.col("p.block") <= F.col("q.block"))).where(several & fits & near)
+    return both.select(F.col("p.list").alias("list"), F.col("p.block").alias("lo"), F.col("q.block").alias("hi"))
+
+
 def unresolved_pairs(pairs: DataFrame, info: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """Pairs of sets of different components in one index list that size and bitmap let through, block against block.
+    """(a, sa, b, sb): pairs of sets of different components in one index list that size and bitmap let through.
 
-    info: (set, n, bits, id, component). Blocks hold up to BLOCK sets; each pair of blocks is one unit of work.
+    info: (set, n, bits, id, component). Blocks hold about BLOCK sets, of one component if it has as many in the list,
+    else of about one size; a pair of blocks that block_pairs() lets through is a unit of work.
     """
     comp = info.select("set", "component")
-    first, other = comp.toDF("first", "c1"), comp.toDF("other", "c2")
-    open_lists = staged(pairs.join(first, "first").join(other, "other").where("c1 <> c2").select("list").distinct(), "open-lists")
-    inside = pairs.join(open_lists, "list", "left_semi")
+    with_first = spread_on(pairs, comp.toDF("first", "c1"), "first")
+    open_lists = staged(with_first.join(comp.toDF("other", "c2"), "other").where("c1 <> c2").select("list").distinct(), "open-lists")
+    inside = staged(spread_on(pairs, open_lists, "list"), "open-pairs")
     members = inside.select("list", F.col("other").alias("set")).union(inside.select("list", "first")).distinct()
-    sizes = members.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
-    placed = members.join(sizes, "list").withColumn("_own", F.pmod(F.xxhash64("set"), F.col("_blocks")).cast("int"))
-    placed = placed.withColumn("_with", F.explode(F.expr("sequence(0, _blocks - 1)")))
-    placed = placed.select("list", "set", "_own", F.least("_own", "_with").alias("lo"), F.greatest("_own", "_with").alias("hi"))
-    rows = placed.join(info, "set").repartition("list", "lo", "hi").sortWithinPartitions("list", "lo", "hi")
+    placed = staged(members.join(info, "set"), "open-members")
+    groups = placed.groupBy("list", "component").agg(F.count(F.lit(1)).alias("_of"))
+    small = groups.where(F.col("_of") < BLOCK).groupBy("list").agg(F.sum("_of").alias("_small"))
+    groups = staged(groups.join(small, "list", "left").na.fill(0, ["_small"]), "open-groups")
+    each = spread_join(placed, groups, ["list", "component"], F.col("_of") > placed.count() // HOT_KEYS)
+    sizes = F.floor(F.log("n") * (4 / log(100 / similarity)))
+    own = F.xxhash64("component", F.pmod(F.xxhash64("set"), F.ceil(F.col("_of") / BLOCK)))
+    pool = F.xxhash64(F.lit("pool"), sizes, F.pmod(F.xxhash64("set"), F.ceil(F.col("_small") / BLOCK)))
+    blocked = each.withColumn("block", F.when(F.col("_of") >= BLOCK, own).otherwise(pool))
+    blocked = staged(blocked.select("list", "block", "set", "n", "bits", "id", "component"), "open-blocks")
+    units = staged(block_pairs(blocked, similarity), "block-pairs")
+    sides = units.select("list", F.col("lo").alias("block"), "lo", "hi").union(units.where("lo <> hi").select("list", F.col("hi").alias("block"), "lo", "hi"))
+    rows = blocked.join(sides, ["list", "block"]).repartition("list", "lo", "hi").sortWithinPartitions("list", "lo", "hi")
 
     def compare(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
         rows.sort(key=lambda r: r["n"])
         bits = np.array([r["bits"] for r in rows], np.int64).view(np.uint64)
-        n, ids, comp, own = (np.array([r[c] for r in rows]) for c in ("n", "id", "component", "_own"))
+        n, ids, names, comp, own = (np.array([r[c] for r in rows]) for c in ("n", "id", "set", "component", "block"))
         crossed = rows[0]["lo"] != rows[0]["hi"]
-        a, b = [], []
+        found = [np.zeros((4, 0), np.int64)]
         for i in range(len(rows) - 1):
             end = np.searchsorted(n, n[i] * 100 // similarity, "right")  # sets beyond are too large to link
             j = np.arange(i + 1, end)
@@ -247,59 +324,61 @@ def unresolved_pairs(pairs: DataFrame, info: DataFrame, similarity: int = SIMILA
             if len(j):
                 apart = np.bitwise_count(bits[j] ^ bits[i]).sum(1)
                 j = j[(100 + similarity) * apart.astype(np.int64) <= (100 - similarity) * (n[j] + n[i])]
-                a += np.minimum(ids[i], ids[j]).tolist()
-                b += np.maximum(ids[i], ids[j]).tolist()
-        return a, b
+                less = ids[i] < ids[j]
+                a, b = np.where(less, i, j), np.where(less, j, i)
+                found.append(np.stack([ids[a], names[a], ids[b], names[b]]))
+        return np.concatenate(found, 1)
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
         for batch in batches:
-            made_a, made_b = [], []
+            made = []
             for r in batch.to_pylist():
                 k = r["list"], r["lo"], r["hi"]
                 if k != key and held:
-                    a, b = compare(held)
-                    made_a += a
-                    made_b += b
+                    made.append(compare(held))
                     held = []
                 key = k
                 held.append(r)
-            if made_a:
-                yield out_batch(a=pa.array(made_a, pa.int64()), b=pa.array(made_b, pa.int64()))
+            if made:
+                yield out_batch(**dict(zip(("a", "sa", "b", "sb"), np.concatenate(made, 1), strict=True)))
         if held:
-            a, b = compare(held)
-            if a:
-                yield out_batch(a=pa.array(a, pa.int64()), b=pa.array(b, pa.int64()))
+            yield out_batch(**dict(zip(("a", "sa", "b", "sb"), compare(held), strict=True)))
 
-    return rows.mapInArrow(stream, "a long, b long").distinct()
+    return rows.mapInArrow(tidy(stream), "a long, sa long, b long, sb long").where("a < b").distinct()
 
 
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links).
 
-    shingle: words in a shingle; similarity: the least Jaccard similarity of a link, in per cent, 1 to 99. A text without words, or null, has an empty set and links with nothing. A row without an id links with nothing
-    and has no component. Rows that repeat an id are documents that share it; equal rows have equal results. An empty
-    table gives an empty result. Other columns are ignored. Ids are integers.
+    shingle: words in a shingle; similarity: the least Jaccard similarity of a link, in per cent, 1 to 99. A text without
+    words, or null, has an empty set and links with nothing. A row without an id links with nothing and has no
+    component. Rows that repeat an id each have the component of the smallest id that has their set; equal rows have equal results. An
+    empty table gives an empty result. Other columns are ignored. Ids are integers.
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sets = staged(sets_of(docs, shingle, similarity), "sets")
     whole = sets.where("set is not null and id is not null")
     info = staged(whole.groupBy("set").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "distinct-sets")
-    pairs = staged(first_pairs(whole), "list-pairs")
-    named = lambda x: info.select(*(F.col(c).alias(f"{x}_{c}") for c in ("set", "id")), F.struct("n", "bits").alias(x))
-    once = pairs.select("first", "other").distinct()
-    some = once.join(named("p"), F.col("first") == F.col("p_set")).join(named("q"), F.col("other") == F.col("q_set"))
-    some = staged(some.where(may_link("p", "q", similarity)).select(F.least("p_id", "q_id").alias("a"), F.greatest("p_id", "q_id").alias("b")).where("a < b").distinct(), "candidates")
+    pairs = first_pairs(whole)
+    once = staged(pairs.select("first", "other").distinct(), "first-pairs")
+    named = lambda x, key: info.select(F.col("set").alias(key), F.col("id").alias(f"{x}_id"), F.struct("n", "bits").alias(x))
+    some = spread_on(once, named("p", "first"), "first").join(named("q", "other"), "other").where(may_link("p", "q", similarity))
+    less = F.col("p_id") < F.col("q_id")
+    ends = [F.when(less, x).otherwise(y).alias(c) for c, x, y in (("a", F.col("p_id"), F.col("q_id")), ("sa", F.col("first"), F.col("other")), ("b", F.col("q_id"), F.col("p_id")), ("sb", F.col("other"), F.col("first")))]
+    some = staged(some.select(*ends).where("a < b").distinct(), "candidates")
     links = staged(linked(some, docs, shingle, similarity), "verified")
     groups = components(links)
     known = info.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    more = staged(unresolved_pairs(pairs, known, similarity).join(some, ["a", "b"], "left_anti"), "late-candidates")
+    more = staged(unresolved_pairs(pairs, known, similarity).join(some, ["a", "sa", "b", "sb"], "left_anti"), "late-candidates")
     if more.limit(1).count():
         late = staged(linked(more, docs, shingle, similarity), "late-verified")
         groups = components(links.unionByName(late))
         known = info.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    found = sets.select("id", "n", "set").join(known.select("set", "component"), "set", "left")
-    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
+    own = spread_on(sets.where("set is not null and id is not null").select("id", "n", "set"), known.select("set", "component"), "set")
+    bare = sets.where("set is null or id is null").select("id", "n", F.col("id").alias("component"))
+    found = own.select("id", "n", "component").unionByName(bare)
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:

@@ -334,6 +334,7 @@ def test_late_links_are_found(frame, rows, monkeypatch):
         docs.append((i, " ".join(w), "a"))
     monkeypatch.setattr(op9_jaccard_join, "BLOCK", 7)
     monkeypatch.setattr(op9_jaccard_join, "MEMBERS", 3)
+    monkeypatch.setattr(op9_jaccard_join, "BROADCAST_IDS", 5)
     got = op9_jaccard_join.similar_groups(frame(docs))
     assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(brute.groups([(d, t) for d, t, _ in docs]), key=repr)
 

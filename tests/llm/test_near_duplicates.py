@@ -1,5 +1,6 @@
 """The Jaccard join with other shingles and similarities than the query's, against brute force."""
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -23,3 +24,62 @@ def test_stage_of_the_pipeline(spark):
     docs = stack(spark, SF, "documents")
     want = brute.groups([tuple(r) for r in docs.select("doc_id", "text").collect()], 5, 80)
     assert {r.doc_id for r in corpus_pipeline.jaccard_join(spark, docs, SF).collect()} == {d for d, _, c in want if c == d}
+
+
+@pytest.mark.parametrize("size, similarity", [(10, 90), (18, 90), (10, 80), (300, 90), (40, 60)])
+def test_unrelated_sets_share_no_list(size, similarity):
+    """The index lists of random sets stay short, however many sets there are."""
+    rng = np.random.default_rng(1)
+    places = op9_jaccard_join.Positions(similarity)
+    n = 20_000 if size < 100 else 2_000
+    lists = np.concatenate([np.unique(places.signatures(np.unique(rng.integers(0, 2**63, size, dtype=np.uint64)))) for _ in range(n)])
+    assert np.unique(lists, return_counts=True)[1].max() <= 2
+
+
+@pytest.mark.parametrize("similarity", [60, 80, 90])
+def test_linked_sets_share_a_list(similarity):
+    """Whatever their sizes, sets that link meet in a list."""
+    rng = np.random.default_rng(2)
+    places = op9_jaccard_join.Positions(similarity)
+    met = 0
+    for _ in range(3000):
+        n = int(rng.choice([1, 2, 3, 4, 5, 7, 9, 10, 12, 20, 33, 80, 200]))
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        out, new = int(rng.integers(0, max(1, n * (100 - similarity) // 100) + 1)), int(rng.integers(0, max(1, n * (100 - similarity) // 100) + 1))
+        b = np.unique(np.concatenate([rng.permutation(a)[out:], rng.integers(0, 2**63, new, dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        if len(b) and 100 * both >= similarity * (len(a) + len(b) - both):
+            met += 1
+            assert len(np.intersect1d(places.signatures(a), places.signatures(b)))
+    assert met > 500
+
+
+def test_ids_that_are_null_or_repeated(frame, rows):
+    """A row without an id hides no other's lists; each text with an id is compared, whichever is read first."""
+    rng = np.random.default_rng(3)
+    base = [f"b{x}" for x in rng.integers(0, 10_000, 200)]
+    near = lambda *at: " ".join(f"n{i}" if i in at else w for i, w in enumerate(base))
+    docs = [(None, near(), "a"), (1, near(), "a"), (2, near(5), "a"), (3, "other words stand here " * 9, "a"), (3, near(190), "a"), (None, near(5), "a"), (4, "all on its own", "a")]
+    got = rows(op9_jaccard_join.similar_groups(frame(docs).coalesce(1)), "doc_id", "component_id")
+    assert got == [(1, 1), (2, 1), (3, 1), (3, 1), (4, 4), (None, None), (None, None)]
+
+
+def test_lists_in_several_ranges(spark, rows):
+    """A list that is dealt out over many ranges joins up: its pairs reach all of its sets."""
+    df = spark.createDataFrame([(i, [7, 100 + i]) for i in range(500)], "set long, lists array<long>").repartition(4)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        pairs = rows(op9_jaccard_join.first_pairs(df), "list", "first", "other")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    root = {i: i for i in range(500)}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for name, a, b in pairs:
+        assert name == 7
+        root[find(a)] = find(b)
+    assert len({find(x) for x in root}) == 1 and len(pairs) < 520 and len({a for _, a, _ in pairs}) > 1
