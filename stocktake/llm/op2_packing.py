@@ -1,20 +1,28 @@
 """Packing by cutting-stock column generation.
 
 Documents are tokenised once; a document longer than a sequence is cut into full sequences and a rest. The rests are
-counted in a histogram of lengths, rounded up to `unit` tokens: at most capacity / unit numbers, whatever the size of
-the corpus. On it the driver solves the linear program of cutting stock by column generation: a pattern says how many
-rests of each length share a sequence; dynamic programming over the knapsack finds the pattern that the current
-prices undervalue most; when none is left, or the bound on the optimum is close, patterns are used as often as the
-solution rounded down says, and the few rests that remain are placed largest first.
+counted in a histogram of their lengths: at most `capacity` numbers, whatever the size of the corpus. On it the driver
+solves the linear program of cutting stock by column generation: a pattern says how many rests of each length share a
+sequence. The first columns are those of a fractional largest-first packing, each of which uses up one length, so they
+are a basis whose prices follow by substitution. Dynamic programming over the knapsack then finds the pattern that the
+prices undervalue most, and it enters; when there is none, or the bound on the optimum is within `gap`, patterns are used
+as often as the solution rounded down says, and the rests that remain, a few for each pattern, are placed largest first.
+
+`effort` bounds the columns that enter, times the lengths there are. Every solution on the way holds all rests, so beyond it the plan is only less
+tight, not less whole; plan() says whether that happened, and whether plain largest-first packing needed fewer sequences
+than the rounded solution and was taken instead.
 
 Every rest then finds its place by arithmetic: it is ranked within its length (two_level_rank: no length, however
-common, meets in one task) and a small table says which ranks of a length belong to which sequences.
+common, meets in one task) and a table, with some rows for each pattern, says which ranks of a length belong to which sequences.
 """
 
 from __future__ import annotations
 
+import logging
 import zlib
+from bisect import bisect_right
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +31,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, col, list_array, out_batch, stack, staged, two_level_rank
+from .common import arrow_map, col, list_array, out_batch, stack, staged, tidy, two_level_rank
 from .tokenizing import chunk_ids, public_path
 
 CAPACITY = 4096
-UNIT = 8
 #: The end id that closes each document, as little-endian bytes.
 END = (2).to_bytes(4, "little")
 
@@ -80,48 +87,78 @@ def best_pattern(prices: np.ndarray, sizes: np.ndarray, room: int) -> tuple[floa
     return float(best[room]), use
 
 
+def fill(active: list[int], left: dict[int, float], room: int) -> Counter:
+    """The largest of the active sizes (rising) that fit, as many as are left."""
+    use, free, hi = Counter(), room, len(active)
+    while hi := bisect_right(active, free, 0, hi):
+        s = active[hi - 1]
+        use[s] = min(max(1, int(left[s])), free // s)
+        free -= use[s] * s
+        hi -= 1
+    return use
+
+
 def greedy(left: dict[int, int], room: int) -> list[tuple[Counter, int]]:
     """Sequences for all of left, largest rests first: a pattern is filled with the largest that fit and used while they last."""
     left = {s: n for s, n in left.items() if n > 0}
+    active = sorted(left)
     made = []
-    while left:
-        use, free = Counter(), room
-        for s in sorted(left, reverse=True):
-            if n := min(left[s], free // s):
-                use[s] = n
-                free -= n * s
+    while active:
+        use = fill(active, left, room)
         times = min(left[s] // n for s, n in use.items())
         made.append((use, times))
         for s, n in use.items():
             left[s] -= n * times
-            if not left[s]:
-                del left[s]
+        active = [s for s in active if left[s]]
     return made
 
 
-def solve(sizes: np.ndarray, demand: np.ndarray, room: int, known: list[Counter], gap: float = 1e-3, rounds: int = 3000) -> list[tuple[Counter, float]]:
-    """Patterns (of indexes of sizes) and how often each is used, of the linear program min sum(x), pattern counts @ x = demand.
+def first_basis(sizes: np.ndarray, demand: np.ndarray, room: int) -> tuple[list[Counter], np.ndarray, np.ndarray]:
+    """Patterns (of indexes of sizes), how often each is used, and prices: largest first, a pattern being used until one size, its own, is gone."""
+    left = {int(s): float(n) for s, n in zip(sizes, demand, strict=True)}
+    index = {int(s): i for i, s in enumerate(sizes)}
+    active = [int(s) for s in sizes]
+    patterns: list[Counter] = [Counter()] * len(sizes)
+    x, order = np.zeros(len(sizes)), []
+    while active:
+        use = fill(active, left, room)
+        own = min(use, key=lambda s: left[s] / use[s])
+        times = left[own] / use[own]
+        for s, n in use.items():
+            left[s] = max(0.0, left[s] - n * times)
+        active.remove(own)
+        at = index[own]
+        patterns[at], x[at] = Counter({index[s]: n for s, n in use.items()}), times
+        order.append(at)
+    prices = np.zeros(len(sizes))
+    for at in reversed(order):  # a pattern's other sizes are used up later: their prices are known
+        prices[at] = (1 - sum(n * prices[i] for i, n in patterns[at].items() if i != at)) / patterns[at][at]
+    return patterns, x, prices
+
+
+def solve(sizes: np.ndarray, demand: np.ndarray, room: int, gap: float, rounds: int) -> tuple[list[tuple[Counter, float]], bool]:
+    """Patterns (of indexes of sizes) and how often each is used, of the linear program min sum(x), pattern counts @ x = demand; and whether it is within gap.
 
-    Revised simplex; a column enters when prices make it worth over 1: of the known patterns as long as there is one,
-    then the one that the knapsack finds. It ends at the optimum, or when the bound on it is within gap.
+    Revised simplex: the pattern that the knapsack finds enters as long as prices make it worth over 1. It ends at the
+    optimum, when the bound on it, by prices or by volume, is within gap or one sequence, or after `rounds` patterns.
     """
     m = len(sizes)
-    patterns = [Counter({i: int(room // s)}) for i, s in enumerate(sizes)]
-    inverse = np.diag([1.0 / (room // s) for s in sizes])
-    x = inverse @ demand
-    pool = np.zeros((len(known), m))
-    for k, use in enumerate(known):
-        for i, n in use.items():
-            pool[k, i] = n
+    patterns, x, prices = first_basis(sizes, demand, room)
+    volume = float(demand @ sizes) / room
+    inverse = None
+    done = False
     for _ in range(rounds):
-        prices = inverse.sum(0)
-        worth = pool @ prices
-        if len(known) and worth.max() > 1 + 1e-6:
-            use = known[int(worth.argmax())]
-        else:
-            value, use = best_pattern(prices, sizes, room)
-            if value <= 1 + 1e-9 or x.sum() * (1 - 1 / value) <= gap * x.sum():
-                break
+        if done := x.sum() - volume <= max(1.0, gap * x.sum()):
+            break
+        value, use = best_pattern(prices, sizes, room)
+        if done := value <= 1 + 1e-9 or x.sum() * (1 - 1 / value) <= gap * x.sum():
+            break
+        if inverse is None:
+            basis = np.zeros((m, m))
+            for k, p in enumerate(patterns):
+                for i, n in p.items():
+                    basis[i, k] = n
+            inverse = np.linalg.inv(basis)
         column = np.zeros(m)
         for i, n in use.items():
             column[i] = n
@@ -137,20 +174,24 @@ def solve(sizes: np.ndarray, demand: np.ndarray, room: int, known: list[Counter]
         inverse -= np.outer(d, row)
         inverse[out] = row
         patterns[out] = use
-    return [(p, float(v)) for p, v in zip(patterns, x, strict=True) if v > 0]
+        prices = inverse.sum(0)
+    return [(p, float(v)) for p, v in zip(patterns, x, strict=True) if v > 0], done
 
 
-def plan(histogram: dict[int, int], room: int) -> list[tuple[Counter, int]]:
-    """Patterns (size: how many) and how many sequences follow each; they hold the histogram exactly."""
+def plan(histogram: dict[int, int], room: int, gap: float = 2e-3, effort: int = 600_000) -> tuple[list[tuple[Counter, int]], str]:
+    """Patterns (size: how many) and how many sequences follow each, which hold the histogram exactly; and where they are from.
+
+    'columns': column generation to within gap, or to one sequence; 'effort': column generation that ended at that bound;
+    'largest first': that needed fewer sequences than the rounded solution.
+    """
     left = {int(s): int(n) for s, n in histogram.items() if n > 0}
     if not left:
-        return []
+        return [], "columns"
     sizes = np.array(sorted(left), np.int64)
     first = greedy(left, room)
-    index = {int(s): i for i, s in enumerate(sizes)}
-    known = [Counter({index[s]: n for s, n in p.items()}) for p, _ in first]
     made: list[tuple[Counter, int]] = []
-    for use, x in solve(sizes, np.array([left[int(s)] for s in sizes], float), room, known):
+    solution, done = solve(sizes, np.array([left[int(s)] for s in sizes], float), room, gap, effort // len(sizes))
+    for use, x in sorted(solution, key=lambda y: -y[1]):
         p = Counter({int(sizes[i]): n for i, n in use.items()})
         times = min([int(x + 1e-6), *(left[s] // n for s, n in p.items())])
         if times > 0:
@@ -158,45 +199,58 @@ def plan(histogram: dict[int, int], room: int) -> list[tuple[Counter, int]]:
             for s, n in p.items():
                 left[s] -= n * times
     made += greedy(left, room)  # what rounding left over: at most a few rests for each pattern
-    return min(made, first, key=lambda x: sum(t for _, t in x))
+    total = lambda x: sum(t for _, t in x)
+    return (first, "largest first") if total(first) < total(made) else (made, "columns" if done else "effort")
 
 
-def place(cut: DataFrame, capacity: int = CAPACITY, unit: int = UNIT) -> DataFrame:
+def place(cut: DataFrame, capacity: int = CAPACITY, gap: float = 2e-3, effort: int = 600_000) -> DataFrame:
     """cut (staged pieces) with sequence_id and offset."""
-    spark = cut.sparkSession
-    room = capacity // unit
-    sized = cut.withColumn("_size", F.ceil(F.col("length") / unit).cast("int"))
-    histogram = {r[0]: r[1] for r in sized.groupBy("_size").count().collect()}  # at most capacity / unit rows
+    histogram = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}  # at most `capacity` rows
     rows, sequence = [], 0
     reached: Counter = Counter()
-    for use, times in plan(histogram, room):
+    made, origin = plan(histogram, capacity, gap, effort)
+    for use, times in made:
         slot = 0
         for s, n in sorted(use.items(), reverse=True):
-            rows.append((s, reached[s], reached[s] + n * times, n, sequence, slot))
+            rows.append((s, reached[s], n, sequence, slot))
             reached[s] += n * times
             slot += n
         sequence += times
-    table = spark.createDataFrame(rows, "_size int, _from long, _to long, _each long, _sequence long, _slot long")
+    logging.getLogger(__name__).info("%d sequences by %s", sequence, origin)
+    size, start, each, first, slots = np.array(sorted(rows), np.int64).reshape(-1, 5).T
+    # some rows for each pattern, of which there are about as many as lengths
+    table = cut.sparkSession.sparkContext.broadcast(((size << 44) + start, start, each, first, slots))
     buckets = max(16, min(1 << 16, sum(histogram.values()) // 4096))
-    keyed = sized.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)).cast("int"))
-    ranked = two_level_rank(keyed, ["_size"], "_bucket", ["doc_id", "start", "ids_crc32", "doc_tokens"], "_rank")
-    t = F.broadcast(table)  # some rows for each pattern: bounded by capacity / unit
-    found = ranked.join(t, (ranked["_size"] == t["_size"]) & (ranked["_rank"] >= t["_from"]) & (ranked["_rank"] < t["_to"]))
-    by = F.col("_rank") - F.col("_from")
-    found = found.withColumn("sequence_id", F.col("_sequence") + F.expr("(_rank - _from) div _each")).withColumn("_slot", F.col("_slot") + by % F.col("_each"))
+    keyed = cut.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(buckets)).cast("int"))
+    ranked = two_level_rank(keyed, ["length"], "_bucket", ["doc_id", "start", "ids_crc32", "doc_tokens"], "_rank").drop("_bucket")
+
+    names = cut.columns
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, start, each, first, slots = table.value
+        for batch in batches:
+            if batch.num_rows:
+                rank = col(batch, "_rank").to_numpy()
+                k = np.searchsorted(key, (col(batch, "length").to_numpy() << 44) + rank, "right") - 1
+                by = rank - start[k]
+                arrays = {c: col(batch, c) for c in names}
+                yield out_batch(**arrays, sequence_id=pa.array(first[k] + by // each[k]), _slot=pa.array(slots[k] + by % each[k]))
+
+    schema = T.StructType([*ranked.select(*names).schema.fields, *T._parse_datatype_string("sequence_id long, _slot long").fields])
+    found = ranked.mapInArrow(tidy(look), schema)
     before = W.partitionBy("sequence_id").orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
-    return found.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")).select(*cut.columns, "sequence_id", "offset")
+    return found.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")).select(*names, "sequence_id", "offset")
 
 
-def pack(df: DataFrame, path: str | None = None, capacity: int = CAPACITY, unit: int = UNIT, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(df: DataFrame, path: str | None = None, capacity: int = CAPACITY, gap: float = 2e-3, effort: int = 600_000, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, if asked for).
 
     A null or empty text is the end id alone. Repeated rows are packed as often as they come. An empty table gives an
-    empty result. Sequences are to be padded to capacity; sequence ids run from 0 without gaps. Other columns of df
-    are ignored.
+    empty result. Sequences are to be padded to capacity; sequence ids run from 0 without gaps. gap and effort are those
+    of plan(). Other columns of df are ignored.
     """
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return place(staged(pieces(rows, path or public_path("word_bpe_49k.json"), capacity, keep_ids), "pieces"), capacity, unit)
+    return place(staged(pieces(rows, path or public_path("word_bpe_49k.json"), capacity, keep_ids), "pieces"), capacity, gap, effort)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -103,18 +103,38 @@ def test_packing_round_trip(docs, frame):
     assert all(n <= 4096 for n in used.values()) and set(used) == set(range(len(used)))
 
 
-def test_packing_is_tight():
-    rng = np.random.default_rng(3)
-    sizes, counts = np.unique(rng.integers(1, 257, 50_000), return_counts=True)
-    histogram = dict(zip(sizes.tolist(), counts.tolist()))
-    made = op2_packing.plan(histogram, 256)
+def sequences_of(histogram, room, **options):
+    """How many sequences a plan needs, checked to hold the histogram exactly; and where it is from."""
+    made, origin = op2_packing.plan(histogram, room, **options)
     held = {}
     for p, times in made:
-        assert sum(s * n for s, n in p.items()) <= 256
+        assert times > 0 and sum(s * n for s, n in p.items()) <= room
         for s, n in p.items():
             held[s] = held.get(s, 0) + n * times
     assert held == histogram
-    assert sum(t for _, t in made) <= 1.01 * sum(s * n for s, n in histogram.items()) / 256 + 2
+    return sum(t for _, t in made), origin
+
+
+def test_packing_is_tight():
+    rng = np.random.default_rng(3)
+    for low, room in ((1, 256), (60, 256), (1, 4096)):
+        sizes, counts = np.unique(rng.integers(low, room + 1, 50_000), return_counts=True)
+        histogram = dict(zip(sizes.tolist(), counts.tolist()))
+        n, _ = sequences_of(histogram, room)
+        assert n <= (1.004 if low == 1 else 1.2) * sum(s * n for s, n in histogram.items()) / room + 3
+
+
+def test_packing_by_columns():
+    """Where largest first wastes room, column generation doesn't; with no rounds the plan still holds all."""
+    rng = np.random.default_rng(0)
+    sizes, counts = np.unique(rng.integers(1300, 1500, 200_000), return_counts=True)
+    histogram = dict(zip(sizes.tolist(), counts.tolist()))
+    first = sum(t for _, t in op2_packing.greedy(histogram, 4096))
+    n, origin = sequences_of(histogram, 4096)
+    assert n < 0.95 * first and origin == "columns"
+    worse, origin = sequences_of(histogram, 4096, effort=0)
+    assert worse > n and origin in ("effort", "largest first")
+    assert op2_packing.plan({}, 101) == ([], "columns") and sequences_of({101: 7}, 101) == (7, "columns")
 
 
 def test_tokens_merge_back():
