@@ -52,14 +52,16 @@ def fingerprint(text: Column, normalised: bool = False) -> Column:
 
 @F.pandas_udf(T.StringType())
 def _unaccented(s: pd.Series) -> pd.Series:
+    """Without accents, and in lower case character by character: no rule that looks at a whole word, such as that of the final sigma."""
+
     def plain(x):
-        return x if x is None or x.isascii() else "".join(c for c in unicodedata.normalize("NFD", x) if not unicodedata.combining(c))
+        return x if x is None or x.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFD", x) if not unicodedata.combining(c))
 
     return s.map(plain, na_action="ignore")
 
 
 def role_of_speaker(name: Column) -> Column:
-    """'Alice Leywin' -> 'alice': no accents, first word, letters and digits only, lower case."""
+    """'José Álvarez' -> 'jose': no accents, first word, letters and digits only, lower case."""
     plain = F.regexp_replace(_unaccented(name), r"(?U)[^\p{L}\p{N}\s\x1c-\x1f'_-]", "")
     word = F.regexp_extract(plain, r"(?U)^[\s\x1c-\x1f'_-]*([\p{L}\p{N}]*)", 1)
     return F.lower(word)

@@ -107,29 +107,49 @@ def worst_proximity(near: DataFrame, candidate: str, reference: str) -> DataFram
     return top.orderBy("worst_proximity", candidate)
 
 
-def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, default: Column) -> DataFrame:
-    """df with the dimension's value for the key, or the default."""
-    d = dim.select(F.col(key).alias("_k"), F.col(value).alias("_v"))
+def one_value(df: DataFrame, keys: list[str], values: list[str], order: str | None) -> DataFrame:
+    """One row for each key: the last in order, as in a dictionary filled in that order; without an order, repeated keys are an error."""
+    if order:
+        return df.groupBy(*keys).agg(*[F.max_by(v, order).alias(v) for v in values])
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.first(v).alias(v) for v in values])
+    refused = F.raise_error(F.concat(F.lit("repeated key: "), F.concat_ws(",", *keys)))
+    return found.select(*keys, *[F.when(F.col("_n") > 1, refused.cast(df.schema[v].dataType)).otherwise(F.col(v)).alias(v) for v in values])
+
+
+def only_row(df: DataFrame, value: str, name: str) -> DataFrame:
+    """Always one row: the value of df's one row as name, and how many rows there are as {name}_n."""
+    return df.agg(F.first(value).alias(name), F.count(F.lit(1)).alias(f"{name}_n"))
+
+
+def if_one(name: str, what: str) -> Column:
+    """The value of only_row(); an error where it is needed and there is none, or more than one."""
+    return F.when(F.col(f"{name}_n") == 1, F.col(name)).otherwise(F.raise_error(F.concat(F.lit(f"{what}: rows found: "), F.col(f"{name}_n").cast("string"))))
+
+
+def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, default: Column, order: str | None = None) -> DataFrame:
+    """df with the dimension's value for the key, or the default. Repeated keys: the last in order, or an error."""
+    d = one_value(dim, [key], [value], order).select(F.col(key).alias("_k"), F.col(value).alias("_v"))
     return df.join(d, F.col(key) == F.col("_k"), "left").withColumn(value, F.coalesce("_v", default)).drop("_k", "_v")
 
 
 def resolve_instruction(df: DataFrame, registers: DataFrame, by_role: dict[str, str], job: str | None, default: str) -> DataFrame:
     """instruct if a row has one, else the text of: its own register, its role's, the job's, the default.
 
-    Empty strings count as missing; an unknown register takes the default's text. registers: (registre, consigne).
+    Empty strings count as missing; an unknown register takes the default's text. registers: (registre, consigne), each
+    register once. A default that isn't among them is an error for rows that need it; no row is lost.
     """
     some = lambda c: F.nullif(c, F.lit(""))
     role = F.try_element_at(F.create_map(*[F.lit(x) for kv in by_role.items() for x in kv]), F.col("role")) if by_role else F.lit(None)
     named = F.coalesce(some(F.col("registre")), some(role.cast("string")), some(F.lit(job).cast("string")), F.lit(default))
-    dim = registers.select(F.col("registre").alias("_k"), F.col("consigne").alias("_text"))
-    fallback = registers.where(F.col("registre") == default).select(F.col("consigne").alias("_default")).limit(1)
-    out = df.withColumn("_name", named).join(dim, F.col("_name") == F.col("_k"), "left").join(F.broadcast(fallback))
-    return out.withColumn("consigne", F.coalesce(some(F.col("instruct")), "_text", "_default")).drop("_name", "_k", "_text", "_default")
+    dim = one_value(registers, ["registre"], ["consigne"], None).select(F.col("registre").alias("_k"), F.col("consigne").alias("_text"))
+    fallback = only_row(registers.where(F.col("registre") == default), "consigne", "_default")
+    out = df.withColumn("_name", named).join(dim, F.col("_name") == F.col("_k"), "left").crossJoin(F.broadcast(fallback))
+    return out.withColumn("consigne", F.coalesce(some(F.col("instruct")), "_text", if_one("_default", "default register"))).drop("_name", "_k", "_text", "_default", "_default_n")
 
 
-def role_defaults(df: DataFrame, defaults: DataFrame, role: str, fields: list[str]) -> DataFrame:
-    """Fields that a row lacks are its role's."""
-    d = defaults.select(F.col(role).alias("_k"), *[F.col(f).alias(f"_{f}") for f in fields])
+def role_defaults(df: DataFrame, defaults: DataFrame, role: str, fields: list[str], order: str | None = None) -> DataFrame:
+    """Fields that a row lacks are its role's. Repeated roles: the last in order, or an error."""
+    d = one_value(defaults, [role], fields, order).select(F.col(role).alias("_k"), *[F.col(f).alias(f"_{f}") for f in fields])
     out = df.join(d, F.col(role) == F.col("_k"), "left")
     for f in fields:
         out = out.withColumn(f, F.coalesce(f, f"_{f}") if f in df.columns else F.col(f"_{f}"))
@@ -146,10 +166,11 @@ def chosen(manual: Column, automatic: Column, first: Column) -> Column:
 
 
 def target_of(df: DataFrame, targets: DataFrame, role: str = "role") -> DataFrame:
-    """The target of the row's role, or that of role '*'."""
-    t = targets.select(F.col("role").alias("_k"), F.col("target").alias("_t"))
-    star = targets.where("role = '*'").select(F.col("target").alias("_any")).limit(1)
-    return df.join(t.where("_k <> '*'"), F.col(role) == F.col("_k"), "left").crossJoin(F.broadcast(star)).withColumn("target", F.coalesce("_t", "_any")).drop("_k", "_t", "_any")
+    """The target of the row's role, or that of role '*', which is an error if it is needed and not there once."""
+    t = one_value(targets.where("role <> '*'"), ["role"], ["target"], None).select(F.col("role").alias("_k"), F.col("target").alias("_t"))
+    star = only_row(targets.where("role = '*'"), "target", "_any")
+    out = df.join(t, F.col(role) == F.col("_k"), "left").crossJoin(F.broadcast(star))
+    return out.withColumn("target", F.coalesce("_t", if_one("_any", "target of role *"))).drop("_k", "_t", "_any", "_any_n")
 
 
 def stage_target(role: Column, stage_value: Column, narrator: float, default: float) -> Column:

@@ -49,7 +49,8 @@ def priority_sample(df: DataFrame, later: Column, order: str | list, n: int) ->
 
 def seeded_sample(df: DataFrame, keys: list[str], id_col: str, n: int, seed: int = 11) -> DataFrame:
     """n rows of each key at random, the same ones each time. Not the draw of another language's generator."""
-    return head_of(df, keys, [F.xxhash64(F.lit(seed), F.col(id_col)), F.col(id_col)], n)
+    drawn = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
+    return head_of(df, keys, [drawn, F.col(id_col)], n)
 
 
 def with_group(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
@@ -147,6 +148,11 @@ def limit_with_rest(df: DataFrame, order: list, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n).crossJoin(F.broadcast(total))
 
 
+def top_numbered(df: DataFrame, order: list, n: int, name: str = "place") -> DataFrame:
+    """The first n rows, numbered from 1: a report of bounded length. Only these n rows meet in one task."""
+    return df.orderBy(*order).limit(n).withColumn(name, F.row_number().over(W.partitionBy(F.lit(1)).orderBy(*order)))
+
+
 def progress(df: DataFrame, done: str, total: str, elapsed: str) -> DataFrame:
     """Adds seconds left at the pace so far."""
     return df.withColumn("left_s", F.col(elapsed) / F.greatest(F.col(done), F.lit(1)) * (F.col(total) - F.col(done)))

@@ -54,9 +54,43 @@ def matrix(df: DataFrame, row: str, column: str, labels: list, value: Column) ->
     return df.groupBy(row).pivot(column, labels).agg(value)
 
 
-def two_gates(first: Column, first_limit: float, second: Column, second_limit: float) -> Column:
-    a, b = first <= first_limit, second <= second_limit
-    return F.when(a & b, "passes").when(a, "second gate").when(b, "first gate").otherwise("neither")
+#: What the verdicts of two gates are called: both passed, only the first, only the second, none.
+SWEEP_VERDICTS = ("à écouter", "change d'âge selon le texte", "dispersé d'une réplique à l'autre", "écarté")
+CAST_VERDICTS = ("RETENU", "trop grave", "change d'âge", "écarté")
+#: Why a clip is suspect.
+MOTIFS = ("trop court", "fin coupée")
+
+
+def two_gates(first: Column, second: Column, labels: tuple[str, str, str, str] = SWEEP_VERDICTS) -> Column:
+    """The verdict of two gates, which are conditions: a limit (range <= 40), or a range (low <= median <= high)."""
+    a, b = F.coalesce(first, F.lit(False)), F.coalesce(second, F.lit(False))
+    return F.when(a & b, labels[0]).when(a, labels[1]).when(b, labels[2]).otherwise(labels[3])
+
+
+def in_range(x: Column, low: float, high: float) -> Column:
+    return (x >= low) & (x <= high)
+
+
+def sum_of_ratios(parts: list[tuple[str, float]]) -> Column:
+    """Columns over their limits, added up: what verdicts are sorted by."""
+    total = F.lit(0.0)
+    for c, limit in parts:
+        total = total + F.col(c) / F.lit(limit)
+    return total
+
+
+def group_report(df: DataFrame, keys: list[str], seconds: str, pitch: str, spread: str, voiced: str) -> DataFrame:
+    """Of each group: total seconds, median pitch of the clips that have one (0 without), mean spread, median voiced share.
+
+    Medians are exact: a group's distinct values meet in one task.
+    """
+    return df.groupBy(*keys).agg(
+        F.sum(seconds).alias("total_seconds"),
+        F.coalesce(F.median(F.when(F.col(pitch) > 0, F.col(pitch))), F.lit(0.0)).alias("median_pitch"),
+        F.avg(spread).alias("mean_spread"),
+        F.median(voiced).alias("median_voiced"),
+        F.count(F.lit(1)).alias("clips"),
+    )
 
 
 def degenerate(seconds: Column, expected: Column, level_db: Column, active: Column) -> Column:
@@ -65,7 +99,7 @@ def degenerate(seconds: Column, expected: Column, level_db: Column, active: Colu
 
 
 def suspect(seconds: Column, floor: Column, ratio: Column, tail: Column, tail_limit: float = 0.8, least_ratio: float = 0.6) -> Column:
-    return F.when((seconds < floor) | (ratio < least_ratio), "too short").when(tail > tail_limit, "cut end").otherwise("")
+    return F.when((seconds < floor) | (ratio < least_ratio), MOTIFS[0]).when(tail > tail_limit, MOTIFS[1]).otherwise("")
 
 
 def suspects(df: DataFrame, group: str, text: str, seconds: str, tail: str, least_chars: int = 30) -> DataFrame:
@@ -81,12 +115,13 @@ def suspects(df: DataFrame, group: str, text: str, seconds: str, tail: str, leas
 
 
 def delta_to_baseline(df: DataFrame, baseline: Column, values: list[str]) -> DataFrame:
-    """Each row's values less those of the one baseline row."""
-    base = df.where(baseline).select(*[F.col(v).alias(f"_{v}") for v in values]).limit(1)
+    """Each row's values less those of the one baseline row; an error if there isn't exactly one."""
+    base = df.where(baseline).agg(F.count(F.lit(1)).alias("_n"), *[F.first(v).alias(f"_{v}") for v in values])
     out = df.crossJoin(F.broadcast(base))
     for v in values:
-        out = out.withColumn(f"d_{v}", F.col(v) - F.col(f"_{v}"))
-    return out.drop(*[f"_{v}" for v in values])
+        refused = F.raise_error(F.concat(F.lit("baseline rows: "), F.col("_n").cast("string"))).cast(df.schema[v].dataType)
+        out = out.withColumn(f"d_{v}", F.col(v) - F.when(F.col("_n") == 1, F.col(f"_{v}")).otherwise(refused))
+    return out.drop("_n", *[f"_{v}" for v in values])
 
 
 def control_difference(treated: DataFrame, control: DataFrame, keys: list[str], value: str) -> DataFrame:

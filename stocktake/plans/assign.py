@@ -116,7 +116,7 @@ def priority_sample(t):
     return rows.priority_sample(t.conversations.select("conv_id", "turn", "role"), F.col("role") == "user", ["conv_id", "turn"], 25)
 
 
-@query()
+@query("select doc_id, source from documents qualify row_number() over (partition by source order by md5('11:' || doc_id), doc_id) <= 40")
 def seeded_sample(t):
     return rows.seeded_sample(t.documents.select("doc_id", "source"), ["source"], "doc_id", 40)
 

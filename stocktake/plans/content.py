@@ -109,7 +109,7 @@ def clip_names(t):
 
 @query("""
 select doc_id, greatest(0.6, length(text) / 14.0::double) as expected, regexp_matches(text, '[0-9A-Za-zÀ-ÿ]') as pronounceable,
-       replace(left(text, 40), '|', chr(92) || '|') as cell, 'chapter_' || lpad(cast(doc_id % 100 as varchar), 2, '0') as file,
+       replace(text, '|', chr(92) || '|') as cell, 'chapter_' || lpad(cast(doc_id % 100 as varchar), 2, '0') as file,
        translate('aiden:0.7+' || lang || ':0.3', ':.+', '--_') as spec
 from documents
 """)
@@ -119,7 +119,7 @@ def text_scalars(t):
         "doc_id",
         X.expected_seconds(text).alias("expected"),
         X.pronounceable(text).alias("pronounceable"),
-        X.markdown_cell(F.substring(text, 1, 40)).alias("cell"),
+        X.markdown_cell(text).alias("cell"),
         X.chapter_file((F.col("doc_id") % 100).cast("int")).alias("file"),
         X.path_safe(F.concat(F.lit("aiden:0.7+"), "lang", F.lit(":0.3"))).alias("spec"),
     )

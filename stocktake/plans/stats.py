@@ -56,7 +56,7 @@ def ratio_of_sums(t):
 with c as (select doc_id, source, text, length(text) / (10 + doc_id % 9)::double as seconds, (doc_id % 100) / 100.0::double as tail from documents),
 p as (select source, median(case when length(text) >= 30 then seconds / length(text) end) as pace from c group by 1),
 j as (select c.*, seconds / greatest(pace * length(text), 1e-9) as ratio from c join p on c.source = p.source)
-select doc_id, round(ratio, 6) as ratio, case when seconds < 0.25 or ratio < 0.6 then 'too short' else 'cut end' end as motif from j where seconds < 0.25 or ratio < 0.6 or tail > 0.8
+select doc_id, round(ratio, 6) as ratio, case when seconds < 0.25 or ratio < 0.6 then 'trop court' else 'fin coupée' end as motif from j where seconds < 0.25 or ratio < 0.6 or tail > 0.8
 """)
 def duration_ratio_suspects(t):
     seconds = F.length("text") / (10 + F.col("doc_id") % 9).cast("double")
@@ -65,13 +65,41 @@ def duration_ratio_suspects(t):
 
 
 @query("""
-select l_suppkey, case when g <= 40 and r <= 49 then 'passes' when g <= 40 then 'second gate' when r <= 49 then 'first gate' else 'neither' end as verdict
-from (select l_suppkey, quantile_cont(l_quantity, 0.9) - quantile_cont(l_quantity, 0.1) as g, max(l_quantity) - min(l_quantity) as r from lineitem group by 1)
+select l_suppkey, case when g <= 40 and r <= 48 then 'à écouter' when g <= 40 then 'change d''âge selon le texte' when r <= 48 then 'dispersé d''une réplique à l''autre' else 'écarté' end as verdict,
+       case when r <= 48 and m between 24 and 26 then 'RETENU' when r <= 48 then 'trop grave' when m between 24 and 26 then 'change d''âge' else 'écarté' end as cast_
+from (select l_suppkey, quantile_cont(l_quantity, 0.9) - quantile_cont(l_quantity, 0.1) as g, max(l_quantity) - min(l_quantity) as r, median(l_quantity) as m from lineitem group by 1)
 """)
 def two_gate_verdict(t):
+    q = F.col("l_quantity")
+    both = t.lineitem.groupBy("l_suppkey").agg(S.interdecile_range(q).alias("g"), S.value_range(q).alias("r"), F.median(q).alias("m"))
+    return both.select("l_suppkey", S.two_gates(F.col("g") <= 40, F.col("r") <= 48).alias("verdict"), S.two_gates(F.col("r") <= 48, S.in_range(F.col("m"), 24, 26), S.CAST_VERDICTS).alias("cast_"))
+
+
+@query("""
+select l_suppkey, round(score, 9) as score, cast(row_number() over (order by score, l_suppkey) as integer) as place from (
+  select l_suppkey, (quantile_cont(l_quantity, 0.9) - quantile_cont(l_quantity, 0.1)) / 40.0::double + (max(l_quantity) - min(l_quantity)) / 48.0::double as score from lineitem group by 1)
+qualify place <= 60
+""")
+def ratio_order(t):
+    """A report's order: by the sum of two ratios, the first 60."""
     q = F.col("l_quantity")
     both = t.lineitem.groupBy("l_suppkey").agg(S.interdecile_range(q).alias("g"), S.value_range(q).alias("r"))
-    return both.select("l_suppkey", S.two_gates(F.col("g"), 40, F.col("r"), 49).alias("verdict"))
+    scored = both.withColumn("score", S.sum_of_ratios([("g", 40.0), ("r", 48.0)]))
+    return rows.top_numbered(scored, ["score", "l_suppkey"], 60).select("l_suppkey", F.round("score", 9).alias("score"), "place")
+
+
+@query("""
+select l_suppkey, sum(l_quantity) as total_seconds, coalesce(median(case when l_discount > 0 then l_discount end), 0) as median_pitch, round(avg(l_tax), 9) as mean_spread,
+       median(l_extendedprice) as median_voiced, count(*) as clips from lineitem group by 1
+""")
+def group_report(t):
+    return S.group_report(t.lineitem, ["l_suppkey"], "l_quantity", "l_discount", "l_tax", "l_extendedprice").withColumn("mean_spread", F.round("mean_spread", 9))
+
+
+@query("select user_id, median(value / 200) as median_share from events group by 1")
+def credible_share(t):
+    """A median share over the limit would be an error; none is."""
+    return S.credible(t.events.select("user_id", (F.col("value") / 200).alias("share")), ["user_id"], "share", 1e9)
 
 
 @query("""

@@ -38,11 +38,11 @@ def voice_manifests(spark: SparkSession, glob: str) -> DataFrame:
 def candidates(spark: SparkSession, glob: str, choices: str) -> DataFrame:
     """Candidates of each folder, one row each, with whether the folder's choice, if there is one, is this candidate."""
     table = spark.read.schema(schemas.CANDIDATES).option("multiLine", True).json(glob).withColumn("dir", folder_name("_metadata.file_path"))
-    chosen = spark.read.schema(schemas.CHOICE).option("multiLine", True).json(choices).select(folder_name("_metadata.file_path").alias("dir"), F.col("n").alias("_n"), "auto")
+    chosen = spark.read.schema(schemas.CHOICE).option("multiLine", True).json(choices).select(folder_name("_metadata.file_path").alias("dir"), F.col("n").alias("_n"), "valide")
     rows = table.select("dir", "slug", F.posexplode("candidats").alias("ord", "c")).select("dir", "slug", "ord", "c.*")
     picked = F.col("n") == F.col("_n")
     return rows.join(chosen, "dir", "left").select(
-        *rows.columns, F.coalesce(picked, F.lit(False)).alias("retenu"), F.when(picked, F.when(F.coalesce("auto", F.lit(False)), "auto").otherwise("manual")).alias("retenu_par")
+        *rows.columns, F.coalesce(picked, F.lit(False)).alias("retenu"), F.when(picked, F.col("valide")).alias("retenu_par")
     )
 
 
