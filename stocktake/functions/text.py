@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 #: White space as Python's str.isspace() has it; Java's class lacks the separators U+001C to U+001F.
 BLANK = r"(?U)[\s\x1c-\x1f]"
+BLANKS = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 FINGERPRINT_LENGTH = 10
 #: Roles that speak with another role's voice.
 VOICE_FOLDERS = {"narrator": "arthur", "narrateur": "arthur", "note": "arthur"}
@@ -23,12 +24,21 @@ CHARS_PER_SECOND = 14.0
 SHORTEST_SECONDS = 0.6
 
 
-def _form(name: str):
+def _unless_ascii(change):
+    """change, as an Arrow UDF that only sees texts beyond ASCII: all others stay in the JVM as they are."""
+
     @F.pandas_udf(T.StringType())
-    def normal(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize(name, x), na_action="ignore")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(change, na_action="ignore")
+
+    def column(text: Column) -> Column:
+        return F.coalesce(run(F.when(text.rlike(r"[^\x00-\x7f]"), text)), text)
+
+    return column
+
 
-    return normal
+def _form(name: str):
+    return _unless_ascii(lambda x: unicodedata.normalize(name, x))
 
 
 nfc, nfd, nfkd = _form("NFC"), _form("NFD"), _form("NFKD")
@@ -39,6 +49,11 @@ def squeeze(text: Column) -> Column:
     return F.btrim(F.regexp_replace(text, BLANK + "+", " "), F.lit(" "))
 
 
+def stripped(text: Column) -> Column:
+    """Without white space at the ends."""
+    return F.btrim(text, F.lit(BLANKS))
+
+
 def normalise_text(text: Column) -> Column:
     """NFC, white space squeezed. Case, accents and punctuation stay: they change what is said."""
     return squeeze(nfc(text))
@@ -50,19 +65,13 @@ def fingerprint(text: Column, normalised: bool = False) -> Column:
     return F.when(n == "", F.lit("")).otherwise(F.substring(F.sha2(n, 256), 1, FINGERPRINT_LENGTH))
 
 
-@F.pandas_udf(T.StringType())
-def _unaccented(s: pd.Series) -> pd.Series:
-    """Without accents, and in lower case character by character: no rule that looks at a whole word, such as that of the final sigma."""
-
-    def plain(x):
-        return x if x is None or x.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFD", x) if not unicodedata.combining(c))
-
-    return s.map(plain, na_action="ignore")
+#: Without accents, and in lower case character by character: no rule that looks at a whole word, such as that of the final sigma.
+_unaccented = _unless_ascii(lambda x: "".join(c.lower() for c in unicodedata.normalize("NFD", x) if not unicodedata.combining(c)))
 
 
 def role_of_speaker(name: Column) -> Column:
     """'José Álvarez' -> 'jose': no accents, first word, letters and digits only, lower case."""
-    plain = F.regexp_replace(_unaccented(name), r"(?U)[^\p{L}\p{N}\s\x1c-\x1f'_-]", "")
+    plain = F.regexp_replace(_unaccented(name.cast("string")), r"(?U)[^\p{L}\p{N}\s\x1c-\x1f'_-]", "")
     word = F.regexp_extract(plain, r"(?U)^[\s\x1c-\x1f'_-]*([\p{L}\p{N}]*)", 1)
     return F.lower(word)
 

@@ -5,37 +5,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import vectors as V
 from .rows import first_of
 
 
+def _cuttable(column: Column, kind: T.DataType) -> Column:
+    """A number in the order of the column, for cutting it into runs."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(column.cast("timestamp"))
+    return F.unix_date(column) if isinstance(kind, T.DateType) else column.cast("double")
+
+
 def as_of(left: DataFrame, right: DataFrame, on: str, value: str, by: list[str] = (), name: str | None = None) -> DataFrame:
     """Left rows with the value of the right row at, or else next below, their `on`; null before the first.
 
-    Both sides meet in one sorted pass per key, without a range join. Without keys the pass is cut at quantiles of the
-    right side: each run is filled by itself, and what a run ends with is carried into the next. If several right rows
-    claim a key, pass them through first_of() before.
+    Both sides meet in one sorted pass, without a range join. The pass is cut at quantiles of the right side, so that
+    neither all rows nor those of one key are sorted in one task: each run of a key is filled by itself, and what a run
+    ends with is carried into the key's next. If several right rows claim a key, pass them through first_of() before.
     """
     name, by = name or value, list(by)
     l = left.withColumn("_row", F.struct(*left.columns)).select(*by, F.col(on).alias("_on"), F.lit(1).alias("_side"), F.col("_row"), F.lit(None).cast(right.schema[value].dataType).alias("_v"))
     r = right.select(*by, F.col(on).alias("_on"), F.lit(0).alias("_side"), F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), F.col(value).alias("_v"))
-    both, keys = l.unionByName(r), by
-    if not by:
-        runs = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        cuts = right.agg(F.percentile_approx(on, [i / runs for i in range(1, runs)], 10_000)).first()[0] if runs > 1 else None
-        edges = F.array(*map(F.lit, sorted(set(cuts or ())))) if cuts else F.array().cast("array<int>")
-        run = F.size(F.filter(edges, lambda e: e <= F.col("_on"))) if cuts else F.lit(0)
-        both, keys = both.withColumn("_run", run), ["_run"]
-    w = W.partitionBy(*keys).orderBy("_on", "_side").rowsBetween(W.unboundedPreceding, 0)
-    filled = both.withColumn("_v", F.last("_v", ignorenulls=True).over(w))
-    if not by:
-        ends = both.where("_v is not null").groupBy("_run").agg(F.max_by("_v", "_on").alias("_end"))
-        every = left.sparkSession.range(len(set(cuts or ())) + 1).select(F.col("id").cast("int").alias("_run"))
-        before = F.last("_end", ignorenulls=True).over(W.partitionBy(F.lit(1)).orderBy("_run").rowsBetween(W.unboundedPreceding, -1))
-        carried = every.join(ends, "_run", "left").select("_run", before.alias("_before"))  # a row for each run
-        filled = filled.join(F.broadcast(carried), "_run", "left").withColumn("_v", F.coalesce("_v", "_before"))
-    return filled.where("_side = 1").select("_row.*", F.col("_v").alias(name))
+    runs = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = lambda c: _cuttable(F.col(c), right.schema[on].dataType)
+    cuts = right.agg(F.percentile_approx(at(on), [i / runs for i in range(1, runs)], 10_000)).first()[0] if runs > 1 else None
+    edges = sorted(set(cuts or ()))
+    run = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= at("_on"))) if edges else F.lit(0)
+    keys = [*by, "_run"]
+    both = l.unionByName(r).withColumn("_run", F.when(F.col("_on").isNull(), -1).otherwise(run))
+    w = W.partitionBy(*keys).orderBy("_on", "_side")
+    filled = both.withColumn("_v", F.last("_v", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    # a row for each run of each key: what the runs before it end with
+    ends = both.groupBy(*keys).agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_on"))).alias("_end"))
+    upto = W.partitionBy(*by or [F.lit(0)]).orderBy("_run").rowsBetween(W.unboundedPreceding, -1)
+    carried = ends.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.last("_end", ignorenulls=True).over(upto).alias("_before"))
+    joined = filled.join(carried if by else F.broadcast(carried), [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return joined.where("_side = 1").select("_row.*", F.coalesce("_v", "_before").alias(name))
 
 
 def as_of_ranges(left: DataFrame, small: DataFrame, on: str, value: str, limit: int = 1_000) -> DataFrame:

@@ -40,6 +40,38 @@ def replace_json(path: str, doc: dict | list, now: dt.datetime | None = None) ->
     return old
 
 
+def write_files(df: DataFrame, root: str, path: str = "path", content: str = "content") -> int:
+    """Writes each row's content to its path under root, from the tasks that hold the rows; returns how many files.
+
+    root is a URI that all executors reach and pyarrow's file systems open. A file appears whole or not at all, and a task
+    that is run again writes the same files. A path that is absolute or climbs out of root is an error.
+    """
+
+    def put(batches):
+        import posixpath
+        import uuid
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(root)
+        n = 0
+        for batch in batches:
+            for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if name.startswith("/") or ".." in name.split("/"):
+                    raise ValueError(f"unsafe path: {name}")
+                to = posixpath.join(base, name)
+                part = f"{to}.{uuid.uuid4().hex}.part"
+                system.create_dir(posixpath.dirname(to), recursive=True)
+                with system.open_output_stream(part) as f:
+                    f.write(body or b"")
+                system.move(part, to)
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    return df.select(path, F.col(content).cast("binary")).mapInArrow(put, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def voice_entries(files: DataFrame, voices: DataFrame, voice: str = "voix") -> DataFrame:
     """(voix, entry): the nested manifest entry of each voice, files by id."""
     entry = F.array_sort(F.collect_list(F.struct("id", "fichier", "sha256", "moteur", "chapitre", "texte")))

@@ -63,8 +63,7 @@ select doc_id, cast(ligne as integer) as ligne, bare as line, cast(row_number()
 from bare where bare <> '' and bare not like '#%' and bare not like '[%' and bare not like '- %'
 """)
 def line_extraction(t):
-    lines = timelines.spoken(timelines.split_lines(t.documents.where("text <> ''").select("doc_id", F.col("text").alias("content"))))
-    return rows.rank_in(lines.select("doc_id", "ligne", F.col("bare").alias("line")), ["doc_id"], "ligne")
+    return timelines.spoken_lines(t.documents.where("text <> ''").select("doc_id", F.col("text").alias("content")))
 
 
 @query(r"""

@@ -101,27 +101,68 @@ def spectral_features(t):
     return s.select("vec_id", F.round("s.low_share", 5).alias("low_share"), F.round(F.col("s.shares")[0], 5).alias("band"), *[F.round(f"s.centroid_{c}", 3).alias(c) for c in ("narrow", "voice", "wide")])
 
 
-@query()
+@query(_DFT + f"""
+, c as (select c, row_number() over () as pos from (select unnest([{', '.join(map(str, G.SWEEP))}]) as c)),
+each as (select label, vec_id, c, pos, sum(p) filter (where f >= 0.6 * c and f < 1.4 * c) / sum(p) filter (where f > 60 and f < 2000) as share from p cross join c group by all),
+med as (select label, c, pos, median(coalesce(share, 0)) / (0.8 * c / 1940) as density from each group by label, c, pos)
+select label, c::double as centre, round(density, 6) as density from med qualify row_number() over (partition by label order by density desc, pos) = 1
+""")
 def target_sweep(t):
     s = t.embeddings.select("label", G.spectrum_features(F.col("embedding"), RATE, tuple(map(float, G.SWEEP))).alias("s"))
     return S.sweep_best(s.select("label", "s.shares"), ["label"], list(G.SWEEP), "shares").select("label", "centre", F.round("density", 6).alias("density"))
 
 
-def _tones(t):
-    """Two harmonics of 100 to 190 Hz by label, a fifth of a second at 8 kHz."""
-    f = 100.0 + 10.0 * F.col("label")
-    at = lambda i, k: F.sin(2 * 3.141592653589793 * k * f * i / 8000.0)
-    wave = F.transform(F.sequence(F.lit(0), F.lit(1599)), lambda i: 0.5 * at(i, 1) + 0.2 * at(i, 2))
-    return t.embeddings.select("label").distinct().select("label", wave.alias("wave"))
-
-
-@query()
+SLOW = 800  # samples a second: a vector of 64 is then 80 ms, four frames of pitch and six of the cepstrum
+
+
+@query(f"""
+with s as (select vec_id, unnest(range(64)) as i, unnest(embedding::double[]) as x from embeddings),
+f as (select vec_id, st, i - st as j, x * (0.5 - 0.5 * cos(2 * pi() * (i - st) / 32)) as w from s join (select unnest(range(0, 32, 8)) as st) on i >= st and i < st + 32),
+loud as (select vec_id, st, avg(w) as m from f group by all having sqrt(avg(w * w)) >= 1e-3),
+c as (select vec_id, st, j, w - m as c from f join loud using (vec_id, st)),
+whole as (select vec_id, st, sum(c * c) as e from c group by all having sum(c * c) > 0),
+auto as (select a.vec_id, a.st, b.j - a.j as lag, sum(a.c * b.c) as r from c a join c b on a.vec_id = b.vec_id and a.st = b.st and b.j - a.j between 2 and 12 group by all),
+peak as (select * from auto qualify row_number() over (partition by vec_id, st order by r desc, lag) = 1),
+f0 as (select vec_id, {SLOW}.0::double / lag as f0 from peak join whole using (vec_id, st) where r / e >= 0.3),
+mid as (select vec_id, median(f0) as m from f0 group by 1),
+pitch as (select vec_id, m, stddev_pop(12 * log2(f0 / m)) as spread, count(*) / 8.0::double as voiced from f0 join mid using (vec_id) group by all),
+g as (select vec_id, st, i - st as j, x * (0.5 - 0.5 * cos(2 * pi() * (i - st) / 20)) as w from s join (select unnest(range(0, 44, 8)) as st) on i >= st and i < st + 20),
+heard as (select vec_id, st from g group by all having sqrt(avg(w * w)) >= 1e-3),
+p as (select vec_id, st, k, power(sum(w * cos(2 * pi() * j * k / 20)), 2) + power(sum(w * sin(2 * pi() * j * k / 20)), 2) as p from g join heard using (vec_id, st) cross join (select unnest(range(11)) as k) group by all),
+ends as (select 2595 * log10(1 + 50 / 700.0::double) as a, 2595 * log10(1 + 400 / 700.0::double) as b),
+edge as (select n, floor(21 * 700 * (power(10, (a + (b - a) * n / 41) / 2595) - 1) / {SLOW}) as e from ends cross join (select unnest(range(42)) as n)),
+bank as (select x.n as band, k, case when k < y.e then (k - x.e) / (y.e - x.e) else (z.e - k) / (z.e - y.e) end as wt
+  from edge x join edge y on y.n = x.n + 1 join edge z on z.n = x.n + 2 join (select unnest(range(11)) as k) on k >= x.e and k < z.e where x.e < y.e and y.e < z.e),
+energy as (select h.vec_id, h.st, b.band, ln(coalesce(sum(p * wt), 0) + 1e-10) as v
+  from heard h cross join (select unnest(range(40)) as band) b left join bank on bank.band = b.band left join p on p.vec_id = h.vec_id and p.st = h.st and p.k = bank.k group by all),
+cep as (select vec_id, n, avg(v) as c from (select vec_id, st, n, sum(v * cos(pi() * n * (band + 0.5) / 40)) * sqrt(2 / 40.0::double) / case when n = 0 then sqrt(2) else 1 end as v
+  from energy cross join (select unnest([0, 1, 12]) as n) group by vec_id, st, n) group by all),
+level as (select vec_id, 20 * log10(sqrt(avg(x * x)) + 1e-10) as db from s group by 1)
+select l.vec_id, round(coalesce(m, 0), 4) as f0_median, round(coalesce(spread, 0), 4) as f0_spread, round(db, 4) as rms_db, round(coalesce(voiced, 0), 4) as voiced,
+       round(coalesce(max(c) filter (where n = 0), 0), 4) as mfcc0, round(coalesce(max(c) filter (where n = 1), 0), 4) as mfcc1, round(coalesce(max(c) filter (where n = 12), 0), 4) as mfcc12
+from level l left join pitch using (vec_id) left join cep using (vec_id) group by l.vec_id, m, spread, db, voiced
+""")
 def voice_descriptors(t):
-    d = _tones(t).select("label", G.descriptors(F.col("wave"), 8000).alias("d"))
-    return d.select("label", F.round("d.f0_median", 3).alias("f0_median"), F.round("d.voiced", 3).alias("voiced"), F.round("d.rms_db", 3).alias("rms_db"), F.round(F.col("d.mfcc")[0], 3).alias("mfcc0"))
+    """Pitch, level, voiced share and cepstrum of every vector, read as a wave."""
+    d = t.embeddings.select("vec_id", G.descriptors(F.col("embedding"), SLOW).alias("d"))
+    mfcc = lambda i: F.round(F.col("d.mfcc")[i], 4).alias(f"mfcc{i}")
+    return d.select("vec_id", F.round("d.f0_median", 4).alias("f0_median"), F.round("d.f0_spread_st", 4).alias("f0_spread"), F.round("d.rms_db", 4).alias("rms_db"), F.round("d.voiced", 4).alias("voiced"), mfcc(0), mfcc(1), mfcc(12))
 
 
-@query()
+@query("""
+select label, 100.0::double + 10.0 * label as hertz, 4000 as samples, 4757 as slow_samples, true as own_pitch, true as lowered_pitch from (select distinct label from embeddings)
+""")
 def lowered_tones(t):
-    d = _tones(t).select("label", G.lowered(F.col("wave"), 3.0, 8000).alias("w"))
-    return d.select("label", F.size("w").alias("samples"), F.round(G.descriptors(F.col("w"), 8000)["f0_median"], 2).alias("f0_median"))
+    """Two harmonics of 100 Hz and up by label, half a second at 8 kHz, three semitones down at their own length and slowed down.
+
+    Pitches are held to 3 %: tapered frames pull low ones up by some two.
+    """
+    hertz = 100.0 + 10.0 * F.col("label")
+    at = lambda i, k: F.sin(2 * 3.141592653589793 * k * hertz * i / 8000.0)
+    wave = F.transform(F.sequence(F.lit(0), F.lit(3999)), lambda i: 0.5 * at(i, 1) + 0.2 * at(i, 2))
+    d = t.embeddings.select("label").distinct().select("label", hertz.alias("hertz"), wave.alias("wave"))
+    d = d.select("label", "hertz", "wave", G.lowered(F.col("wave"), 3.0, 8000).alias("w"), G.lowered(F.col("wave"), 3.0, 8000, keep_length=False).alias("slow"))
+    pitch = lambda c: G.descriptors(F.col(c), 8000)["f0_median"]
+    near = lambda c, want: F.abs(pitch(c) / want - 1) < 0.03
+    down = F.col("hertz") / V.semitone_ratio(F.lit(3.0))
+    return d.select("label", "hertz", F.size("w").alias("samples"), F.size("slow").alias("slow_samples"), near("wave", F.col("hertz")).alias("own_pitch"), (near("w", down) & near("slow", down)).alias("lowered_pitch"))

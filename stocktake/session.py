@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,5 +37,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder's URI, in the one that all executors share (spark.checkpoint.dir); a temporary one where that is unset, in a single process."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: it has to name a folder that the driver and all executors share")
+        own = tempfile.mkdtemp(prefix="stocktake-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        shared = f"file://{own}"
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def data_dir(default: str = "/root/testdata/sf0.01") -> str:
     return os.environ.get("STOCKTAKE_SF_DIR", default)

@@ -5,7 +5,7 @@ Files are read whole and split in the JVM by Python's line boundaries, so line n
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,20 +24,34 @@ def read_whole(spark: SparkSession, path: str, recursive: bool = False, pattern:
     return files.select("path", stem.alias("timeline"), F.decode("content", "UTF-8").alias("content"))
 
 
+def lines_of(content: Column) -> Column:
+    """The lines of a text; an end of file after a break is no line."""
+    body = F.regexp_replace(content, f"(?:{LINE_BREAK})$", "")
+    return F.when(content == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK))
+
+
+def can_be_spoken(bare: Column) -> Column:
+    """Whether a stripped line can be an utterance: not blank, no comment, event or choice."""
+    return (bare != "") & ~(bare.startswith("#") | bare.startswith("[") | bare.startswith("- "))
+
+
 def split_lines(files: DataFrame, content: str = "content") -> DataFrame:
-    """One row per line: number from 1, and the line; an end of file after a break is no line."""
-    body = F.regexp_replace(F.col(content), f"(?:{LINE_BREAK})$", "")
-    lines = F.when(F.col(content) == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK))
+    """One row per line: number from 1, and the line."""
+    kept = [c for c in files.columns if c != content]
+    return files.select(*kept, F.posexplode(lines_of(F.col(content))).alias("_i", "line")).select(*kept, (F.col("_i") + 1).alias("ligne"), "line")
+
+
+def spoken_lines(files: DataFrame, content: str = "content") -> DataFrame:
+    """Lines that can be utterances: number of the line, rank among them, and the stripped line. Both are counted inside the row: nothing moves."""
+    numbered = F.transform(lines_of(F.col(content)), lambda x, i: F.struct((i + 1).alias("ligne"), X.stripped(x).alias("line")))
     kept = [c for c in files.columns if c != content]
-    return files.select(*kept, F.posexplode(lines).alias("_i", "line")).select(*kept, (F.col("_i") + 1).alias("ligne"), "line")
+    each = files.select(*kept, F.posexplode(F.filter(numbered, lambda x: can_be_spoken(x["line"]))).alias("_i", "x"))
+    return each.select(*kept, "x.ligne", (F.col("_i") + 1).alias("rank"), "x.line")
 
 
 def spoken(lines: DataFrame, column: str = "line") -> DataFrame:
-    """Lines that can be utterances: not blank, no comment, event or choice; adds the stripped line."""
-    bare = F.regexp_replace(F.col(column), f"^{X.BLANK}+|{X.BLANK}+$".replace("|(?U)", "|"), "")
-    out = lines.withColumn("bare", bare)
-    skip = F.col("bare").startswith("#") | F.col("bare").startswith("[") | F.col("bare").startswith("- ")
-    return out.where((F.col("bare") != "") & ~skip)
+    """Lines that can be utterances; adds the stripped line."""
+    return lines.withColumn("bare", X.stripped(F.col(column))).where(can_be_spoken(F.col("bare")))
 
 
 def utterances(lines: DataFrame, column: str = "line") -> DataFrame:

@@ -109,3 +109,50 @@ def test_outlier_rule_is_not_idempotent(spark):
     assert stats.median_outliers(df, ["k"], "s").count() == 0
     fixed = df.withColumn("s", F.when(F.col("s") == 0.1, 0.9).otherwise(F.col("s")))
     assert stats.median_outliers(fixed, ["k"], "s").count() == 2
+
+
+def test_missing_and_doubled_defaults(spark):
+    """No row is lost for want of a default, and an error says where one is needed and isn't there once."""
+    reg = spark.createDataFrame([("n", "N"), ("g", "G")], "registre string, consigne string")
+    df = spark.createDataFrame([("do", "g", "x"), (None, "g", "x")], "instruct string, registre string, role string")
+    asked = lambda r, rows=df: sorted(x.consigne for x in M.resolve_instruction(rows, r, {}, None, "n").collect())
+    assert asked(reg.where("registre = 'g'")) == asked(reg) == ["G", "do"]
+    unknown = spark.createDataFrame([(None, "zz", "x")], df.schema)
+    for bad in (reg.where("registre = 'g'"), reg.limit(0), reg.union(reg)):
+        with pytest.raises(PySparkException):
+            asked(bad, unknown)
+    targets = spark.createDataFrame([("a", 1.0), ("*", 2.0)], "role string, target double")
+    roles = spark.createDataFrame([("a",), ("b",)], "role string")
+    assert sorted(r.target for r in M.target_of(roles, targets).collect()) == [1.0, 2.0]
+    assert [r.target for r in M.target_of(roles.where("role = 'a'"), targets.where("role = 'a'")).collect()] == [1.0]
+    for bad in (targets.where("role = 'a'"), targets.union(targets), targets.limit(0)):
+        with pytest.raises(PySparkException):
+            M.target_of(roles, bad).collect()
+    values = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "k string, v double")
+    assert sorted(r.d_v for r in stats.delta_to_baseline(values, F.col("k") == "a", ["v"]).collect()) == [0.0, 2.0]
+    for baseline in (F.col("k") == "z", F.col("k") > ""):
+        with pytest.raises(PySparkException):
+            stats.delta_to_baseline(values, baseline, ["v"]).collect()
+
+
+def test_repeated_dimension_keys(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "k string")
+    dim = spark.createDataFrame([("a", "x", 1), ("a", "y", 2)], "k string, v string, ord int")
+    with pytest.raises(PySparkException):
+        M.lookup(df, dim, "k", "v", F.lit("none")).collect()
+    assert sorted(r.v for r in M.lookup(df, dim, "k", "v", F.lit("none"), "ord").collect()) == ["none", "y"]
+    assert sorted((r.k, r.v) for r in M.role_defaults(df, dim, "k", ["v"], "ord").collect()) == [("a", "y"), ("b", None)]
+
+
+def test_as_of_with_a_hot_key(spark):
+    """One key with nearly all rows, null keys and null places, against a plain loop."""
+    import random
+
+    rng = random.Random(2)
+    left = [(rng.choice(["h"] * 9 + ["a", None]), rng.choice([None, *range(400)]), i) for i in range(500)]
+    right = list({(rng.choice(["h"] * 9 + ["a", None]), rng.randrange(400)): f"v{i}" for i in range(150)}.items())
+    want = {i: max(((x, v) for (k2, x), v in right if k2 == k and at is not None and x <= at), default=(0, None))[1] for k, at, i in left}
+    l = spark.createDataFrame(left, "k string, x int, i int").repartition(5)
+    r = spark.createDataFrame([(k, x, v) for (k, x), v in right], "k string, x int, v string").repartition(3)
+    got = {row.i: row.v for row in M.as_of(l, r, "x", "v", ["k"]).collect()}
+    assert len(got) == 500 and {i: v for i, v in got.items() if left[i][0] is not None} == {i: v for i, v in want.items() if left[i][0] is not None}

@@ -13,7 +13,7 @@ from stocktake.operators import sinks
 from stocktake.sources import files, timelines
 from stocktake.streaming import resumable
 
-MAIN = '# comment\n[event arg="x"]\n- choice : no\nnarrator: Il faisait nuit.\n\n  Alice Leywin : [portrait] Bonjour {nom}.\r\nnarrator: Un\x0bnarrator: deux narrator: trois\nsans locuteur\nnarrator:\n'
+MAIN = '# comment\n[event arg="x"]\n- choice : no\nnarrator: Il faisait nuit.\n\n  José Álvarez : [portrait] Bonjour {nom}.\r\nnarrator: Un\x0bnarrator: deux narrator: trois\nsans locuteur\nnarrator:\n'
 
 
 @pytest.fixture
@@ -46,8 +46,8 @@ def test_missing_timeline_is_an_error(spark, folder):
 
 
 def test_role_lines(spark, folder):
-    got = timelines.role_lines(spark, f"file://{folder}/t", "Alice Leywin").collect()
-    assert [(r.id, r.texte, r.chapitre) for r in got] == [("Alice Leywin_ch07_01", "Bonjour .", "ch07")]
+    got = timelines.role_lines(spark, f"file://{folder}/t", "José Álvarez").collect()
+    assert [(r.id, r.texte, r.chapitre) for r in got] == [("José Álvarez_ch07_01", "Bonjour .", "ch07")]
 
 
 def ogg(rate, granule):
@@ -159,3 +159,13 @@ def test_reports(spark):
     assert sinks.markdown_table(df, ["x", "y"]) == "| x | y |\n| --- | --- |\n| a\\|b | 1 |\n|  | 2 |\n"
     assert sinks.console_table(df, {"x": 5, "y": 2}) == "x    y\na|b  1\n     2"
     assert spark.range(1).select(X.markdown_cell(F.lit("a|b"))).first()[0] == "a\\|b"
+
+
+def test_files_are_written_whole(spark, tmp_path):
+    df = spark.createDataFrame([("a/x.txt", "1"), ("b/y.txt", None), ("a/é z.txt", "3")], "path string, content string")
+    assert sinks.write_files(df, f"file://{tmp_path}/w") == 3 == sinks.write_files(df, f"file://{tmp_path}/w")
+    assert {str(p.relative_to(tmp_path / "w")): p.read_text() for p in (tmp_path / "w").rglob("*") if p.is_file()} == {"a/x.txt": "1", "b/y.txt": "", "a/é z.txt": "3"}
+    assert sinks.write_files(df.limit(0), f"file://{tmp_path}/w") == 0
+    for bad in ("/etc/x", "a/../../x"):
+        with pytest.raises(PySparkException):
+            sinks.write_files(spark.createDataFrame([(bad, "x")], df.schema), f"file://{tmp_path}/w")
