@@ -6,13 +6,19 @@ same words select the same anchor at the same place, so a window can only repeat
 1. Seeds: documents send their anchors, about one in seven words, to the task that owns the hash; anchors seen twice
    go back to their documents.
 2. Extension: around each repeated anchor a document extends to all windows that selected it, both ways, and sends
-   these windows' hashes to their owners. Windows that lie next to each other and repeat are a maximal repeat.
-3. Owners keep the first start of each window, by (document id, word), and send back the later ones.
-4. Documents drop the words that later windows cover.
+   these windows' hashes to their owners.
+3. Owners find the first start of each window, by (document id, word), and send back the later ones with the place of
+   an earlier one.
+4. Of these a document makes its maximal repeats: runs of windows whose earlier places run on in one document,
+   (start, other document, other start, length), all of WINDOW words or more. It drops the words that they cover.
+
+Windows are joined on hashes, never in pairs: each meets an earlier one, so a thousand copies make a thousand links.
+Their words are compared by 96 bits of hash.
 
 What travels is packed: one binary row per batch of documents and owner, about nine bytes an anchor or window, and
 the texts twice. A batch sends each hash once and settles its own repeats itself, so an anchor or window that a
-third of all documents hold reaches its owner once per batch only.
+third of all documents hold reaches its owner once per batch only. Parts follow the bytes of the texts, which are
+counted first; what the owners found is staged, so that a lost executor repeats the last step only.
 """
 
 from __future__ import annotations
@@ -27,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHash, mix64, stack, texts
+from .common import WordHash, list_array, mix64, stack, staged, texts, tidy
 
 WINDOW = 20
 GRAM = 8
@@ -37,11 +43,10 @@ ROWS = "to int, kind int, data binary"
 TEXT, SEED, KNOWN_SEED, WIN, LATER = range(5)
 
 
-def owners(df: DataFrame) -> int:
-    """Into how many parts hashes and documents are dealt: it follows the size of the input, where Spark can tell it."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    known = size if size < 1 << 55 else 0
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), known // OWNER_BYTES)
+def owners(docs: DataFrame) -> int:
+    """Into how many parts hashes and documents are dealt: one for each OWNER_BYTES of text."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // OWNER_BYTES + 1)
 
 
 # packed rows
@@ -75,6 +80,29 @@ def unpack_at(data: bytes, kinds: tuple = ()) -> tuple:
     return head[:docs], head[docs : 2 * docs].view(np.int64), head[2 * docs :].astype(np.int64), at, *out
 
 
+def pack_later(pick: np.ndarray, lead: np.ndarray, doc: np.ndarray, key: np.ndarray, ids: np.ndarray, at: np.ndarray) -> bytes:
+    """Later windows (pick, in the order of (document, place)) with the entries (lead) they repeat, as documents and distances."""
+    d = doc[pick]
+    first = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
+    own, count = d[first], np.diff(np.append(first, len(d)))
+    other, which = np.unique(doc[lead[pick]], return_inverse=True)
+    heads = [key[own].view(np.uint64), ids[own].view(np.uint64), count.astype(np.uint64), key[other].view(np.uint64), ids[other].view(np.uint64)]
+    back = at[lead[pick]] - at[pick]
+    body = _zip(b"".join(x.tobytes() for x in (*heads, np.diff(at[pick], prepend=0).astype("<i4"), which.astype("<i4"), back.astype("<i4"))))
+    return np.array([len(own), len(other), len(pick)], "<u8").tobytes() + body
+
+
+def unpack_later(data: bytes) -> tuple[np.ndarray, ...]:
+    """Keys and numbers of entries of documents; of each entry its place, the key and id of the other document and the place there."""
+    docs, others, n = np.frombuffer(data, "<u8", 3).astype(int).tolist()
+    body = _unzip(data[24:])
+    head = np.frombuffer(body, "<u8", 3 * docs + 2 * others)
+    step, which, back = np.frombuffer(body, "<i4", 3 * n, head.nbytes).reshape(3, n)
+    at = np.cumsum(step, dtype=np.int64)
+    key, ids = head[3 * docs : 3 * docs + others], head[3 * docs + others :].view(np.int64)
+    return head[:docs], head[2 * docs : 3 * docs].astype(np.int64), at, key[which], ids[which], at + back
+
+
 def pack_texts(docs: list[tuple[int, int, bool, bytes]]) -> bytes:
     head = np.array([x for d in docs for x in (d[0], len(d[3]) + (d[2] << 62))], "<u8")
     ids = np.array([d[1] for d in docs], "<i8")
@@ -169,7 +197,7 @@ def text_rows(df: DataFrame, n: int) -> DataFrame:
             if to:
                 yield rows_batch([(q, TEXT, pack_texts(d)) for q, d in to.items()])
 
-    return df.mapInArrow(send, ROWS)
+    return df.mapInArrow(tidy(send), ROWS)
 
 
 def keyed(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bool, bytes]]:
@@ -208,7 +236,7 @@ def seed_rows(df: DataFrame, n: int) -> DataFrame:
                 rows.append((q, KNOWN_SEED, pack_entries(rest[i], doc, key, ids, at)))
             yield rows_batch(rows)
 
-    return df.mapInArrow(send, ROWS)
+    return df.mapInArrow(tidy(send), ROWS)
 
 
 def entries(blobs: list[bytes], kinds: tuple) -> tuple:
@@ -272,7 +300,8 @@ def extended(n: int):
         h, check = words.window_hashes(start)
         place = start - words.begin[wdoc]
         key, ids = np.array([d[0] for d in docs], np.uint64), np.array([d[1] for d in docs], np.int64)
-        later = later_starts(h, check, ids[wdoc], place)
+        lead = earlier_starts(h, check, ids[wdoc], place)
+        later = lead >= 0
         out = []
         # of equal windows here the first is sent, with any that tie with it
         stay = np.flatnonzero(~later)
@@ -280,29 +309,28 @@ def extended(n: int):
             out.append((p, WIN, pack_entries(stay[i], wdoc, key, ids, place, h, check)))
         gone = np.flatnonzero(later)
         if len(gone):
-            out.append((to, LATER, pack_entries(gone, wdoc, key, ids, place)))
+            out.append((to, LATER, pack_later(gone, lead, wdoc, key, ids, place)))
         if out:
             yield rows_batch(out)
 
     return work
 
 
-def later_starts(h: np.ndarray, check: np.ndarray, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Which windows also start earlier, by (document id, word)."""
-    later = np.zeros(len(h), bool)
+def earlier_starts(h: np.ndarray, check: np.ndarray, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """For each window the entry of the same that starts first, by (document id, word); -1 for those that do."""
+    lead = np.full(len(h), -1)
     if not len(h):
-        return later
+        return lead
     rank = (np.unique(ids, return_inverse=True)[1].astype(np.int64) << 32) | place
-    order = np.argsort(h, kind="stable")
+    order = np.lexsort((rank, h))
     s, c = h[order], check[order]
     if ((s[1:] == s[:-1]) & (c[1:] != c[:-1])).any():
-        order = np.lexsort((check, h))
+        order = np.lexsort((rank, check, h))
         s, c = h[order], check[order]
     begin = np.flatnonzero(np.concatenate([[True], (s[1:] != s[:-1]) | (c[1:] != c[:-1])]))
-    r = rank[order]
-    least = np.repeat(np.minimum.reduceat(r, begin), np.diff(np.append(begin, len(r))))
-    later[order] = r > least
-    return later
+    first = np.repeat(order[begin], np.diff(np.append(begin, len(s))))
+    lead[order] = np.where(rank[order] > rank[first], first, -1)
+    return lead
 
 
 def settled(n: int):
@@ -310,63 +338,80 @@ def settled(n: int):
         out = [(to, LATER, x) for x in rows.get(LATER, ())]
         if blobs := rows.pop(WIN, None):
             key, ids, doc, at, h, check = entries(blobs, ("<u8", "<u4"))
-            gone = np.flatnonzero(later_starts(h, check, ids[doc], at))
+            lead = earlier_starts(h, check, ids[doc], at)
+            gone = np.flatnonzero(lead >= 0)
             for q, i in dealt((key[doc[gone]] % np.uint64(n)).astype(np.int64), n):
-                out.append((q, LATER, pack_entries(gone[i], doc, key, ids, at)))
+                out.append((q, LATER, pack_later(gone[i], lead, doc, key, ids, at)))
         if out:
             yield rows_batch(out)
 
     return work
 
 
+def maximal_repeats(at: np.ndarray, key: np.ndarray, ids: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Rows (start, other id, other start, length) of later windows at `at`, whose words are at `other` in the document (key, id)."""
+    order = np.argsort(at, kind="stable")
+    at, key, ids, other = at[order], key[order], ids[order], other[order]
+    starts = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1] + 1) | (other[1:] != other[:-1] + 1) | (key[1:] != key[:-1])]))
+    return np.stack([at[starts], ids[starts], other[starts], np.diff(np.append(starts, len(at))) + WINDOW - 1], 1)
+
+
 def kept_words():
     def work(to: int, rows: dict) -> Iterator[pa.RecordBatch]:
         cuts = defaultdict(list)
         for blob in rows.pop(LATER, ()):
-            key, _, count, at = unpack_at(blob)
+            key, count, *entries_ = unpack_later(blob)
             ends = np.cumsum(count)
             for k, lo, hi in zip(key.tolist(), (ends - count).tolist(), ends.tolist(), strict=True):
-                cuts[k].append(at[lo:hi])
+                cuts[k].append([x[lo:hi] for x in entries_])
+        found: dict[int, np.ndarray] = {}
         for blob in rows.pop(TEXT, ()):
-            ids, named, n, removed, text = [], [], [], [], []
+            ids, named, n, removed, text, repeats = [], [], [], [], [], []
             for k, i, has, b in unpack_texts(blob):
                 words = b.split()
                 ids.append(i)
                 named.append(has)
                 n.append(len(words))
+                repeats.append(np.zeros((0, 4), np.int64))
                 if has and k in cuts:
+                    if k not in found:
+                        found[k] = maximal_repeats(*(np.concatenate(x) for x in zip(*cuts[k], strict=True)))
+                    repeats[-1] = own = found[k]
                     edge = np.zeros(len(words) + 1, np.int64)
-                    for at in cuts[k]:
-                        np.add.at(edge, at, 1)
-                        np.add.at(edge, at + WINDOW, -1)
-                    stays = (np.cumsum(edge)[:-1] == 0).tolist()
-                    words = [w for w, s in zip(words, stays, strict=True) if s]
+                    np.add.at(edge, own[:, 0], 1)
+                    np.add.at(edge, own[:, 0] + own[:, 3], -1)
+                    words = [w for w, s in zip(words, (np.cumsum(edge)[:-1] == 0).tolist(), strict=True) if s]
                 removed.append(n[-1] - len(words))
                 text.append(b" ".join(words))
+            flat = np.concatenate(repeats)
+            lists = list_array(pa.StructArray.from_arrays([pa.array(flat[:, j]) for j in range(4)], ["start", "other", "other_start", "length"]), [len(x) for x in repeats])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64(), mask=~np.array(named, bool)), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(text, pa.binary()).cast(pa.string())],
-                names=["doc_id", "n_words", "n_removed", "text"],
+                [pa.array(ids, pa.int64(), mask=~np.array(named, bool)), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(text, pa.binary()).cast(pa.string()), lists],
+                names=["doc_id", "n_words", "n_removed", "text", "repeats"],
             )
 
     return work
 
 
 def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_words, n_removed, and the text of the kept words, joined by one blank.
+    """One row per input row: doc_id, n_words, n_removed, the text of the kept words, joined by one blank, and repeats.
 
     Each word goes that a window of 20 words covers whose words also start earlier: in a smaller id, or before it in
-    the same document. A null text has no words. Rows without an id are in no document: they keep all words. Equal
-    rows are one document and have equal results; rows that share an id but not the text are read as one document's
-    versions, none earlier than the other at the same word. An empty table gives an empty result. Ids are integers;
-    other columns are ignored.
+    the same document. repeats has the maximal runs of such windows: start, other (an id), other_start and length, in
+    words; the words there are the same. A null text has no words. Rows without an id are in no document: they keep all
+    words. Equal rows are one document and have equal results; rows that share an id but not the text are read as one
+    document's versions, none earlier than the other at the same word. An empty table gives an empty result. Ids are
+    integers; other columns are ignored.
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     n = owners(docs)
     to = lambda *dfs: (dfs[0] if len(dfs) == 1 else dfs[0].unionByName(dfs[1])).repartitionById(n, F.col("to"))
-    seeds = to(seed_rows(docs, n)).mapInArrow(by_partition(repeated_seeds(n)), ROWS)
-    wins = to(text_rows(docs, n), seeds).mapInArrow(by_partition(extended(n)), ROWS)
-    later = to(wins).mapInArrow(by_partition(settled(n)), ROWS)
-    return to(text_rows(docs, n), later).mapInArrow(by_partition(kept_words()), "doc_id long, n_words long, n_removed long, text string")
+    done = lambda rows, work, schema=ROWS: rows.mapInArrow(tidy(by_partition(work)), schema)
+    seeds = done(to(seed_rows(docs, n)), repeated_seeds(n))
+    wins = done(to(text_rows(docs, n), seeds), extended(n))
+    later = staged(done(to(wins), settled(n)), "later-windows")
+    schema = "doc_id long, n_words long, n_removed long, text string, repeats array<struct<start:long,other:long,other_start:long,length:long>>"
+    return done(to(text_rows(docs, n), later), kept_words(), schema)
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

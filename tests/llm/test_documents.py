@@ -335,6 +335,21 @@ def test_substrings(docs, frame, rows):
     assert rows(got, "doc_id", "n_words", "n_removed", "text") == sorted(brute.substrings([(d, t) for d, t, _ in docs]), key=repr)
 
 
+def test_repeats_are_repeats(docs, frame):
+    """Words at both places are the same, the other place is earlier, no two repeats run on, and together they are what goes."""
+    docs = list({d: (d, t, s) for d, t, s in docs}.values())
+    words = {d: brute.WORD.findall(t or "") for d, t, _ in docs}
+    for r in op8_substring_dedup.dedup_substrings(frame(docs)).collect():
+        gone, ends = set(), set()
+        for x in r.repeats:
+            assert x.length >= 20 and (x.other, x.other_start) < (r.doc_id, x.start)
+            assert words[x.other][x.other_start : x.other_start + x.length] == words[r.doc_id][x.start : x.start + x.length]
+            assert (x.other, x.other_start, x.start) not in ends
+            ends.add((x.other, x.other_start + x.length - 19, x.start + x.length - 19))
+            gone |= set(range(x.start, x.start + x.length))
+        assert len(gone) == r.n_removed
+
+
 def test_groups(docs, frame, rows):
     got = op9_jaccard_join.similar_groups(frame(docs))
     want = brute.groups([(d, t) for d, t, _ in docs])
