@@ -9,7 +9,9 @@ Copyright notices are taken out before. A unit takes the licence of the template
 Most units need not be weighed, by a bound that loses no hit. Of each template the terms of the highest weight are taken
 until the rest of its vector is shorter than min_score. A unit without any of these terms meets the template in the
 rest alone, and its cosine, at most the length of the rest, is below min_score. So only texts, and in them only lines and
-blocks, with such a term are weighed, as whole units with all their terms.
+blocks, with such a term are looked at. Of these the squared cosine is at most what the templates' terms have in the
+unit's squared length; every other term adds 1 or more to that length. Units whose bound is lower go, row by row, and
+what is left is weighed with all its terms.
 
 A file without a licence inherits from the licence file of the nearest directory above it, found by joining paths: the
 distinct directories, not the files, meet their ancestors, so a directory with a third of all files is one row.
@@ -151,9 +153,14 @@ def document_terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
+def weight_of_df(df: str, total: int) -> Column:
+    """Of a term that is in df of all documents: 1, if it is in all, or more."""
+    return F.log((F.lit(total) + 1.0) / (F.coalesce(df, F.lit(0)) + 1.0)) + 1
+
+
 def weight(tf: str, df: str, total: int) -> Column:
     """Of a term that is tf times in its unit and in df of all documents: repeated words of a long text weigh by the logarithm."""
-    return (F.log(F.col(tf)) + 1) * (F.log((F.lit(total) + 1.0) / (F.coalesce(df, F.lit(0)) + 1.0)) + 1)
+    return (F.log(F.col(tf)) + 1) * weight_of_df(df, total)
 
 
 def template_sides(spark: SparkSession, frequency: DataFrame, total: int) -> DataFrame:
@@ -174,8 +181,18 @@ def key_terms(sides: DataFrame, min_score: float) -> list[str]:
     return sorted(r.term for r in keys.collect())  # of the templates, whatever the corpus
 
 
-def unit_terms(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """(_row, unit, line, term, tf): the terms of the lines, blocks and whole texts that hold a key term. rows: (_row, path, text).
+def may_reach(unit: Column, weights: dict[str, float], min_score: float) -> Column:
+    """Whether the terms of a unit can have a cosine of min_score with a template: the terms of templates (term: weight) against all."""
+    known = F.array_intersect(unit, F.array(*map(F.lit, weights)).cast("array<string>"))
+    weight_of = F.create_map(*[F.lit(x) for kv in weights.items() for x in kv]) if weights else F.expr("cast(map() as map<string,double>)")
+    times = lambda t: F.size(F.filter(unit, lambda x: x == t))
+    own = F.aggregate(known, F.lit(0.0), lambda a, t: a + F.pow((F.log(times(t)) + 1) * F.try_element_at(weight_of, t), F.lit(2.0)))
+    others = F.size(F.array_distinct(unit)) - F.size(known)
+    return own >= (min_score - 1e-4) ** 2 * (own + others)
+
+
+def unit_terms(rows: DataFrame, keys: list[str], weights: dict[str, float], min_score: float) -> DataFrame:
+    """(_row, unit, line, term, tf): the terms of the lines, blocks and whole texts that hold a key term and may reach the score. rows: (_row, path, text).
 
     unit tells units of a text apart; line is where one begins.
     """
@@ -186,11 +203,13 @@ def unit_terms(rows: DataFrame, keys: list[str]) -> DataFrame:
     hit = F.arrays_overlap("terms", F.array(*map(F.lit, keys)).cast("array<string>"))
     marked = staged(own.withColumn("block", block).where(~F.col("blank")).withColumn("hit", hit), "license-lines")
     one = marked.where("hit").select("_row", F.concat(F.lit("l"), F.col("line").cast("string")).alias("unit"), "line", "terms")
-    blocks = marked.groupBy("_row", "block").agg(F.min("line").alias("_first"), F.count(F.lit(1)).alias("_lines"), F.max("hit").alias("_hit")).where("_hit and _lines > 1")
-    many = marked.join(blocks, ["_row", "block"]).select("_row", F.concat(F.lit("b"), F.col("block").cast("string")).alias("unit"), F.col("_first").alias("line"), "terms")
-    whole = rows.where(F.rlike("path", F.lit(NAMED))).select("_row")
-    whole = marked.join(whole, "_row", "left_semi").select("_row", F.lit("w").alias("unit"), F.lit(0).alias("line"), "terms")
-    each = one.unionByName(many).unionByName(whole).select("_row", "unit", "line", F.explode("terms").alias("term"))
+    every = F.flatten(F.collect_list("terms")).alias("terms")
+    many = marked.groupBy("_row", "block").agg(F.min("line").alias("line"), F.count(F.lit(1)).alias("_lines"), F.max("hit").alias("_hit"), every).where("_hit and _lines > 1")
+    many = many.select("_row", F.concat(F.lit("b"), F.col("block").cast("string")).alias("unit"), "line", "terms")
+    named = rows.where(F.rlike("path", F.lit(NAMED))).select("_row")
+    whole = marked.join(named, "_row", "left_semi").groupBy("_row").agg(every).select("_row", F.lit("w").alias("unit"), F.lit(0).alias("line"), "terms")
+    units = one.unionByName(many).unionByName(whole).where(may_reach(F.col("terms"), weights, min_score))
+    each = units.select("_row", "unit", "line", F.explode("terms").alias("term"))
     return each.groupBy("_row", "unit", "line", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -224,6 +243,8 @@ def scan_licenses(df: DataFrame, min_score: float = 0.6, id_col: str = "doc_id",
     frequency = staged(each.select(F.explode(document_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "license-frequency")
     sides = staged(template_sides(spark, frequency, total), "license-sides")
     keys = key_terms(sides, min_score)
+    vocabulary = sides.select("term").distinct().join(frequency, "term", "left").select("term", weight_of_df("df", total).alias("w"))
+    weights = {r.term: r.w for r in vocabulary.collect()}  # of the templates, whatever the corpus
     # row numbers hold for one reading of df only, so all that is needed of it from here on is read and staged at once
     rows = df.select(
         F.monotonically_increasing_id().alias("_row"),
@@ -233,7 +254,7 @@ def scan_licenses(df: DataFrame, min_score: float = 0.6, id_col: str = "doc_id",
         F.when(F.arrays_overlap(document_terms(text), F.array(*map(F.lit, keys)).cast("array<string>")), text).alias("text"),
     )
     rows = staged(rows, "license-rows")
-    counted = staged(unit_terms(rows.where("text is not null").select("_row", "path", "text"), keys), "license-terms")
+    counted = staged(unit_terms(rows.where("text is not null").select("_row", "path", "text"), keys, weights, min_score), "license-terms")
     stated = staged(unit_scores(counted, frequency, sides, total, min_score), "license-statements")
     files = staged(rows.drop("text").join(stated, "_row", "left"), "license-files")
     named = files.where("license is not null and dir is not null").where((F.col("line") == 0) | F.rlike("path", F.lit(NAMED)))

@@ -95,12 +95,13 @@ def test_the_bound_loses_nothing(spark):
         texts.append(" ".join(own))
     df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, path string")
     kept = {r.doc_id: (r.license, r.score) for r in L.scan_licenses(df).collect()}
-    every = L.key_terms
+    keys, reach = L.key_terms, L.may_reach
     try:
         L.key_terms = lambda sides, _: sorted({r.term for r in sides.collect()})
+        L.may_reach = lambda unit, *_: unit.isNotNull()
         assert {r.doc_id: (r.license, r.score) for r in L.scan_licenses(df).collect()} == kept
     finally:
-        L.key_terms = every
+        L.key_terms, L.may_reach = keys, reach
     assert 50 < sum(k is not None for k, _ in kept.values()) < 300
 
 
