@@ -10,8 +10,9 @@ Most units need not be weighed, by a bound that loses no hit. Of each template t
 until the rest of its vector is shorter than min_score. A unit without any of these terms meets the template in the
 rest alone, and its cosine, at most the length of the rest, is below min_score. So only texts, and in them only lines and
 blocks, with such a term are looked at. Of these the squared cosine is at most what the templates' terms have in the
-unit's squared length; every other term adds 1 or more to that length. Units whose bound is lower go, row by row, and
-what is left is weighed with all its terms.
+unit's squared length. To that length every other term adds its squared weight, which is known for the COMMON most
+frequent terms, and for any other term is no less than theirs. Units whose bound is lower go, row by row, and what is
+left is weighed with all its terms.
 
 A file without a licence inherits from the licence file of the nearest directory above it, found by joining paths: the
 distinct directories, not the files, meet their ancestors, so a directory with a third of all files is one row.
@@ -136,6 +137,7 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("proprietary", "All rights reserved"),
 )
+COMMON = 200
 TERM = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
 #: A copyright notice at the begin of a lower-case line: up to the end of the sentence that has its year. No term is cut.
 NOTICE = r"^[^a-z0-9]*(?:copyright|\(c\)|©)[^.]*[0-9]{4}[^\n]*?(?:\.[ \t\r]|\.?\z)"
@@ -181,17 +183,23 @@ def key_terms(sides: DataFrame, min_score: float) -> list[str]:
     return sorted(r.term for r in keys.collect())  # of the templates, whatever the corpus
 
 
-def may_reach(unit: Column, weights: dict[str, float], min_score: float) -> Column:
-    """Whether the terms of a unit can have a cosine of min_score with a template: the terms of templates (term: weight) against all."""
-    known = F.array_intersect(unit, F.array(*map(F.lit, weights)).cast("array<string>"))
-    weight_of = F.create_map(*[F.lit(x) for kv in weights.items() for x in kv]) if weights else F.expr("cast(map() as map<string,double>)")
+def may_reach(unit: Column, weights: dict[str, float], common: dict[str, float], min_score: float) -> Column:
+    """Whether the terms of a unit can have a cosine of min_score with a template.
+
+    weights are those of the templates' terms, common those of the most frequent other terms: no other term weighs less.
+    """
+    table = lambda d: (F.array(*map(F.lit, d)).cast("array<string>"), F.create_map(*[F.lit(x) for kv in d.items() for x in kv]).cast("map<string,double>"))
+    names, weight_of = table(weights)
+    often, least_of = table(common)
+    known, usual = F.array_intersect(unit, names), F.array_intersect(unit, often)
     times = lambda t: F.size(F.filter(unit, lambda x: x == t))
     own = F.aggregate(known, F.lit(0.0), lambda a, t: a + F.pow((F.log(times(t)) + 1) * F.try_element_at(weight_of, t), F.lit(2.0)))
-    others = F.size(F.array_distinct(unit)) - F.size(known)
+    rest = F.size(F.array_distinct(unit)) - F.size(known) - F.size(usual)
+    others = F.aggregate(usual, rest * F.lit(max(common.values(), default=1.0) ** 2), lambda a, t: a + F.pow(F.try_element_at(least_of, t), F.lit(2.0)))
     return own >= (min_score - 1e-4) ** 2 * (own + others)
 
 
-def unit_terms(rows: DataFrame, keys: list[str], weights: dict[str, float], min_score: float) -> DataFrame:
+def unit_terms(rows: DataFrame, keys: list[str], weights: dict[str, float], common: dict[str, float], min_score: float) -> DataFrame:
     """(_row, unit, line, term, tf): the terms of the lines, blocks and whole texts that hold a key term and may reach the score. rows: (_row, path, text).
 
     unit tells units of a text apart; line is where one begins.
@@ -208,7 +216,7 @@ def unit_terms(rows: DataFrame, keys: list[str], weights: dict[str, float], min_
     many = many.select("_row", F.concat(F.lit("b"), F.col("block").cast("string")).alias("unit"), "line", "terms")
     named = rows.where(F.rlike("path", F.lit(NAMED))).select("_row")
     whole = marked.join(named, "_row", "left_semi").groupBy("_row").agg(every).select("_row", F.lit("w").alias("unit"), F.lit(0).alias("line"), "terms")
-    units = one.unionByName(many).unionByName(whole).where(may_reach(F.col("terms"), weights, min_score))
+    units = one.unionByName(many).unionByName(whole).where(may_reach(F.col("terms"), weights, common, min_score))
     each = units.select("_row", "unit", "line", F.explode("terms").alias("term"))
     return each.groupBy("_row", "unit", "line", "term").agg(F.count(F.lit(1)).alias("tf"))
 
@@ -245,6 +253,8 @@ def scan_licenses(df: DataFrame, min_score: float = 0.6, id_col: str = "doc_id",
     keys = key_terms(sides, min_score)
     vocabulary = sides.select("term").distinct().join(frequency, "term", "left").select("term", weight_of_df("df", total).alias("w"))
     weights = {r.term: r.w for r in vocabulary.collect()}  # of the templates, whatever the corpus
+    others = frequency.join(F.broadcast(sides.select("term").distinct()), "term", "left_anti").orderBy(F.desc("df"), "term").limit(COMMON)
+    common = {r.term: r.w for r in others.select("term", weight_of_df("df", total).alias("w")).collect()}
     # row numbers hold for one reading of df only, so all that is needed of it from here on is read and staged at once
     rows = df.select(
         F.monotonically_increasing_id().alias("_row"),
@@ -254,7 +264,7 @@ def scan_licenses(df: DataFrame, min_score: float = 0.6, id_col: str = "doc_id",
         F.when(F.arrays_overlap(document_terms(text), F.array(*map(F.lit, keys)).cast("array<string>")), text).alias("text"),
     )
     rows = staged(rows, "license-rows")
-    counted = staged(unit_terms(rows.where("text is not null").select("_row", "path", "text"), keys, weights, min_score), "license-terms")
+    counted = staged(unit_terms(rows.where("text is not null").select("_row", "path", "text"), keys, weights, common, min_score), "license-terms")
     stated = staged(unit_scores(counted, frequency, sides, total, min_score), "license-statements")
     files = staged(rows.drop("text").join(stated, "_row", "left"), "license-files")
     named = files.where("license is not null and dir is not null").where((F.col("line") == 0) | F.rlike("path", F.lit(NAMED)))
