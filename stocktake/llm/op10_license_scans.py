@@ -142,6 +142,7 @@ TERM = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
 #: A copyright notice at the begin of a lower-case line: up to the end of the sentence that has its year. No term is cut.
 NOTICE = r"^[^a-z0-9]*(?:copyright|\(c\)|©)[^.]*[0-9]{4}[^\n]*?(?:\.[ \t\r]|\.?\z)"
 BLANK = r"^[ \t\r]*\z"
+BLANK_LINE = r"\n[ \t\r]*(?=\n|\z)"
 #: Names that licence files have.
 NAMED = r"(?i)(?:^|/)(?:(?:un)?licen[cs]e|copying|copyright|notice)[^/]*$"
 
@@ -199,24 +200,33 @@ def may_reach(unit: Column, weights: dict[str, float], common: dict[str, float],
     return own >= (min_score - 1e-4) ** 2 * (own + others)
 
 
+def blocks_of(text: Column, wanted: Column) -> Column:
+    """array<struct<line, said>>: the blocks of lines up to a blank one that hold a wanted term, with the number of their first line."""
+    # every line with its break before it; each blank line is one separator, so a block's first line follows from what is before
+    pieces = F.split(F.concat(F.lit("\n"), text), BLANK_LINE)
+    sizes = F.transform(pieces, lambda p: F.length(p) - F.length(F.replace(p, F.lit("\n"), F.lit(""))))
+    hits = F.filter(F.transform(pieces, lambda p, j: F.struct(j.alias("j"), p.alias("p"))), lambda x: F.arrays_overlap(lines_terms(x["p"]), wanted))
+    before = lambda j: j + F.aggregate(F.slice(sizes, F.lit(1), j), F.lit(0), lambda a, n: a + n)
+    return F.transform(hits, lambda x: F.struct(before(x["j"]).alias("line"), F.substr(x["p"], F.lit(2)).alias("said")))
+
+
+def lines_terms(text: Column) -> Column:
+    return F.flatten(F.transform(F.split(text, "\n"), terms))
+
+
 def unit_terms(rows: DataFrame, keys: list[str], weights: dict[str, float], common: dict[str, float], min_score: float) -> DataFrame:
     """(_row, unit, line, term, tf): the terms of the lines, blocks and whole texts that hold a key term and may reach the score. rows: (_row, path, text).
 
-    unit tells units of a text apart; line is where one begins.
+    unit tells units of a text apart; line is where one begins. Units are made inside the row of their text: only the terms of those that may reach the score move.
     """
-    lines = rows.select("_row", F.posexplode(F.split("text", "\n")).alias("line", "said"))
-    own = lines.select("_row", "line", F.rlike("said", F.lit(BLANK)).alias("blank"), terms(F.col("said")).alias("terms"))
-    # a block's number is that of the blank lines before it; the lines of a text are no more than one row held
-    block = F.count_if(F.col("blank")).over(W.partitionBy("_row").orderBy("line").rowsBetween(W.unboundedPreceding, 0))
-    hit = F.arrays_overlap("terms", F.array(*map(F.lit, keys)).cast("array<string>"))
-    marked = staged(own.withColumn("block", block).where(~F.col("blank")).withColumn("hit", hit), "license-lines")
-    one = marked.where("hit").select("_row", F.concat(F.lit("l"), F.col("line").cast("string")).alias("unit"), "line", "terms")
-    every = F.flatten(F.collect_list("terms")).alias("terms")
-    many = marked.groupBy("_row", "block").agg(F.min("line").alias("line"), F.count(F.lit(1)).alias("_lines"), F.max("hit").alias("_hit"), every).where("_hit and _lines > 1")
-    many = many.select("_row", F.concat(F.lit("b"), F.col("block").cast("string")).alias("unit"), "line", "terms")
-    named = rows.where(F.rlike("path", F.lit(NAMED))).select("_row")
-    whole = marked.join(named, "_row", "left_semi").groupBy("_row").agg(every).select("_row", F.lit("w").alias("unit"), F.lit(0).alias("line"), "terms")
-    units = one.unionByName(many).unionByName(whole).where(may_reach(F.col("terms"), weights, common, min_score))
+    wanted = F.array(*map(F.lit, keys)).cast("array<string>")
+    blocks = rows.select("_row", F.explode(blocks_of(F.col("text"), wanted)).alias("x")).select("_row", "x.line", "x.said")
+    # terms come out of a generator, so that no filter on them is pushed below it and takes them again for each use
+    each_line = F.posexplode(F.transform(F.split("said", "\n"), terms)).alias("i", "terms")
+    lines = blocks.select("_row", "line", each_line).select("_row", F.lit("line").alias("unit"), (F.col("line") + F.col("i")).alias("line"), "terms")
+    several = blocks.where(F.contains("said", F.lit("\n"))).select("_row", F.lit("block").alias("unit"), "line", F.explode(F.array(lines_terms(F.col("said")))).alias("terms"))
+    whole = rows.where(F.rlike("path", F.lit(NAMED))).select("_row", F.lit("whole").alias("unit"), F.lit(0).alias("line"), F.explode(F.array(lines_terms(F.col("text")))).alias("terms"))
+    units = lines.unionByName(several).unionByName(whole).where(F.arrays_overlap("terms", wanted)).where(may_reach(F.col("terms"), weights, common, min_score))
     each = units.select("_row", "unit", "line", F.explode("terms").alias("term"))
     return each.groupBy("_row", "unit", "line", "term").agg(F.count(F.lit(1)).alias("tf"))
 
@@ -227,10 +237,10 @@ def unit_scores(counted: DataFrame, frequency: DataFrame, sides: DataFrame, tota
     known = staged(frequency.join(held, "term"), "license-known")
     weighed = spread_join(counted, known, ["term"], F.col("held") > counted.count() // HOT_KEYS).withColumn("w", weight("tf", "df", total))
     weighed = staged(weighed.select("_row", "unit", "line", "term", "w"), "license-weights")
-    norms = weighed.groupBy("_row", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    norms = weighed.groupBy("_row", "unit", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     # the templates' terms: fixed
     dots = weighed.join(F.broadcast(sides), "term").groupBy("_row", "unit", "line", "template", "license").agg(F.sum(F.col("w") * F.col("t")).alias("dot"))
-    scored = dots.join(norms, ["_row", "unit"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 4)).where(F.col("score") >= min_score)
+    scored = dots.join(norms, ["_row", "unit", "line"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 4)).where(F.col("score") >= min_score)
     best = scored.groupBy("_row").agg(F.min(F.struct((F.col("license") == "proprietary").alias("p"), (-F.col("score")).alias("s"), "line", "license")).alias("x"))
     return best.select("_row", F.col("x.license").alias("license"), (-F.col("x.s")).alias("score"), F.col("x.line").cast("long").alias("line"))
 

@@ -109,3 +109,25 @@ def test_the_bound_loses_nothing(spark):
 def test_nothing_there(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string, path string")
     assert [r.how for r in L.scan_licenses(df).collect()] == ["none"] * len(rows)
+
+
+def test_blocks(spark):
+    """Blocks and their first lines, with blank lines in any number and of any white space, against a plain loop."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(1)
+    texts = ["", "\n", "a", "\n\na\n", " \t\r\nb a\nc\n\r\n\n a"] + ["\n".join(rng.choice(["", " ", "\t\r", "a b", "c", "a", " d  a", "b c"]) for _ in range(rng.randrange(12))) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r.i: [tuple(x) for x in r.b] for r in df.select("i", L.blocks_of(F.col("text"), F.array(F.lit("a"), F.lit("d"))).alias("b")).collect()}
+    for i, text in enumerate(texts):
+        want, own = [], []
+        for k, line in enumerate([*text.split("\n"), ""]):
+            if line.strip(" \t\r"):
+                own.append((k, line))
+            elif own:
+                if any(w in "ad" for _, x in own for w in x.split()):
+                    want.append((own[0][0], "\n".join(x for _, x in own)))
+                own = []
+        assert got[i] == want, text
