@@ -57,6 +57,8 @@ def suffixed_ranks(path: str) -> dict[bytes, int]:
 class ChunkIds(Remembered):
     """chunk -> its ids as little-endian unsigned 32-bit bytes."""
 
+    LIMIT = 1 << 19  # merging a chunk anew takes long
+
     def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
@@ -98,6 +100,7 @@ class TokenLengths(Remembered):
     around a single line break between two other characters, so such chunks are encoded by themselves.
     """
 
+    LIMIT = 1 << 19
     CHUNKS = regex.compile(r"\n| ?[^ \n]+")
     RUNS = regex.compile(r"\s\s|^\s|\s$|[^\S \n]")
 
