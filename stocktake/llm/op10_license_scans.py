@@ -274,7 +274,9 @@ def scan_licenses(df: DataFrame, min_score: float = 0.6, id_col: str = "doc_id",
         F.when(F.arrays_overlap(document_terms(text), F.array(*map(F.lit, keys)).cast("array<string>")), text).alias("text"),
     )
     rows = staged(rows, "license-rows")
-    counted = staged(unit_terms(rows.where("text is not null").select("_row", "path", "text"), keys, weights, common, min_score), "license-terms")
+    # few bytes with much to do for each: dealt out anew, or they would be read by few tasks
+    some = rows.where("text is not null").select("_row", "path", "text").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "_row")
+    counted = staged(unit_terms(some, keys, weights, common, min_score), "license-terms")
     stated = staged(unit_scores(counted, frequency, sides, total, min_score), "license-statements")
     files = staged(rows.drop("text").join(stated, "_row", "left"), "license-files")
     named = files.where("license is not null and dir is not null").where((F.col("line") == 0) | F.rlike("path", F.lit(NAMED)))
