@@ -22,9 +22,13 @@ share its answer: their component. Lists whose sets then all have one component
 blocks of one component are compared. So no link between different sets is lost, and a group of n similar sets costs
 about n verifications, not n squared.
 
+Long lists of unlike sets, such as those of one phrase of a passage that many documents share, are cut anew: their sets
+are listed by the positions of a further, independent cut, in which linked sets meet as well, and the lists that gives
+take the long one's place. That repeats as long as it leaves a quarter of the pairs or fewer.
+
 Equal sets are one set from the start. Lists are sorted streams over ranges of (list, set): no list is held in memory,
 and a long one is in many tasks, whose first sets are joined up. Joins split hot keys. What stays quadratic is the number
-of pairs of blocks of a list whose sets agree in a slice but aren't similar, a block being BLOCK sets.
+of pairs of blocks of a list whose sets agree in most slices and yet don't link, a block being BLOCK sets.
 """
 
 from __future__ import annotations
@@ -46,6 +50,7 @@ SIMILARITY = 90  # per cent
 BITMAP_WORDS = 16
 CUTS = 16  # of the universe, for a set whose shingles lie in few positions
 BLOCK = 1024
+LONG = 16 * BLOCK  # sets of other components that a set of a list has on average, from which on the list is cut anew
 MEMBERS = 256  # sets verified against one copy of a leader's text
 BROADCAST_IDS = 300_000
 
@@ -286,10 +291,69 @@ def block_pairs(members: DataFrame, similarity: int) -> DataFrame:
     return both.select(F.col("p.list").alias("list"), F.col("p.block").alias("lo"), F.col("q.block").alias("hi"))
 
 
-def unresolved_pairs(pairs: DataFrame, info: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+def further_cut(sets: DataFrame, docs: DataFrame, level: int, shingle: int, similarity: int) -> DataFrame:
+    """(set, subs): the lists of each of the sets (id, set) in a cut of the universe that no other level has."""
+    few = sets.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    known, positions = WordHash(), Positions(similarity)
+    salt = np.uint64(level * 0xD1B54A32D192ED03 % 2**64)
+
+    def look(batch: pa.RecordBatch) -> pa.RecordBatch:
+        names, lists = [], []
+        for name, text in zip(col(batch, "set").to_pylist(), texts(batch), strict=True):
+            s = shingles(text.lower().split(), known, shingle)
+            if set_name(s) == name:
+                names.append(name)
+                lists.append(positions.signatures(mix64(s + salt)))
+        flat = np.concatenate([np.zeros(0, np.uint64), *lists]).view(np.int64)
+        return out_batch(set=pa.array(names, pa.int64()), subs=list_array(pa.array(flat), [len(x) for x in lists]))
+
+    rows = docs.join(F.broadcast(sets) if few else sets, "id").select("set", "text")
+    return arrow_map(rows, look, "set long, subs array<long>").dropDuplicates(["set"])
+
+
+def unlike(groups: DataFrame) -> DataFrame:
+    """(list, held, cross): the sets of each list, and its pairs of sets of different components, counted both ways. groups: (list, component, k)."""
+    k = F.col("k").cast("double")
+    return groups.groupBy("list").agg(F.sum("k").alias("held"), (F.sum(k) * F.sum(k) - F.sum(k * k)).alias("cross"))
+
+
+def recut(placed: DataFrame, docs: DataFrame, shingle: int, similarity: int) -> DataFrame:
+    """placed with its long lists cut anew, as often as that pays: the sets of a list that link share a list of the result.
+
+    placed: (list, set, n, bits, id, component), staged. Lists whose sets differ in too little for a cut to part them stay.
+    """
+    done, level = None, 0
+    both = lambda x, y: y if x is None else x.unionByName(y)
+    while True:
+        level += 1
+        lists = staged(unlike(placed.groupBy("list", "component").agg(F.count(F.lit(1)).alias("k"))), "list-sizes")
+        long_ = F.col("cross") > LONG * F.col("held")
+        if not lists.where(long_).limit(1).count():
+            return both(done, placed)
+        each = staged(spread_join(placed, lists, ["list"], F.col("held") > placed.count() // HOT_KEYS), "list-members")
+        members = each.where(long_)
+        sets = staged(members.select("id", "set").distinct(), "long-sets")
+        cut = staged(further_cut(sets, docs, level, shingle, similarity), "further-cut")
+        entries = members.select("list", "set", "component").join(cut, "set").select("list", "set", "component", F.explode("subs").alias("sub"))
+        entries = staged(entries.withColumn("new", F.xxhash64("list", "sub")).drop("sub"), "further-lists")
+        groups = entries.groupBy("list", "new", "component").agg(F.count(F.lit(1)).alias("k"))
+        of = groups.groupBy("new").agg(F.first("list").alias("of"))
+        sizes = staged(unlike(groups.drop("list").withColumnRenamed("new", "list")).withColumnRenamed("list", "new").where("cross > 0").join(of, "new"), "further-sizes")
+        after = sizes.groupBy(F.col("of").alias("list")).agg(F.sum("cross").alias("after"))
+        judged = lists.where(long_).join(after, "list", "left").select("list", "held", (4 * F.coalesce("after", F.lit(0.0)) <= F.col("cross")).alias("pays"))
+        judged = staged(judged, "lists-judged")
+        stay = spread_join(members.drop("held", "cross"), judged.where("not pays"), ["list"], F.col("held") > members.count() // HOT_KEYS)
+        done = both(done, staged(each.where(~long_).select(placed.columns).unionByName(stay.select(placed.columns)), "lists-done"))
+        better = sizes.join(judged.where("pays").select(F.col("list").alias("of")), "of", "left_semi").select("new", F.col("held").alias("in_new"))
+        known = members.select("set", "n", "bits", "id", "component").dropDuplicates(["set"])
+        parts = spread_join(entries.select("new", "set"), better, ["new"], F.col("in_new") > entries.count() // HOT_KEYS)
+        placed = staged(parts.join(known, "set").withColumnRenamed("new", "list").select(placed.columns), "lists-cut")
+
+
+def unresolved_pairs(pairs: DataFrame, info: DataFrame, docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
     """(a, sa, b, sb): pairs of sets of different components in one index list that size and bitmap let through.
 
-    info: (set, n, bits, id, component). Blocks hold about BLOCK sets, of one component if it has as many in the list,
+    info: (set, n, bits, id, component). Long lists are cut anew. Blocks hold about BLOCK sets, of one component if it has as many in the list,
     else of about one size; a pair of blocks that block_pairs() lets through is a unit of work.
     """
     comp = info.select("set", "component")
@@ -297,7 +361,7 @@ def unresolved_pairs(pairs: DataFrame, info: DataFrame, similarity: int = SIMILA
     open_lists = staged(with_first.join(comp.toDF("other", "c2"), "other").where("c1 <> c2").select("list").distinct(), "open-lists")
     inside = staged(spread_on(pairs, open_lists, "list"), "open-pairs")
     members = inside.select("list", F.col("other").alias("set")).union(inside.select("list", "first")).distinct()
-    placed = staged(members.join(info, "set"), "open-members")
+    placed = recut(staged(members.join(info, "set"), "open-members"), docs, shingle, similarity)
     groups = placed.groupBy("list", "component").agg(F.count(F.lit(1)).alias("_of"))
     small = groups.where(F.col("_of") < BLOCK).groupBy("list").agg(F.sum("_of").alias("_small"))
     groups = staged(groups.join(small, "list", "left").na.fill(0, ["_small"]), "open-groups")
@@ -370,7 +434,7 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links = staged(linked(some, docs, shingle, similarity), "verified")
     groups = components(links)
     known = info.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    more = staged(unresolved_pairs(pairs, known, similarity).join(some, ["a", "sa", "b", "sb"], "left_anti"), "late-candidates")
+    more = staged(unresolved_pairs(pairs, known, docs, shingle, similarity).join(some, ["a", "sa", "b", "sb"], "left_anti"), "late-candidates")
     if more.limit(1).count():
         late = staged(linked(more, docs, shingle, similarity), "late-verified")
         groups = components(links.unionByName(late))

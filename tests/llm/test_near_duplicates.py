@@ -1,11 +1,14 @@
 """The Jaccard join with other shingles and similarities than the query's, against brute force."""
 
+from collections import defaultdict
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stocktake.llm import op9_jaccard_join
-from stocktake.llm.common import stack
+from stocktake.llm.common import stack, staged
 
 from . import brute
 
@@ -64,6 +67,55 @@ def test_ids_that_are_null_or_repeated(frame, rows):
     assert got == [(1, 1), (2, 1), (3, 1), (3, 1), (4, 4), (None, None), (None, None)]
 
 
+def unlike_texts(n, passage, seed=4):
+    """Texts of their own words around one passage; every tenth is a near copy of the one before."""
+    rng = np.random.default_rng(seed)
+    shared = [f"p{i}" for i in range(passage)]
+    out = []
+    for i in range(n):
+        own = [f"w{x}" for x in rng.integers(0, 10**6, 60)]
+        if i % 10 == 9:
+            own = [*out[-1].split()[passage:-1], f"end{i}"]
+        out.append(" ".join(shared + own))
+    return out
+
+
+def test_long_lists_are_cut_anew(spark, frame, monkeypatch):
+    """Lists that a common passage makes long fall apart; sets that link stay together in a list, and none gains sets."""
+    texts = unlike_texts(300, 12)
+    docs = frame([(i, t, "a") for i, t in enumerate(texts)]).select(F.col("doc_id").alias("id"), "text")
+    sets = op9_jaccard_join.sets_of(docs, 3, 90)
+    one = sets.select(F.lit(7).cast("long").alias("list"), "set", "n", "bits", "id", F.col("id").alias("component"))
+    monkeypatch.setattr(op9_jaccard_join, "LONG", 20)
+    got = [r.asDict() for r in op9_jaccard_join.recut(staged(one, "test-members"), docs, 3, 90).collect()]
+    lists = defaultdict(set)
+    for r in got:
+        lists[r["list"]].add(r["id"])
+    assert sum(len(x) ** 2 for x in lists.values()) * 4 <= 300**2
+    assert all(any({i - 1, i} <= x for x in lists.values()) for i in range(9, 300, 10))
+    same = staged(one.withColumn("component", F.lit(1).cast("long")), "test-members")
+    assert op9_jaccard_join.recut(same, docs, 3, 90).count() == 300
+
+
+def test_lists_that_no_cut_parts_stay(spark, frame, monkeypatch):
+    """Sets that agree in most positions and don't link aren't listed over and over."""
+    texts = [" ".join(f"x{i}" if j in (40, 80, 120, 160) else f"s{j}" for j in range(200)) for i in range(40)]
+    docs = frame([(i, t, "a") for i, t in enumerate(texts)]).select(F.col("doc_id").alias("id"), "text")
+    one = op9_jaccard_join.sets_of(docs, 3, 90).select(F.lit(7).cast("long").alias("list"), "set", "n", "bits", "id", F.col("id").alias("component"))
+    monkeypatch.setattr(op9_jaccard_join, "LONG", 5)
+    got = op9_jaccard_join.recut(staged(one, "test-members"), docs, 3, 90).collect()
+    assert len(got) == 40 and {r.list for r in got} == {7}
+
+
+def test_groups_with_every_list_cut_anew(frame, rows, small_docs, nasty_docs, monkeypatch):
+    """The result doesn't hang on which lists are cut anew."""
+    size, similarity = 5, 80
+    monkeypatch.setattr(op9_jaccard_join, "LONG", 0)
+    docs = small_docs + nasty_docs + [(10_000 + i, t, "a") for i, t in enumerate(unlike_texts(120, 30))]
+    got = op9_jaccard_join.similar_groups(frame(docs), shingle=size, similarity=similarity)
+    assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(brute.groups([(d, t) for d, t, _ in docs], size, similarity), key=repr)
+
+
 def test_lists_in_several_ranges(spark, rows):
     """A list that is dealt out over many ranges joins up: its pairs reach all of its sets."""
     df = spark.createDataFrame([(i, [7, 100 + i]) for i in range(500)], "set long, lists array<long>").repartition(4)
