@@ -14,13 +14,18 @@ def timeline_stream(spark: SparkSession, path: str, recursive: bool = True) -> D
     schema = "path string, modificationTime timestamp, length long, content binary"
     files = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.dtl").option("recursiveFileLookup", str(recursive).lower()).load(path)
     stem = F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1)
-    whole = files.select("path", stem.alias("timeline"), F.decode("content", "UTF-8").alias("content"))
+    whole = files.select("path", "modificationTime", stem.alias("timeline"), F.decode("content", "UTF-8").alias("content"))
     return timelines.utterances(timelines.split_lines(whole))
 
 
-def new_clips(utterances: DataFrame) -> DataFrame:
-    """Each clip id once over all runs."""
-    return utterances.where(F.col("id").isNotNull()).dropDuplicates(["id"])
+def new_clips(utterances: DataFrame, time: str | None = None, delay: str = "7 days") -> DataFrame:
+    """Each clip id once over all runs, for which the state keeps every id there was.
+
+    With a time column (timeline_stream() has modificationTime) an id comes once within delay of its first time, and the
+    state keeps the ids of that span only; batch_work_list() against the sink takes out what comes again later.
+    """
+    named = utterances.where(F.col("id").isNotNull())
+    return named.withWatermark(time, delay).dropDuplicatesWithinWatermark(["id"]) if time else named.dropDuplicates(["id"])
 
 
 def catch_up(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

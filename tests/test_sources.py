@@ -129,8 +129,9 @@ def test_manifest_upsert(spark, tmp_path):
     assert {r.voix: r["count"] for r in spark.read.parquet(table).groupBy("voix").count().collect()} == {"b": 2, "c": 1}
 
 
-def test_stream_catches_up(spark, folder):
-    stream = lambda: resumable.new_clips(resumable.timeline_stream(spark, f"file://{folder}/t")).select("id", "texte")
+@pytest.mark.parametrize("time", [None, "modificationTime"])
+def test_stream_catches_up(spark, folder, time):
+    stream = lambda: resumable.new_clips(resumable.timeline_stream(spark, f"file://{folder}/t"), time).select("id", "texte")
     out, mark = f"file://{folder}/out", f"file://{folder}/mark"
     resumable.catch_up(stream(), out, mark)
     first = spark.read.parquet(out).count()
