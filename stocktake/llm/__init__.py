@@ -14,6 +14,9 @@ from . import (
     op8_substring_dedup,
     op9_jaccard_join,
     op10_license_scans,
+    op11_simhash,
+    op12_conversation_repair,
+    op13_centroid_clustering,
 )
 
 _MODULES = (
@@ -27,6 +30,9 @@ _MODULES = (
     op8_substring_dedup,
     op9_jaccard_join,
     op10_license_scans,
+    op11_simhash,
+    op12_conversation_repair,
+    op13_centroid_clustering,
 )
 _NAMES = [m.__name__.rsplit(".", 1)[1] for m in _MODULES]
 

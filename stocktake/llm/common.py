@@ -41,10 +41,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut and a lost executor costs no recomputation."""
+    return staged_at(df, name)[0]
+
+
+def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """staged(), and the folder, which drop_staged() takes once nothing reads it any more."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Delete one folder of staged_at()."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def clear_staged(spark: SparkSession) -> None:

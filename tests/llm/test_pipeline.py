@@ -45,7 +45,7 @@ def test_registered():
     import __spark_entry__ as e
 
     names = [n for n in e.queries() if re.match(r"op\d+_|pipeline$", n)]
-    assert len(names) == 11 and {int(n[2:].split("_")[0]) for n in names if n != "pipeline"} == set(range(1, 11))
+    assert len(names) == 14 and {int(n[2:].split("_")[0]) for n in names if n != "pipeline"} == set(range(1, 14))
 
 
 def test_line_dedup_sql():
