@@ -4,13 +4,17 @@ Documents are tokenised once; a document longer than a sequence is cut into full
 counted in a histogram of their lengths: at most `capacity` numbers, whatever the size of the corpus. On it the driver
 solves the linear program of cutting stock by column generation: a pattern says how many rests of each length share a
 sequence. The first columns are those of a fractional largest-first packing, each of which uses up one length, so they
-are a basis whose prices follow by substitution. Dynamic programming over the knapsack then finds the pattern that the
-prices undervalue most, and it enters; when there is none, or the bound on the optimum is within `gap`, patterns are used
-as often as the solution rounded down says, and the rests that remain, a few for each pattern, are placed largest first.
-
-`effort` bounds the columns that enter, times the lengths there are. Every solution on the way holds all rests, so beyond it the plan is only less
-tight, not less whole; plan() says whether that happened, and whether plain largest-first packing needed fewer sequences
-than the rounded solution and was taken instead.
+are a triangular basis, whose inverse follows by substitution. Dynamic programming over the knapsack then finds the
+patterns that the prices undervalue most, and they enter. Prices are smoothed towards those of the best bound so far, at first
+a rest's share of a sequence, as they would swing without that: so many programs are as good as the bound by volume. It ends at the optimum, or when no
+whole sequence is to be gained any more. Then patterns are used as often as the solution rounded down says, and the
+rests that remain, a few for each pattern, are placed largest first.
+
+`effort` bounds the knapsacks, and the columns that enter, times the lengths there are. Every solution on the
+way holds all rests, so beyond it the plan is only less tight, not less whole; planned() says what happened: how many
+columns entered, the bound, and whether plain largest-first packing needed fewer sequences and was taken instead.
+The driver holds the histogram and one number for each pair of lengths. It calls no linear algebra library: threads of such a
+library don't survive in every process that has started a Spark session.
 
 Every rest then finds its place by arithmetic: it is ranked within its length (two_level_rank: no length, however
 common, meets in one task) and a table, with some rows for each pattern, says which ranks of a length belong to which sequences.
@@ -23,6 +27,8 @@ import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -65,26 +71,30 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool =
     return arrow_map(df.select("doc_id", "text"), cut, schema)
 
 
-def best_pattern(prices: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, Counter]:
-    """The pattern within room of the highest value, by dynamic programming over the knapsack."""
-    best = np.zeros(room + 1)
-    took = np.full(room + 1, -1)
-    for c in range(1, room + 1):
-        fits = np.searchsorted(sizes, c, "right")
-        if fits:
-            v = best[c - sizes[:fits]] + prices[:fits]
-            k = int(v.argmax())
+def best_pattern(prices: np.ndarray, sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """By dynamic programming over the knapsack: the highest value within each room up to this one, and the last rest (or -1) of a pattern that has it."""
+    best, took = np.zeros(room + 1), np.full(room + 1, -1)
+    fits = np.searchsorted(sizes, np.arange(room + 1), "right").tolist()
+    for c in range(int(sizes[0]), room + 1):
+        v = best[c - sizes[: fits[c]]] + prices[: fits[c]]
+        k = int(v.argmax())
+        if v[k] > best[c - 1]:
             best[c], took[c] = v[k], k
-        if best[c - 1] > best[c]:
-            best[c], took[c] = best[c - 1], -1
-    use, c = Counter(), room
-    while c > 0:
-        if took[c] < 0:
-            c -= 1
         else:
-            use[int(took[c])] += 1
-            c -= int(sizes[took[c]])
-    return float(best[room]), use
+            best[c] = best[c - 1]
+    return best, took
+
+
+def pattern_of(took: np.ndarray, sizes: np.ndarray, room: int) -> Counter:
+    """The pattern that best_pattern() found for a room."""
+    use: Counter = Counter()
+    while room > 0:
+        if took[room] < 0:
+            room -= 1
+        else:
+            use[int(took[room])] += 1
+            room -= int(sizes[took[room]])
+    return use
 
 
 def fill(active: list[int], left: dict[int, float], room: int) -> Counter:
@@ -114,12 +124,12 @@ def greedy(left: dict[int, int], room: int) -> list[tuple[Counter, int]]:
 
 
 def first_basis(sizes: np.ndarray, demand: np.ndarray, room: int) -> tuple[list[Counter], np.ndarray, np.ndarray]:
-    """Patterns (of indexes of sizes), how often each is used, and prices: largest first, a pattern being used until one size, its own, is gone."""
+    """Patterns (of indexes of sizes), how often each is used, and the basis' inverse: largest first, a pattern being used until one size, its own, is gone."""
     left = {int(s): float(n) for s, n in zip(sizes, demand, strict=True)}
     index = {int(s): i for i, s in enumerate(sizes)}
     active = [int(s) for s in sizes]
     patterns: list[Counter] = [Counter()] * len(sizes)
-    x, order = np.zeros(len(sizes)), []
+    x, inverse = np.zeros(len(sizes)), np.eye(len(sizes))
     while active:
         use = fill(active, left, room)
         own = min(use, key=lambda s: left[s] / use[s])
@@ -129,68 +139,84 @@ def first_basis(sizes: np.ndarray, demand: np.ndarray, room: int) -> tuple[list[
         active.remove(own)
         at = index[own]
         patterns[at], x[at] = Counter({index[s]: n for s, n in use.items()}), times
-        order.append(at)
-    prices = np.zeros(len(sizes))
-    for at in reversed(order):  # a pattern's other sizes are used up later: their prices are known
-        prices[at] = (1 - sum(n * prices[i] for i, n in patterns[at].items() if i != at)) / patterns[at][at]
-    return patterns, x, prices
+        inverse[at] /= use[own]
+        for s, n in use.items():  # a pattern's other sizes are used up later: their rows aren't final yet
+            if s != own:
+                inverse[index[s]] -= n * inverse[at]
+    return patterns, x, inverse
+
+
+ROWS = 256  # of the inverse that are changed at once
+BATCH = 8  # patterns that one knapsack gives at most
+SMOOTH = 0.5
+
 
+@dataclass
+class Plan:
+    """made: patterns (size: how many) and how many sequences follow each. origin: 'columns', where column generation got
+    to the optimum or no whole sequence was to be gained; 'effort', where it ended at that bound; 'largest first', where
+    that needed fewer sequences than the rounded solution. entered: columns that entered the first basis; bound: fewer
+    sequences than that are impossible."""
 
-def solve(sizes: np.ndarray, demand: np.ndarray, room: int, gap: float, rounds: int) -> tuple[list[tuple[Counter, float]], bool]:
-    """Patterns (of indexes of sizes) and how often each is used, of the linear program min sum(x), pattern counts @ x = demand; and whether it is within gap.
+    made: list[tuple[Counter, int]]
+    origin: str
+    entered: int = 0
+    bound: float = 0.0
 
-    Revised simplex: the pattern that the knapsack finds enters as long as prices make it worth over 1. It ends at the
-    optimum, when the bound on it, by prices or by volume, is within gap or one sequence, or after `rounds` patterns.
+
+def solve(sizes: np.ndarray, demand: np.ndarray, room: int, rounds: int) -> tuple[list[tuple[Counter, float]], bool, int, float]:
+    """Of the linear program min sum(x), pattern counts @ x = demand: patterns (of indexes of sizes) and how often each is used, whether that is done, columns entered, bound.
+
+    Revised simplex: of the patterns that a knapsack finds, those enter that prices make worth over 1. Any prices give
+    the bound demand @ prices / value of the best pattern.
     """
-    m = len(sizes)
-    patterns, x, prices = first_basis(sizes, demand, room)
-    volume = float(demand @ sizes) / room
-    inverse = None
-    done = False
-    for _ in range(rounds):
-        if done := x.sum() - volume <= max(1.0, gap * x.sum()):
-            break
-        value, use = best_pattern(prices, sizes, room)
-        if done := value <= 1 + 1e-9 or x.sum() * (1 - 1 / value) <= gap * x.sum():
-            break
-        if inverse is None:
-            basis = np.zeros((m, m))
-            for k, p in enumerate(patterns):
-                for i, n in p.items():
-                    basis[i, k] = n
-            inverse = np.linalg.inv(basis)
-        column = np.zeros(m)
-        for i, n in use.items():
-            column[i] = n
-        d = inverse @ column
-        ratio = np.where(d > 1e-9, x / np.where(d > 1e-9, d, 1), np.inf)
-        out = int(ratio.argmin())
-        if not np.isfinite(ratio[out]):
+    patterns, x, inverse = first_basis(sizes, demand, room)
+    prices = inverse.sum(0)
+    centre, bound = sizes / room, float((demand * sizes).sum()) / room
+    smooth, entered, done = SMOOTH, 0, False
+    for at in range(rounds + 1):
+        asked = smooth * centre + (1 - smooth) * prices
+        best, took = best_pattern(asked, sizes, room)
+        if (low := float((demand * asked).sum()) / best[room]) > bound:
+            centre, bound = asked / best[room], low
+        done = bool(smooth == 0 and best[room] <= 1 + 1e-9 or at and ceil(x.sum() - 1e-6) <= ceil(bound - 1e-6))
+        if done or at == rounds or entered >= rounds:
             break
-        step = ratio[out]
-        x = np.maximum(x - step * d, 0)
-        x[out] = step
-        row = inverse[out] / d[out]
-        inverse -= np.outer(d, row)
-        inverse[out] = row
-        patterns[out] = use
-        prices = inverse.sum(0)
-    return [(p, float(v)) for p, v in zip(patterns, x, strict=True) if v > 0], done
-
-
-def plan(histogram: dict[int, int], room: int, gap: float = 2e-3, effort: int = 600_000) -> tuple[list[tuple[Counter, int]], str]:
-    """Patterns (size: how many) and how many sequences follow each, which hold the histogram exactly; and where they are from.
-
-    'columns': column generation to within gap, or to one sequence; 'effort': column generation that ended at that bound;
-    'largest first': that needed fewer sequences than the rounded solution.
-    """
+        before = entered
+        for k in np.argsort(-(asked + best[room - sizes]), kind="stable")[:BATCH]:
+            use = pattern_of(took, sizes, room - int(sizes[k]))
+            use[int(k)] += 1
+            which, n = np.array(list(use)), np.array(list(use.values()), float)
+            gain = float((prices[which] * n).sum()) - 1
+            d = (inverse[:, which] * n).sum(1)
+            ratio = np.where(d > 1e-9, x / np.where(d > 1e-9, d, 1), np.inf)
+            out = int(ratio.argmin())
+            if gain <= 1e-9 or not np.isfinite(ratio[out]) or entered >= rounds:
+                continue
+            x = np.maximum(x - ratio[out] * d, 0)
+            x[out] = ratio[out]
+            row = inverse[out] / d[out]
+            prices = prices - gain * row
+            changed = np.flatnonzero(d)
+            for lo in range(0, len(changed), ROWS):
+                part = changed[lo : lo + ROWS]
+                inverse[part] -= d[part, None] * row
+            inverse[out] = row
+            patterns[out] = use
+            entered += 1
+        smooth = SMOOTH if entered > before else 0 if smooth < 0.3 else smooth / 2
+    return [(p, float(v)) for p, v in zip(patterns, x, strict=True) if v > 0], done, entered, bound
+
+
+def planned(histogram: dict[int, int], room: int, effort: int = 600_000) -> Plan:
+    """Patterns that hold the histogram exactly, and where they are from."""
     left = {int(s): int(n) for s, n in histogram.items() if n > 0}
     if not left:
-        return [], "columns"
+        return Plan([], "columns")
     sizes = np.array(sorted(left), np.int64)
     first = greedy(left, room)
     made: list[tuple[Counter, int]] = []
-    solution, done = solve(sizes, np.array([left[int(s)] for s in sizes], float), room, gap, effort // len(sizes))
+    solution, done, entered, bound = solve(sizes, np.array([left[int(s)] for s in sizes], float), room, effort // len(sizes))
     for use, x in sorted(solution, key=lambda y: -y[1]):
         p = Counter({int(sizes[i]): n for i, n in use.items()})
         times = min([int(x + 1e-6), *(left[s] // n for s, n in p.items())])
@@ -200,23 +226,31 @@ def plan(histogram: dict[int, int], room: int, gap: float = 2e-3, effort: int =
                 left[s] -= n * times
     made += greedy(left, room)  # what rounding left over: at most a few rests for each pattern
     total = lambda x: sum(t for _, t in x)
-    return (first, "largest first") if total(first) < total(made) else (made, "columns" if done else "effort")
+    if total(first) < total(made):
+        return Plan(first, "largest first", entered, bound)
+    return Plan(made, "columns" if done else "effort", entered, bound)
+
+
+def plan(histogram: dict[int, int], room: int, effort: int = 600_000) -> tuple[list[tuple[Counter, int]], str]:
+    """made and origin of planned()."""
+    p = planned(histogram, room, effort)
+    return p.made, p.origin
 
 
-def place(cut: DataFrame, capacity: int = CAPACITY, gap: float = 2e-3, effort: int = 600_000) -> DataFrame:
+def place(cut: DataFrame, capacity: int = CAPACITY, effort: int = 600_000) -> DataFrame:
     """cut (staged pieces) with sequence_id and offset."""
     histogram = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}  # at most `capacity` rows
     rows, sequence = [], 0
     reached: Counter = Counter()
-    made, origin = plan(histogram, capacity, gap, effort)
-    for use, times in made:
+    p = planned(histogram, capacity, effort)
+    for use, times in p.made:
         slot = 0
         for s, n in sorted(use.items(), reverse=True):
             rows.append((s, reached[s], n, sequence, slot))
             reached[s] += n * times
             slot += n
         sequence += times
-    logging.getLogger(__name__).info("%d sequences by %s", sequence, origin)
+    logging.getLogger(__name__).info("%d sequences by %s, %d columns entered, bound %.1f", sequence, p.origin, p.entered, p.bound)
     size, start, each, first, slots = np.array(sorted(rows), np.int64).reshape(-1, 5).T
     # some rows for each pattern, of which there are about as many as lengths
     table = cut.sparkSession.sparkContext.broadcast(((size << 44) + start, start, each, first, slots))
@@ -242,15 +276,15 @@ def place(cut: DataFrame, capacity: int = CAPACITY, gap: float = 2e-3, effort: i
     return found.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")).select(*names, "sequence_id", "offset")
 
 
-def pack(df: DataFrame, path: str | None = None, capacity: int = CAPACITY, gap: float = 2e-3, effort: int = 600_000, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(df: DataFrame, path: str | None = None, capacity: int = CAPACITY, effort: int = 600_000, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, if asked for).
 
     A null or empty text is the end id alone. Repeated rows are packed as often as they come. An empty table gives an
-    empty result. Sequences are to be padded to capacity; sequence ids run from 0 without gaps. gap and effort are those
-    of plan(). Other columns of df are ignored.
+    empty result. Sequences are to be padded to capacity; sequence ids run from 0 without gaps. effort is
+    that of planned(). Other columns of df are ignored.
     """
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return place(staged(pieces(rows, path or public_path("word_bpe_49k.json"), capacity, keep_ids), "pieces"), capacity, gap, effort)
+    return place(staged(pieces(rows, path or public_path("word_bpe_49k.json"), capacity, keep_ids), "pieces"), capacity, effort)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators on documents against brute force, over a whole small table and over awkward rows."""
 
+import math
 import zlib
 
 import numpy as np
@@ -137,6 +138,46 @@ def test_packing_by_columns():
     assert op2_packing.plan({}, 101) == ([], "columns") and sequences_of({101: 7}, 101) == (7, "columns")
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_packing_of_few_rests_against_all_ways(seed):
+    """The true optimum of tiny cases by search; the bound never exceeds it, and the plan is at most one sequence over it."""
+    from functools import cache
+
+    rng = np.random.default_rng(seed)
+    room = int(rng.integers(8, 30))
+    rests = sorted(rng.integers(max(1, room // 6), room + 1, int(rng.integers(1, 9))).tolist())
+
+    @cache
+    def least(left):
+        if not left:
+            return 0
+        head, rest = left[-1], left[:-1]
+        return 1 + min(least(tuple(r for i, r in enumerate(rest) if not mask >> i & 1)) for mask in range(1 << len(rest)) if head + sum(r for i, r in enumerate(rest) if mask >> i & 1) <= room)
+
+    p = op2_packing.planned({s: rests.count(s) for s in rests}, room)
+    n, _ = sequences_of({s: rests.count(s) for s in rests}, room)
+    assert p.bound <= least(tuple(rests)) + 1e-6 and least(tuple(rests)) <= n <= least(tuple(rests)) + 1
+
+
+def test_program_in_a_session(spark):
+    """In a process whose session has run a job: two hundred and two thousand lengths, with columns that enter."""
+    assert spark.range(10).selectExpr("sum(id) as s").collect()[0].s == 45
+    rng = np.random.default_rng(2)
+    for low, high in ((1300, 1500), (100, 2100)):
+        sizes, counts = np.unique(rng.integers(low, high, 200_000), return_counts=True)
+        p = op2_packing.planned(dict(zip(sizes.tolist(), counts.tolist())), 4096, effort=50_000)
+        assert p.entered > 0 and sum(t for _, t in p.made) >= p.bound - 1e-6
+
+
+def test_columns_enter_for_the_tables(spark, monkeypatch):
+    """Of the documents' own lengths: the query's plan is priced, and needs no more sequences than the bound rounded up."""
+    plans = []
+    monkeypatch.setattr(op2_packing, "planned", lambda *a, plan=op2_packing.planned: plans.append(plan(*a)) or plans[-1])
+    got = op2_packing.op2_packing(spark, "/root/testdata/sf0.01").agg({"sequence_id": "max"}).collect()
+    (p,) = plans
+    assert p.entered > 0 and p.origin == "columns" and got[0][0] + 1 == sum(t for _, t in p.made) <= math.ceil(p.bound)
+
+
 def test_tokens_merge_back():
     """Every token's own bytes merge back into it by the vocabulary's merges: then both ways of merging agree on all texts."""
     import json
