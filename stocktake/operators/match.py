@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import vectors as V
+from .cohesion import least_cosine
 from .rows import first_of
 
 
@@ -83,11 +84,11 @@ def pairs_within(df: DataFrame, keys: list[str], id_col: str, cols: list[str]) -
 
 
 def cohesion(df: DataFrame, keys: list[str], id_col: str, vector: str) -> DataFrame:
-    """Mean and least cosine of the pairs of each group, and their number. A group of one has no pairs and no row."""
-    unit = df.withColumn("_v", F.transform(vector, lambda x: x.cast("double"))).withColumn("_n", V.norm(F.col("_v")))
-    p = pairs_within(unit, keys, id_col, ["_v", "_n"])
-    cos = V.dot(F.col("_v_a"), F.col("_v_b")) / (F.col("_n_a") * F.col("_n_b") + 1e-10)
-    return p.groupBy(*keys).agg(F.avg(cos).alias("mean_cos"), F.min(cos).alias("min_cos"), F.count(F.lit(1)).alias("pairs"))
+    """Mean and least cosine of the pairs of each group, and their number. A group of one has no pairs and no row.
+
+    The mean is that of mean_cohesion(), the least that of least_cosine(): neither makes all pairs.
+    """
+    return mean_cohesion(df, keys, vector).join(least_cosine(df, keys, id_col, vector).drop("compared"), keys)
 
 
 def mean_cohesion(df: DataFrame, keys: list[str], vector: str) -> DataFrame:

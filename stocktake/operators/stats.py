@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import LIMIT, group_stats
+
 
 def census(df: DataFrame, key: str, member: str, order: str) -> DataFrame:
     """Rows and sorted distinct members of each key; most rows first, of equals the key seen first."""
@@ -22,8 +24,10 @@ def value_range(x: Column) -> Column:
     return F.max(x) - F.min(x)
 
 
-def interdecile_range(x: Column) -> Column:
-    return F.percentile(x, 0.9) - F.percentile(x, 0.1)
+def interdecile_range(df: DataFrame, keys: list[str], x: Column, name: str, aggregates: list[Column] = (), more: dict[str, tuple[Column, float]] | None = None) -> DataFrame:
+    """Of each group the distance from the first to the ninth decile as name, with further aggregates and quantiles."""
+    out = group_stats(df, keys, {"_p90": (x, 0.9), "_p10": (x, 0.1)} | (more or {}), aggregates)
+    return out.withColumn(name, F.col("_p90") - F.col("_p10")).drop("_p90", "_p10")
 
 
 def median_ci95(x: Column) -> Column:
@@ -35,17 +39,17 @@ def ratio_of_sums(a: Column, b: Column) -> Column:
     return F.sum(a) / F.greatest(F.sum(b), F.lit(1e-9))
 
 
-def median_outliers(df: DataFrame, keys: list[str], value: str, fraction: float = 0.5) -> DataFrame:
+def median_outliers(df: DataFrame, keys: list[str], value: str, fraction: float = 0.5, limit: int = LIMIT) -> DataFrame:
     """Rows under fraction of their group's median, with the median. Not idempotent: repairing rows raises the median."""
-    med = df.groupBy(*keys).agg(F.median(value).alias("group_median"))
+    med = group_stats(df, keys, {"group_median": (F.col(value), 0.5)}, limit=limit)
     return df.join(med, keys).where(F.col(value) < fraction * F.col("group_median"))
 
 
 def subgroup_gap(df: DataFrame, keys: list[str], subgroup: str, pair: tuple, value: str) -> DataFrame:
     """Median of each of two subgroups, and how far they are apart."""
     a, b = pair
-    med = lambda s: F.median(F.when(F.col(subgroup) == s, F.col(value)))
-    out = df.groupBy(*keys).agg(med(a).alias("median_a"), med(b).alias("median_b"))
+    of = lambda s: (F.when(F.col(subgroup) == s, F.col(value)), 0.5)
+    out = group_stats(df, keys, {"median_a": of(a), "median_b": of(b)})
     return out.withColumn("gap", F.abs(F.col("median_a") - F.col("median_b")))
 
 
@@ -80,17 +84,10 @@ def sum_of_ratios(parts: list[tuple[str, float]]) -> Column:
 
 
 def group_report(df: DataFrame, keys: list[str], seconds: str, pitch: str, spread: str, voiced: str) -> DataFrame:
-    """Of each group: total seconds, median pitch of the clips that have one (0 without), mean spread, median voiced share.
-
-    Medians are exact: a group's distinct values meet in one task.
-    """
-    return df.groupBy(*keys).agg(
-        F.sum(seconds).alias("total_seconds"),
-        F.coalesce(F.median(F.when(F.col(pitch) > 0, F.col(pitch))), F.lit(0.0)).alias("median_pitch"),
-        F.avg(spread).alias("mean_spread"),
-        F.median(voiced).alias("median_voiced"),
-        F.count(F.lit(1)).alias("clips"),
-    )
+    """Of each group: total seconds, median pitch of the clips that have one (0 without), mean spread, median voiced share."""
+    wanted = {"median_pitch": (F.when(F.col(pitch) > 0, F.col(pitch)), 0.5), "median_voiced": (F.col(voiced), 0.5)}
+    sums = [F.sum(seconds).alias("total_seconds"), F.avg(spread).alias("mean_spread"), F.count(F.lit(1)).alias("clips")]
+    return group_stats(df, keys, wanted, sums).withColumn("median_pitch", F.coalesce("median_pitch", F.lit(0.0)))
 
 
 def degenerate(seconds: Column, expected: Column, level_db: Column, active: Column) -> Column:
@@ -108,7 +105,7 @@ def suspects(df: DataFrame, group: str, text: str, seconds: str, tail: str, leas
     The pace is the group's median of seconds per character over texts of least_chars or more.
     """
     long = F.length(text) >= least_chars
-    pace = df.groupBy(group).agg(F.median(F.when(long, F.col(seconds) / F.length(text))).alias("pace"))
+    pace = group_stats(df, [group], {"pace": (F.when(long, F.col(seconds) / F.length(text)), 0.5)})
     ratio = F.col(seconds) / F.greatest(F.col("pace") * F.length(text), F.lit(1e-9))
     judged = df.join(pace, group).withColumn("ratio", ratio).withColumn("motif", suspect(F.col(seconds), F.lit(0.25), F.col("ratio"), F.col(tail)))
     return judged.where("motif <> ''").orderBy(F.desc(tail))
@@ -131,7 +128,7 @@ def control_difference(treated: DataFrame, control: DataFrame, keys: list[str],
 
 def credible(df: DataFrame, keys: list[str], share: str, limit: float = 0.05) -> DataFrame:
     """Median share of each group; an error for a group over the limit, as its measurements can't be believed."""
-    out = df.groupBy(*keys).agg(F.median(share).alias("median_share"))
+    out = group_stats(df, keys, {"median_share": (F.col(share), 0.5)})
     checked = F.when(F.col("median_share") > limit, F.raise_error(F.concat(F.lit("low-band share over the limit: "), F.concat_ws(",", *keys))).cast("double")).otherwise(F.col("median_share"))
     return out.withColumn("median_share", checked)
 
@@ -142,7 +139,7 @@ def sweep_best(df: DataFrame, keys: list[str], centres: list[float], shares: str
     from .rows import best_of
 
     each = df.select(*keys, F.posexplode(shares).alias("pos", "share"))
-    med = each.groupBy(*keys, "pos").agg(F.median("share").alias("share"))
+    med = group_stats(each, [*keys, "pos"], {"share": (F.col("share"), 0.5)})
     centre = F.element_at(F.array(*[F.lit(float(c)) for c in centres]), F.col("pos") + 1)
     return best_of(med.withColumn("centre", centre).withColumn("density", concentration(F.col("share"), centre)), keys, F.col("density"), "pos")
 

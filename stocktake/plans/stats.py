@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import rows
 from ..operators import stats as S
+from ..operators.quantiles import group_stats
 from .registry import query
 
 
@@ -23,12 +24,14 @@ from lineitem group by all
 """)
 def ranges(t):
     x = F.col("l_extendedprice")
-    return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(F.round(S.interdecile_range(x), 6).alias("interdecile"), F.round(S.value_range(x), 6).alias("range_"))
+    both = S.interdecile_range(t.lineitem, ["l_returnflag", "l_linestatus"], x, "interdecile", [F.round(S.value_range(x), 6).alias("range_")])
+    return both.withColumn("interdecile", F.round("interdecile", 6))
 
 
 @query("select event_type, median(value) as median_value, round(1.96 * 1.253 * stddev_pop(value) / sqrt(count(value)), 6) as ci95, count(*) as n from events group by 1")
 def median_ci95(t):
-    return t.events.groupBy("event_type").agg(F.median("value").alias("median_value"), F.round(S.median_ci95(F.col("value")), 6).alias("ci95"), F.count(F.lit(1)).alias("n"))
+    x = F.col("value")
+    return group_stats(t.events, ["event_type"], {"median_value": (x, 0.5)}, [F.round(S.median_ci95(x), 6).alias("ci95"), F.count(F.lit(1)).alias("n")])
 
 
 @query("""
@@ -71,7 +74,7 @@ from (select l_suppkey, quantile_cont(l_quantity, 0.9) - quantile_cont(l_quantit
 """)
 def two_gate_verdict(t):
     q = F.col("l_quantity")
-    both = t.lineitem.groupBy("l_suppkey").agg(S.interdecile_range(q).alias("g"), S.value_range(q).alias("r"), F.median(q).alias("m"))
+    both = S.interdecile_range(t.lineitem, ["l_suppkey"], q, "g", [S.value_range(q).alias("r")], {"m": (q, 0.5)})
     return both.select("l_suppkey", S.two_gates(F.col("g") <= 40, F.col("r") <= 48).alias("verdict"), S.two_gates(F.col("r") <= 48, S.in_range(F.col("m"), 24, 26), S.CAST_VERDICTS).alias("cast_"))
 
 
@@ -83,7 +86,7 @@ qualify place <= 60
 def ratio_order(t):
     """A report's order: by the sum of two ratios, the first 60."""
     q = F.col("l_quantity")
-    both = t.lineitem.groupBy("l_suppkey").agg(S.interdecile_range(q).alias("g"), S.value_range(q).alias("r"))
+    both = S.interdecile_range(t.lineitem, ["l_suppkey"], q, "g", [S.value_range(q).alias("r")])
     scored = both.withColumn("score", S.sum_of_ratios([("g", 40.0), ("r", 48.0)]))
     return rows.top_numbered(scored, ["score", "l_suppkey"], 60).select("l_suppkey", F.round("score", 9).alias("score"), "place")
 
@@ -127,7 +130,7 @@ select a.l_suppkey, a.m as treated, b.m as control, a.m - b.m as effect
 from (select l_suppkey, median(l_quantity) as m from lineitem where l_returnflag = 'R' group by 1) a join (select l_suppkey, median(l_quantity) as m from lineitem where l_returnflag = 'A' group by 1) b on a.l_suppkey = b.l_suppkey
 """)
 def control_difference(t):
-    med = lambda f: t.lineitem.where(F.col("l_returnflag") == f).groupBy("l_suppkey").agg(F.median("l_quantity").alias("m"))
+    med = lambda f: group_stats(t.lineitem.where(F.col("l_returnflag") == f), ["l_suppkey"], {"m": (F.col("l_quantity"), 0.5)})
     return S.control_difference(med("R"), med("A"), ["l_suppkey"], "m")
 
 

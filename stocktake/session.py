@@ -49,5 +49,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written to a scratch_dir() and read back: lineage is cut, and a lost executor costs no recomputation."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def data_dir(default: str = "/root/testdata/sf0.01") -> str:
     return os.environ.get("STOCKTAKE_SF_DIR", default)
