@@ -73,9 +73,63 @@ def ogg_seconds(content: pd.Series) -> pd.Series:
     return content.map(seconds)
 
 
+#: An Ogg page is at most 65,307 bytes long: the last one of a sound file begins within this window.
+WINDOW = 1 << 16
+
+
+def ogg_length(file, size: int, window: int = WINDOW) -> tuple[float, int]:
+    """Seconds as ogg_seconds() has them, and bytes read, of an open file: its head and its tail are enough.
+
+    Only where a mark is in neither, in files that aren't whole, the windows grow until they meet.
+    """
+
+    def look(mark: bytes, more: int, first: bool) -> tuple[int, bytes, int]:
+        span, read = window, 0
+        while True:
+            span = min(span, size)
+            start = 0 if first else size - span
+            file.seek(start)
+            data = file.read(span)
+            read += len(data)
+            at = data.find(mark) if first else data.rfind(mark)
+            if span == size or at >= 0 and (not first or at + more <= span):
+                return at, data, read
+            span *= 8
+
+    head, data, read = look(b"\x01vorbis", 16, True)
+    if head < 0 or len(data) < head + 16:
+        return 0.0, read
+    (rate,) = struct.unpack_from("<I", data, head + 12)
+    page, data, more = look(b"OggS", 14, False)
+    if page < 0 or len(data) < page + 14 or not rate:
+        return 0.0, read + more
+    return struct.unpack_from("<q", data, page + 6)[0] / rate, read + more
+
+
+def opened(path: str):
+    """A file of any store that Arrow knows, by the path that Spark gives it, open for reading anywhere in it."""
+    from pyarrow import fs
+
+    if path.startswith("file:") or "://" not in path:
+        return fs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
+    store, at = fs.FileSystem.from_uri(path)
+    return store.open_input_file(at)
+
+
 def clip_seconds(spark: SparkSession, path: str) -> DataFrame:
+    """(path, clip, seconds, bytes_read): lengths of Ogg clips. Tasks read a window at either end of each file, however long it is."""
+
+    def run(batches):
+        for pdf in batches:
+            found = []
+            for name, size in zip(pdf["path"], pdf["length"], strict=True):
+                with opened(name) as file:
+                    found.append(ogg_length(file, size))
+            yield pdf[["path", "clip"]].assign(seconds=[s for s, _ in found], bytes_read=[n for _, n in found])
+
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.ogg").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.regexp_extract("path", r"([^/]+)\.ogg$", 1).alias("clip"), ogg_seconds("content").alias("seconds"))
+    named = files.select("path", F.regexp_extract("path", r"([^/]+)\.ogg$", 1).alias("clip"), "length")
+    return named.mapInPandas(run, "path string, clip string, seconds double, bytes_read long")
 
 
 def stage_plan(spark: SparkSession, path: str, character: str = "arthur") -> DataFrame:
@@ -109,36 +163,41 @@ def audit_clips(spark: SparkSession, path: str) -> DataFrame:
     return json_table(spark, path, schemas.AUDIT_CLIP)
 
 
-def _archive_members(data: bytes):
-    import io
-    import tarfile
+def archive(spark: SparkSession, path: str, hashes: bool = True, block: int = 1 << 20, rows: int = 1000) -> DataFrame:
+    """(archive, ord, member, bytes, sha256, manifest): members of tar.zst packs; manifest has the text of a manifest.json at depth one.
 
-    import zstandard
+    A task opens an archive by its path and goes through it as a stream, in blocks: neither archive nor member is ever
+    held whole, whatever their sizes. Without hashes sha256 is null, and members are passed over unread.
+    """
 
-    with zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data)) as raw, tarfile.open(fileobj=raw, mode="r|") as tar:
-        for m in tar:
-            small = m.isfile() and m.name.count("/") <= 1 and m.name.rsplit("/", 1)[-1] == "manifest.json"
-            body = tar.extractfile(m).read() if m.isfile() else b""
-            yield m, body, small
+    def members(name: str):
+        import hashlib
+        import tarfile
 
+        import zstandard
 
-def archive(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, ord, member, bytes, sha256, manifest): members of tar.zst packs; manifest has the text of a manifest.json at depth one.
-
-    Archives are listed by the task that reads them, as a stream.
-    """
-    import hashlib
+        with opened(name) as file, zstandard.ZstdDecompressor().stream_reader(file) as raw, tarfile.open(fileobj=raw, mode="r|") as tar:
+            for i, m in enumerate(tar):
+                small = m.isfile() and m.name.count("/") <= 1 and m.name.rsplit("/", 1)[-1] == "manifest.json"
+                mark, text = hashlib.sha256(), []
+                if m.isfile() and (hashes or small):
+                    body = tar.extractfile(m)
+                    while data := body.read(block):
+                        mark.update(data)
+                        if small:
+                            text.append(data)
+                yield name, i, m.name, m.size, mark.hexdigest() if hashes and m.isfile() else None, b"".join(text).decode() if small else None
 
     def run(batches):
+        from itertools import islice
+
         for pdf in batches:
-            for name, data in zip(pdf["path"], pdf["content"], strict=True):
-                rows = [
-                    (name, i, m.name, m.size, hashlib.sha256(b).hexdigest() if m.isfile() else None, b.decode() if small else None)
-                    for i, (m, b, small) in enumerate(_archive_members(data))
-                ]
-                yield pd.DataFrame(rows, columns=["archive", "ord", "member", "bytes", "sha256", "manifest"])
+            for name in pdf["path"]:
+                found = members(name)
+                while some := list(islice(found, rows)):
+                    yield pd.DataFrame(some, columns=["archive", "ord", "member", "bytes", "sha256", "manifest"])
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").load(path).select("path")
     return files.mapInPandas(run, "archive string, ord int, member string, bytes long, sha256 string, manifest string")
 
 
