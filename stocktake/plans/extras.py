@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import match as M
 from ..operators import reconcile as R
-from ..operators import rows, sinks
+from ..operators import rows, sinks, store
 from ..operators import stats as S
+from ..session import scratch_dir
 from .registry import query
 
 
@@ -133,3 +134,49 @@ def progress(t):
     e = rows.position_in(t.events.select("event_id", "ts", F.lit(1).alias("run"), F.to_date("ts").alias("day"), F.struct("ts", "event_id").alias("o")), ["run"], "day", "o", "pos", "total")
     done = e.withColumn("done", F.col("pos") + 1).withColumn("elapsed", F.col("done") * 2.0)
     return rows.progress(done, "done", "total", "elapsed").select("event_id", "left_s")
+
+
+# what outlives a run
+
+
+@query("""
+select l_suppkey, l_linenumber, round(sum(l_quantity * (1 - l_discount)), 4) as total, case when l_suppkey % 2 = 0 then 1 else 2 end as run, 2 as runs
+from lineitem group by l_suppkey, l_linenumber
+""")
+def sweep_points(t):
+    """A sweep in three runs over a store: one of the even suppliers, one of all, which computes the odd ones, and one that computes nothing."""
+    lines = t.lineitem.select("l_suppkey", "l_linenumber", (F.col("l_quantity") * (1 - F.col("l_discount"))).alias("x"))
+    points = lines.select("l_suppkey", "l_linenumber").distinct()
+    keys = ["l_suppkey", "l_linenumber"]
+    kept = store.Store(t.spark, scratch_dir(t.spark, "sweep"), "l_suppkey long, l_linenumber int, total double")
+    compute = lambda absent: lines.join(absent, keys).groupBy(*keys).agg(F.round(F.sum("x"), 4).alias("total"))
+    store.computed(points.where("l_suppkey % 2 = 0"), keys, kept, compute)
+    store.computed(points, keys, kept, compute)
+    found = store.computed(points, keys, kept, compute)
+    return found.select(*[F.col(k) for k in keys], "total", F.col("version").alias("run"), F.lit(len(kept.versions())).alias("runs"))
+
+
+@query("""
+with e as (select user_id, value, row_number() over (partition by user_id order by ts, event_id) as n from events),
+f as (select user_id, min(n) filter (where value >= 90 and n <= 4) as hit from e group by 1)
+select user_id, cast(coalesce(hit, 4) as integer) as attempts, hit is not null as accepted from f
+""")
+def bounded_retries(t):
+    """A user's events in order are attempts, of which four are allowed: until one reaches 90."""
+    e = rows.rank_in(t.events.select("user_id", "event_id", "ts", "value"), ["user_id"], ["ts", "event_id"], "attempt")
+    e = e.select("user_id", F.col("attempt").cast("int").alias("attempt"), (F.col("value") >= 90).alias("accepted"))
+    log = store.Store(t.spark, scratch_dir(t.spark, "retries"), "user_id long, attempt int, accepted boolean")
+    return store.retried(e, ["user_id"], log, lambda todo: todo.join(e, ["user_id", "attempt"]), limit=4)
+
+
+@query("""
+select n_nationkey, case when n_nationkey % 3 = 0 then upper(n_name) || '!' else n_name end as name, n_name as former, 2 as versions from nation
+""")
+def versioned_upsert(t):
+    """A table of which every third row is replaced: the new version and, still there, the former one."""
+    kept = store.Store(t.spark, scratch_dir(t.spark, "versions"), "n_nationkey int, name string")
+    own = t.nation.select("n_nationkey", F.col("n_name").alias("name"))
+    store.upsert(kept, own, ["n_nationkey"])
+    store.upsert(kept, own.where("n_nationkey % 3 = 0").withColumn("name", F.concat(F.upper("name"), F.lit("!"))), ["n_nationkey"])
+    former = kept.read(1).withColumnRenamed("name", "former")
+    return kept.read().join(former, "n_nationkey").select("n_nationkey", "name", "former", F.lit(len(kept.versions())).alias("versions"))
