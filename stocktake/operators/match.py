@@ -88,7 +88,8 @@ def cohesion(df: DataFrame, keys: list[str], id_col: str, vector: str) -> DataFr
 
     The mean is that of mean_cohesion(), the least that of least_cosine(): neither makes all pairs.
     """
-    return mean_cohesion(df, keys, vector).join(least_cosine(df, keys, id_col, vector).drop("compared"), keys)
+    both = mean_cohesion(df, keys, vector).join(least_cosine(df, keys, id_col, vector), keys)
+    return both.select(*keys, "mean_cos", "min_cos", "pairs")
 
 
 def mean_cohesion(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
