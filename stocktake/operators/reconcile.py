@@ -114,6 +114,12 @@ def status_board(slugs: DataFrame, docs: dict[str, DataFrame], files: DataFrame,
     return out.join(n, key, "left").withColumn("files", F.coalesce("files", F.lit(0)))
 
 
+def reuse_plan(wanted: DataFrame, other_lot: DataFrame, keys: list[str]) -> DataFrame:
+    """Each wanted row with the other lot's columns and its origin: 'reused', or 'missing' where the lot hasn't got it."""
+    there = other_lot.withColumn("_there", F.lit(True))
+    return wanted.join(there, keys, "left").withColumn("origin", F.when(F.col("_there"), "reused").otherwise("missing")).drop("_there")
+
+
 def reuse_or_generate(wanted: DataFrame, other_lot: DataFrame, keys: list[str], reuse: bool) -> DataFrame:
     """With reuse, the other lot's rows for all wanted keys, an error if one isn't there; else the wanted rows to generate."""
     if not reuse:

@@ -126,11 +126,16 @@ def control_difference(treated: DataFrame, control: DataFrame, keys: list[str],
     return a.join(b, keys).withColumn("effect", F.col("treated") - F.col("control"))
 
 
-def credible(df: DataFrame, keys: list[str], share: str, limit: float = 0.05) -> DataFrame:
-    """Median share of each group; an error for a group over the limit, as its measurements can't be believed."""
+def credibility(df: DataFrame, keys: list[str], share: str, limit: float = 0.05) -> DataFrame:
+    """Median share of each group, and whether its measurements can be believed: a share over the limit says they can't."""
     out = group_stats(df, keys, {"median_share": (F.col(share), 0.5)})
-    checked = F.when(F.col("median_share") > limit, F.raise_error(F.concat(F.lit("low-band share over the limit: "), F.concat_ws(",", *keys))).cast("double")).otherwise(F.col("median_share"))
-    return out.withColumn("median_share", checked)
+    return out.withColumn("credible", F.coalesce(F.col("median_share") <= limit, F.lit(True)))
+
+
+def credible(df: DataFrame, keys: list[str], share: str, limit: float = 0.05) -> DataFrame:
+    """Median share of each group; an error for a group over the limit."""
+    refused = F.raise_error(F.concat(F.lit("low-band share over the limit: "), F.concat_ws(",", *keys))).cast("double")
+    return credibility(df, keys, share, limit).withColumn("median_share", F.when(F.col("credible"), F.col("median_share")).otherwise(refused)).drop("credible")
 
 
 def sweep_best(df: DataFrame, keys: list[str], centres: list[float], shares: str) -> DataFrame:

@@ -116,13 +116,25 @@ def free_text_lists(t):
     return t.conversations.select("conv_id", "turn", X.json_list(said, 2).alias("found"))
 
 
-@query("""
-with w as (select s_suppkey, s_nationkey from supplier), o as (select s_suppkey, 'clip' || s_suppkey as clip from supplier)
-select w.s_suppkey, s_nationkey, clip, 'reused' as origin from w join o on w.s_suppkey = o.s_suppkey
-""")
+_LOT = "with o as (select l_partkey as p_partkey, 'clip' || min(l_orderkey) as clip from lineitem where l_quantity >= 49 group by 1)"
+
+
+def _lot(t):
+    made = t.lineitem.where("l_quantity >= 49").groupBy(F.col("l_partkey").alias("p_partkey"))
+    return made.agg(F.concat(F.lit("clip"), F.min("l_orderkey").cast("string")).alias("clip"))
+
+
+@query(_LOT + " select p_partkey, p_name, clip, 'reused' as origin from part join o using (p_partkey)")
 def reuse_lot(t):
-    lot = t.supplier.select("s_suppkey", F.concat(F.lit("clip"), F.col("s_suppkey").cast("string")).alias("clip"))
-    return R.reuse_or_generate(t.supplier.select("s_suppkey", "s_nationkey"), lot, ["s_suppkey"], True)
+    """The clips of another lot for the parts that it covers: it has to have one for each of them, or all would be refused."""
+    covered = t.part.select("p_partkey", "p_name").join(t.lineitem.where("l_quantity >= 49").select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "left_semi")
+    return R.reuse_or_generate(covered, _lot(t), ["p_partkey"], True)
+
+
+@query(_LOT + " select p_partkey, p_name, clip, case when clip is null then 'missing' else 'reused' end as origin from part left join o using (p_partkey)")
+def reuse_plan(t):
+    """What another lot has for all parts, and what is missing in it."""
+    return R.reuse_plan(t.part.select("p_partkey", "p_name"), _lot(t), ["p_partkey"])
 
 
 @query("""

@@ -156,3 +156,14 @@ def test_as_of_with_a_hot_key(spark):
     r = spark.createDataFrame([(k, x, v) for (k, x), v in right], "k string, x int, v string").repartition(3)
     got = {row.i: row.v for row in M.as_of(l, r, "x", "v", ["k"]).collect()}
     assert len(got) == 500 and {i: v for i, v in got.items() if left[i][0] is not None} == {i: v for i, v in want.items() if left[i][0] is not None}
+
+
+def test_another_lot_is_reused_whole_or_not_at_all(spark):
+    from stocktake.operators import reconcile
+
+    wanted = spark.createDataFrame([(1, "a"), (2, "b")], "k int, name string")
+    lot = spark.createDataFrame([(1, "x")], "k int, clip string")
+    assert sorted(map(tuple, reconcile.reuse_plan(wanted, lot, ["k"]).collect())) == [(1, "a", "x", "reused"), (2, "b", None, "missing")]
+    with pytest.raises(Exception, match="expected rows are missing"):
+        reconcile.reuse_or_generate(wanted, lot, ["k"], True).collect()
+    assert [tuple(r) for r in reconcile.reuse_or_generate(wanted.where("k = 1"), lot, ["k"], True).collect()] == [(1, "a", "x", "reused")]
