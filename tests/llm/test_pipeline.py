@@ -3,6 +3,7 @@
 import re
 
 import duckdb
+import pytest
 
 import corpus_pipeline
 from stocktake.llm.common import stack
@@ -41,6 +42,18 @@ def test_stages(spark, tmp_path):
     assert sorted(map(tuple, run.select("doc_id", "start", "length", "ids_crc32", "doc_tokens").collect())) == sorted((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in packed)
 
 
+@pytest.mark.parametrize("rows", [[], [(None, None, None, None, None), (1, None, "en", None, 3), (2, "", None, "a", None), (None, "Some words without an id.", "en", "a", 5), (2, "", None, "a", None)]])
+def test_stages_on_no_rows_and_on_nulls(spark, tmp_path, rows):
+    """No stage fails, rows keep their columns, and what is packed is what was left."""
+    docs = spark.createDataFrame(rows, stack(spark, SF, "documents").schema)
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, SF)
+        assert i == len(corpus_pipeline.STAGES) - 1 or out.columns == docs.columns
+        out.write.parquet(f"{tmp_path}/{i}")
+        left, docs = docs, spark.read.parquet(f"{tmp_path}/{i}")
+    assert docs.select("doc_id").distinct().count() == left.select("doc_id").distinct().count() and docs.count() == left.count()
+
+
 def test_registered():
     import __spark_entry__ as e
 
