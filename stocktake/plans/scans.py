@@ -23,6 +23,11 @@ def _json(column, *order):
     return F.to_json(F.transform(F.array_sort(F.collect_list(F.struct(*order, column.alias("_doc")))), lambda x: x["_doc"]))
 
 
+def _part(number, size: int = 1000):
+    """Which file a row goes to, so that files stay as large as they are when there are more rows."""
+    return F.floor(number / size).cast("string").alias("part")
+
+
 def _local(uri: str) -> str:
     return uri.removeprefix("file://")
 
@@ -170,13 +175,13 @@ def scan_stage_plan(t):
 
 @query(f"select cast(conv_id * 1000 + turn as varchar) as cas, {sql_mark('text')} as empreinte, true as same from conversations")
 def scan_vectors(t):
-    """Shared fingerprint vectors: what the file says, and whether the functions agree."""
+    """Shared fingerprint vectors, in a file for each thousand conversations: what they say, and whether the functions agree."""
     text = F.coalesce("text", F.lit(""))
     vector = F.struct((F.col("conv_id") * 1000 + F.col("turn")).cast("string").alias("cas"), text.alias("texte"), X.normalise_text(text).alias("normalise"), X.fingerprint(text).alias("empreinte"))
     root = scratch_dir(t.spark, "vectors")
-    doc = t.conversations.select(vector.alias("v")).agg(F.to_json(F.struct(F.collect_list("v").alias("vecteurs"))).alias("content"))
-    sinks.write_files(doc.select(F.lit("v.json").alias("path"), "content"), root)
-    found = files.contract_vectors(t.spark, f"{root}/v.json")
+    docs = t.conversations.select(_part(F.col("conv_id")), vector.alias("v")).groupBy("part").agg(F.to_json(F.struct(F.collect_list("v").alias("vecteurs"))).alias("content"))
+    sinks.write_files(docs.select(F.concat(F.lit("v"), F.col("part"), F.lit(".json")).alias("path"), "content"), root)
+    found = files.contract_vectors(t.spark, f"{root}/v*.json")
     same = (X.fingerprint(F.col("texte")) == F.col("empreinte")) & (X.normalise_text(F.col("texte")) == F.col("normalise"))
     return found.select("cas", "empreinte", same.alias("same"))
 
@@ -189,7 +194,7 @@ select id, personnage, texte, round_even(fin, 3) as fin, round_even(ratio, 3) as
 from j where duree < 0.25 or ratio < 0.6 or fin > 0.8
 """)
 def audit_report(t):
-    """The collector's clips from a file, judged, rounded, written as the report of suspects and read back."""
+    """The collector's clips from files, one for each thousand conversations, judged, rounded, written as the report of suspects and read back."""
     text = F.coalesce("text", F.lit(""))
     clip = F.struct(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
@@ -200,8 +205,9 @@ def audit_report(t):
         F.concat_ws("/", F.lit("clips"), F.col("conv_id").cast("string")).alias("fichier"),
     )
     root = scratch_dir(t.spark, "audit")
-    sinks.write_files(t.conversations.agg(_json(clip, "conv_id", "turn").alias("content")).select(F.lit("audit.json").alias("path"), "content"), root)
-    judged = S.suspects(files.audit_clips(t.spark, f"{root}/audit.json"), "personnage", "texte", "duree", "fin")
+    docs = t.conversations.groupBy(_part(F.col("conv_id"))).agg(_json(clip, "conv_id", "turn").alias("content"))
+    sinks.write_files(docs.select(F.concat(F.lit("audit"), F.col("part"), F.lit(".json")).alias("path"), "content"), root)
+    judged = S.suspects(files.audit_clips(t.spark, f"{root}/audit*.json"), "personnage", "texte", "duree", "fin")
     report = sinks.suspect_rows(judged)
     sinks.write_report(report, f"{root}/suspects")
     return t.spark.read.schema(report.schema).json(f"{root}/suspects")
