@@ -8,6 +8,7 @@ from ..functions import signal as G
 from ..functions import vectors as V
 from ..operators import match as M
 from ..operators import stats as S
+from ..operators import waves
 from .registry import query
 
 RATE = 4000
@@ -115,33 +116,39 @@ def target_sweep(t):
 SLOW = 800  # samples a second: a vector of 64 is then 80 ms, four frames of pitch and six of the cepstrum
 
 
-@query(f"""
-with s as (select vec_id, unnest(range(64)) as i, unnest(embedding::double[]) as x from embeddings),
-f as (select vec_id, st, i - st as j, x * (0.5 - 0.5 * cos(2 * pi() * (i - st) / 32)) as w from s join (select unnest(range(0, 32, 8)) as st) on i >= st and i < st + 32),
-loud as (select vec_id, st, avg(w) as m from f group by all having sqrt(avg(w * w)) >= 1e-3),
-c as (select vec_id, st, j, w - m as c from f join loud using (vec_id, st)),
-whole as (select vec_id, st, sum(c * c) as e from c group by all having sum(c * c) > 0),
-auto as (select a.vec_id, a.st, b.j - a.j as lag, sum(a.c * b.c) as r from c a join c b on a.vec_id = b.vec_id and a.st = b.st and b.j - a.j between 2 and 12 group by all),
-peak as (select * from auto qualify row_number() over (partition by vec_id, st order by r desc, lag) = 1),
-f0 as (select vec_id, {SLOW}.0::double / lag as f0 from peak join whole using (vec_id, st) where r / e >= 0.3),
-mid as (select vec_id, median(f0) as m from f0 group by 1),
-pitch as (select vec_id, m, stddev_pop(12 * log2(f0 / m)) as spread, count(*) / 8.0::double as voiced from f0 join mid using (vec_id) group by all),
-g as (select vec_id, st, i - st as j, x * (0.5 - 0.5 * cos(2 * pi() * (i - st) / 20)) as w from s join (select unnest(range(0, 44, 8)) as st) on i >= st and i < st + 20),
-heard as (select vec_id, st from g group by all having sqrt(avg(w * w)) >= 1e-3),
-p as (select vec_id, st, k, power(sum(w * cos(2 * pi() * j * k / 20)), 2) + power(sum(w * sin(2 * pi() * j * k / 20)), 2) as p from g join heard using (vec_id, st) cross join (select unnest(range(11)) as k) group by all),
+def _described(key: str, samples: str) -> str:
+    """SQL of the descriptors of the waves in samples: key, i, x."""
+    return f"""
+with s as ({samples}),
+len as (select {key}, count(*) as n from s group by 1),
+f as (select {key}, st, j, x * (0.5 - 0.5 * cos(2 * pi() * j / 32)) as w from (select {key}, unnest(range(0, n - 32, 8)) as st from len) cross join (select unnest(range(32)) as j) join s using ({key}) where i = st + j),
+loud as (select {key}, st, avg(w) as m from f group by all having sqrt(avg(w * w)) >= 1e-3),
+c as (select {key}, st, j, w - m as c from f join loud using ({key}, st)),
+whole as (select {key}, st, sum(c * c) as e from c group by all having sum(c * c) > 0),
+auto as (select a.{key}, a.st, b.j - a.j as lag, sum(a.c * b.c) as r from c a join c b on a.{key} = b.{key} and a.st = b.st and b.j - a.j between 2 and 12 group by all),
+peak as (select * from auto qualify row_number() over (partition by {key}, st order by r desc, lag) = 1),
+f0 as (select {key}, {SLOW}.0::double / lag as f0 from peak join whole using ({key}, st) where r / e >= 0.3),
+mid as (select {key}, median(f0) as m from f0 group by 1),
+pitch as (select {key}, m, stddev_pop(12 * log2(f0 / m)) as spread, count(*) / (n // 8)::double as voiced from f0 join mid using ({key}) join len using ({key}) group by {key}, m, n),
+g as (select {key}, st, j, x * (0.5 - 0.5 * cos(2 * pi() * j / 20)) as w from (select {key}, unnest(range(0, n - 20, 8)) as st from len) cross join (select unnest(range(20)) as j) join s using ({key}) where i = st + j),
+heard as (select {key}, st from g group by all having sqrt(avg(w * w)) >= 1e-3),
+p as (select {key}, st, k, power(sum(w * cos(2 * pi() * j * k / 20)), 2) + power(sum(w * sin(2 * pi() * j * k / 20)), 2) as p from g join heard using ({key}, st) cross join (select unnest(range(11)) as k) group by all),
 ends as (select 2595 * log10(1 + 50 / 700.0::double) as a, 2595 * log10(1 + 400 / 700.0::double) as b),
 edge as (select n, floor(21 * 700 * (power(10, (a + (b - a) * n / 41) / 2595) - 1) / {SLOW}) as e from ends cross join (select unnest(range(42)) as n)),
 bank as (select x.n as band, k, case when k < y.e then (k - x.e) / (y.e - x.e) else (z.e - k) / (z.e - y.e) end as wt
   from edge x join edge y on y.n = x.n + 1 join edge z on z.n = x.n + 2 join (select unnest(range(11)) as k) on k >= x.e and k < z.e where x.e < y.e and y.e < z.e),
-energy as (select h.vec_id, h.st, b.band, ln(coalesce(sum(p * wt), 0) + 1e-10) as v
-  from heard h cross join (select unnest(range(40)) as band) b left join bank on bank.band = b.band left join p on p.vec_id = h.vec_id and p.st = h.st and p.k = bank.k group by all),
-cep as (select vec_id, n, avg(v) as c from (select vec_id, st, n, sum(v * cos(pi() * n * (band + 0.5) / 40)) * sqrt(2 / 40.0::double) / case when n = 0 then sqrt(2) else 1 end as v
-  from energy cross join (select unnest([0, 1, 12]) as n) group by vec_id, st, n) group by all),
-level as (select vec_id, 20 * log10(sqrt(avg(x * x)) + 1e-10) as db from s group by 1)
-select l.vec_id, round(coalesce(m, 0), 4) as f0_median, round(coalesce(spread, 0), 4) as f0_spread, round(db, 4) as rms_db, round(coalesce(voiced, 0), 4) as voiced,
+energy as (select h.{key}, h.st, b.band, ln(coalesce(sum(p * wt), 0) + 1e-10) as v
+  from heard h cross join (select unnest(range(40)) as band) b left join bank on bank.band = b.band left join p on p.{key} = h.{key} and p.st = h.st and p.k = bank.k group by all),
+cep as (select {key}, n, avg(v) as c from (select {key}, st, n, sum(v * cos(pi() * n * (band + 0.5) / 40)) * sqrt(2 / 40.0::double) / case when n = 0 then sqrt(2) else 1 end as v
+  from energy cross join (select unnest([0, 1, 12]) as n) group by {key}, st, n) group by all),
+level as (select {key}, 20 * log10(sqrt(avg(x * x)) + 1e-10) as db from s group by 1)
+select l.{key}, round(coalesce(m, 0), 4) as f0_median, round(coalesce(spread, 0), 4) as f0_spread, round(db, 4) as rms_db, round(coalesce(voiced, 0), 4) as voiced,
        round(coalesce(max(c) filter (where n = 0), 0), 4) as mfcc0, round(coalesce(max(c) filter (where n = 1), 0), 4) as mfcc1, round(coalesce(max(c) filter (where n = 12), 0), 4) as mfcc12
-from level l left join pitch using (vec_id) left join cep using (vec_id) group by l.vec_id, m, spread, db, voiced
-""")
+from level l left join pitch using ({key}) left join cep using ({key}) group by l.{key}, m, spread, db, voiced
+"""
+
+
+@query(_described("vec_id", "select vec_id, unnest(range(64)) as i, unnest(embedding::double[]) as x from embeddings"))
 def voice_descriptors(t):
     """Pitch, level, voiced share and cepstrum of every vector, read as a wave."""
     d = t.embeddings.select("vec_id", G.descriptors(F.col("embedding"), SLOW).alias("d"))
@@ -149,6 +156,38 @@ def voice_descriptors(t):
     return d.select("vec_id", F.round("d.f0_median", 4).alias("f0_median"), F.round("d.f0_spread_st", 4).alias("f0_spread"), F.round("d.rms_db", 4).alias("rms_db"), F.round("d.voiced", 4).alias("voiced"), mfcc(0), mfcc(1), mfcc(12))
 
 
+#: The vectors of a label in the order of their numbers, laid end to end.
+_END_TO_END = "select label, (row_number() over (partition by label order by vec_id, i)) - 1 as i, x from (select label, vec_id, unnest(range(len(embedding))) as i, unnest(embedding::double[]) as x from embeddings)"
+
+
+def _end_to_end(t):
+    each = t.embeddings.select("label", F.floor(F.col("vec_id") / 1000).alias("thousand"), "vec_id", F.col("embedding").cast("array<double>").alias("samples"))
+    return waves.placed(each, ["label"], "thousand", "vec_id")
+
+
+@query(_described("label", _END_TO_END))
+def long_voice_descriptors(t):
+    """Pitch, level, voiced share and cepstrum of one long wave a label, in runs of 64 frames."""
+    d = waves.descriptors(_end_to_end(t), ["label"], SLOW, frames=64)
+    mfcc = lambda i: F.round(F.col("mfcc")[i], 4).alias(f"mfcc{i}")
+    return d.select("label", F.round("f0_median", 4).alias("f0_median"), F.round("f0_spread_st", 4).alias("f0_spread"), F.round("rms_db", 4).alias("rms_db"), F.round("voiced", 4).alias("voiced"), mfcc(0), mfcc(1), mfcc(12))
+
+
+@query(f"""
+with s as ({_END_TO_END}),
+len as (select label, count(*) as n from s group by 1),
+w as (select label, i, n, x * (0.5 + 0.5 * cos(pi() * (1 - n + 2 * i) / (n - 1))) as x from s join len using (label)),
+p as (select label, n, k, k * (1.0::double / (n * (1.0::double / {RATE}))) as f, power(sum(x * cos(2 * pi() * ((i * k) % n) / n)), 2) + power(sum(x * sin(2 * pi() * ((i * k) % n) / n)), 2) as p
+  from w join (select label, unnest(range(n // 2 + 1)) as k from len) using (label) group by all)
+select label, round({_share('60', '150', '>')}, 6) as low_share, round({_share('240.0', '560.0')}, 6) as band, round({_centre(800)}, 4) as narrow, round({_centre(2000)}, 4) as voice, round({_centre(4000)}, 4) as wide
+from p group by 1
+""")
+def long_spectral_features(t):
+    """Bands and centroids of the whole spectrum of one long wave a label, transformed in strips of 4096 numbers."""
+    s = waves.spectrum_features(_end_to_end(t), ["label"], RATE, (400.0,), cells=4096)
+    return s.select("label", F.round("low_share", 6).alias("low_share"), F.round(F.col("shares")[0], 6).alias("band"), *[F.round(f"centroid_{c}", 4).alias(c) for c in ("narrow", "voice", "wide")])
+
+
 @query("""
 select label, 100.0::double + 10.0 * label as hertz, 4000 as samples, 4757 as slow_samples, true as own_pitch, true as lowered_pitch from (select distinct label from embeddings)
 """)
