@@ -17,6 +17,13 @@ from pyspark.sql import types as T
 BLANK = r"(?U)[\s\x1c-\x1f]"
 BLANKS = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 FINGERPRINT_LENGTH = 10
+#: All boundaries of str.splitlines(); a carriage return and line feed are one.
+LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+#: Fixed value: the grammar of an utterance, 'Speaker: text'.
+UTTERANCE = r"(?U)^([A-Za-zÀ-ÿ][\w '\-À-ÿ]*)[\s\x1c-\x1f]*:[\s\x1c-\x1f]*([^\n]+)$"
+MARKUP = r"\[[^\]]*\]|\{[^}]*\}"
+NOT_IN_NAMES = r"(?U)[^\p{L}\p{N}\s\x1c-\x1f'_-]"
+FIRST_NAME = r"(?U)^[\s\x1c-\x1f'_-]*([\p{L}\p{N}]*)"
 #: Roles that speak with another role's voice.
 VOICE_FOLDERS = {"narrator": "arthur", "narrateur": "arthur", "note": "arthur"}
 #: Speech rate in characters a second, and the shortest expected duration.
@@ -65,14 +72,18 @@ def fingerprint(text: Column, normalised: bool = False) -> Column:
     return F.when(n == "", F.lit("")).otherwise(F.substring(F.sha2(n, 256), 1, FINGERPRINT_LENGTH))
 
 
-#: Without accents, and in lower case character by character: no rule that looks at a whole word, such as that of the final sigma.
-_unaccented = _unless_ascii(lambda x: "".join(c.lower() for c in unicodedata.normalize("NFD", x) if not unicodedata.combining(c)))
+def without_accents(x: str) -> str:
+    """Without accents, and in lower case character by character: no rule that looks at a whole word, such as that of the final sigma."""
+    return "".join(c.lower() for c in unicodedata.normalize("NFD", x) if not unicodedata.combining(c))
+
+
+_unaccented = _unless_ascii(without_accents)
 
 
 def role_of_speaker(name: Column) -> Column:
     """'José Álvarez' -> 'jose': no accents, first word, letters and digits only, lower case."""
-    plain = F.regexp_replace(_unaccented(name.cast("string")), r"(?U)[^\p{L}\p{N}\s\x1c-\x1f'_-]", "")
-    word = F.regexp_extract(plain, r"(?U)^[\s\x1c-\x1f'_-]*([\p{L}\p{N}]*)", 1)
+    plain = F.regexp_replace(_unaccented(name.cast("string")), NOT_IN_NAMES, "")
+    word = F.regexp_extract(plain, FIRST_NAME, 1)
     return F.lower(word)
 
 
@@ -101,7 +112,7 @@ def slug(text: Column, default: str = "voix", words: int = 4) -> Column:
 
 def strip_markup(text: Column) -> Column:
     """[..] and {..} become a blank; white space squeezed."""
-    return squeeze(F.regexp_replace(text, r"\[[^\]]*\]|\{[^}]*\}", " "))
+    return squeeze(F.regexp_replace(text, MARKUP, " "))
 
 
 def chapter_label(stem: Column) -> Column:

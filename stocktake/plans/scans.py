@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions import registered
 from ..functions import text as X
 from ..functions import vectors as V
 from ..operators import reconcile as R
@@ -79,6 +80,22 @@ def scan_role_lines(t):
     return timelines.role_lines(t.spark, _timelines(t), "narrator")
 
 
+@query(_SPOKEN + f"""
+select timeline, role, count(*) as n, count(distinct mark) as texts, min(cast(ligne as integer)) as first_line, max(case when role = 'narrator' then 'arthur' else role end || '/' || role || '_' || mark || '.ogg') as last_path
+from (select *, case when k % 2 = 0 then 'lea' else 'narrator' end as role, {sql_mark('texte')} as mark from said) group by all
+""")
+def roles_in_sql(t):
+    """What each role says in each timeline, asked in SQL with the registered functions."""
+    registered.register(t.spark)
+    return t.spark.sql(
+        """
+        with said as (select timeline, u.ligne, role_of_speaker(u.locuteur) as role, fingerprint(u.texte) as mark from (select timeline, utterances_of(content) as said from {files}) lateral view inline(said) u)
+        select timeline, role, count(*) as n, count(distinct mark) as texts, min(ligne) as first_line, max(clip_path(role, mark)) as last_path from said group by timeline, role
+        """,
+        files=timelines.read_whole(t.spark, _timelines(t), recursive=True),
+    )
+
+
 # JSON documents
 
 

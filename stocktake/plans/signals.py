@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import registered
 from ..functions import signal as G
 from ..functions import vectors as V
 from ..operators import match as M
@@ -63,6 +64,24 @@ def weighted_mix(t):
     return parts.select(F.posexplode(V.weighted_mix(F.col("parts"))).alias("pos", "value")).select("pos", F.round("value", 6).alias("value"))
 
 
+@query("""
+with e as (select label, vec_id // 8 as batch, 1.0::double + vec_id % 8 as weight, unnest(range(64)) as pos, unnest(embedding::double[]) as x from embeddings),
+m as (select label, batch, pos, sum(x * weight) / sum(weight) as v from e group by all)
+select label, batch, round(20 * log10(sqrt(avg(v * v)) + 1e-10), 6) as rms_db, round(max(v) filter (where pos = 63), 6) as last from m group by 1, 2
+""")
+def mixes_in_sql(t):
+    """Each label's vectors, mixed eight numbers at a time, asked in SQL with the registered functions."""
+    registered.register(t.spark)
+    return t.spark.sql(
+        """
+        with parts as (select label, vec_id div 8 as batch, collect_list(named_struct('weight', 1.0D + vec_id % 8, 'v', cast(embedding as array<double>))) as parts from {vectors} group by 1, 2),
+        mixes as (select label, batch, weighted_mix(parts) as v from parts)
+        select label, batch, round(rms_db(v), 6) as rms_db, round(v[63], 6) as last from mixes
+        """,
+        vectors=t.embeddings,
+    )
+
+
 @query("""
 with s as (select vec_id, embedding::double[] as v from embeddings)
 select vec_id, round(20 * log10(sqrt(list_dot_product(v, v) / 64) + 1e-10), 6) as rms_db,

@@ -11,11 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 
-#: All boundaries of str.splitlines(); a carriage return and line feed are one.
-LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
-#: Fixed value: the grammar of an utterance, 'Speaker: text'.
-UTTERANCE = r"(?U)^([A-Za-zÀ-ÿ][\w '\-À-ÿ]*)[\s\x1c-\x1f]*:[\s\x1c-\x1f]*([^\n]+)$"
-
 
 def read_whole(spark: SparkSession, path: str, recursive: bool = False, pattern: str = "*.dtl") -> DataFrame:
     """(path, timeline, content); a missing path is an error."""
@@ -26,8 +21,8 @@ def read_whole(spark: SparkSession, path: str, recursive: bool = False, pattern:
 
 def lines_of(content: Column) -> Column:
     """The lines of a text; an end of file after a break is no line."""
-    body = F.regexp_replace(content, f"(?:{LINE_BREAK})$", "")
-    return F.when(content == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK))
+    body = F.regexp_replace(content, f"(?:{X.LINE_BREAK})$", "")
+    return F.when(content == "", F.array().cast("array<string>")).otherwise(F.split(body, X.LINE_BREAK))
 
 
 def can_be_spoken(bare: Column) -> Column:
@@ -57,7 +52,7 @@ def spoken(lines: DataFrame, column: str = "line") -> DataFrame:
 def utterances(lines: DataFrame, column: str = "line") -> DataFrame:
     """locuteur, role, texte, id and chemin of each line that is an utterance; the fingerprint covers the raw text."""
     said = spoken(lines, column)
-    parsed = said.withColumn("locuteur", F.regexp_extract("bare", UTTERANCE, 1)).withColumn("texte", F.regexp_extract("bare", UTTERANCE, 2)).where("locuteur <> ''")
+    parsed = said.withColumn("locuteur", F.regexp_extract("bare", X.UTTERANCE, 1)).withColumn("texte", F.regexp_extract("bare", X.UTTERANCE, 2)).where("locuteur <> ''")
     keyed = parsed.withColumn("role", X.role_of_speaker(F.col("locuteur"))).withColumn("_mark", X.fingerprint(F.col("texte")))
     return keyed.withColumn("id", X.clip_id(F.col("role"), F.col("_mark"))).withColumn("chemin", X.clip_path(F.col("role"), F.col("_mark"))).drop("bare", "_mark", column)
 
