@@ -184,30 +184,48 @@ def key_terms(sides: DataFrame, min_score: float) -> list[str]:
     return sorted(r.term for r in keys.collect())  # of the templates, whatever the corpus
 
 
+def runs_of_equals(terms: str) -> Column:
+    """array<struct<term, tf>>: how often each is in a sorted array. Takes a column's name: a column that is worked out would be so for each element."""
+    here = F.col(terms)
+    starts = F.filter(F.sequence(F.lit(1), F.size(here)), lambda i: (i == 1) | (F.get(here, i - 2) != F.get(here, i - 1)))
+    # shifted by one, each start stands beside the next; the last beside the end
+    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))), F.array(F.size(here) + 1))
+    counts = F.transform(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda x: F.struct(F.get(here, x["a"] - 1).alias("term"), (x["b"] - x["a"]).alias("tf")))
+    return F.when(F.size(here) > 0, counts).otherwise(F.array().cast("array<struct<term:string,tf:int>>"))
+
+
 def may_reach(unit: Column, weights: dict[str, float], common: dict[str, float], min_score: float) -> Column:
-    """Whether the terms of a unit can have a cosine of min_score with a template.
+    """Whether a unit, struct(counts, known, usual), can have a cosine of min_score with a template.
 
     weights are those of the templates' terms, common those of the most frequent other terms: no other term weighs less.
     """
-    table = lambda d: (F.array(*map(F.lit, d)).cast("array<string>"), F.create_map(*[F.lit(x) for kv in d.items() for x in kv]).cast("map<string,double>"))
-    names, weight_of = table(weights)
-    often, least_of = table(common)
-    known, usual = F.array_intersect(unit, names), F.array_intersect(unit, often)
-    times = lambda t: F.size(F.filter(unit, lambda x: x == t))
-    own = F.aggregate(known, F.lit(0.0), lambda a, t: a + F.pow((F.log(times(t)) + 1) * F.try_element_at(weight_of, t), F.lit(2.0)))
-    rest = F.size(F.array_distinct(unit)) - F.size(known) - F.size(usual)
-    others = F.aggregate(usual, rest * F.lit(max(common.values(), default=1.0) ** 2), lambda a, t: a + F.pow(F.try_element_at(least_of, t), F.lit(2.0)))
+    table = lambda d: F.create_map(*[F.lit(x) for kv in d.items() for x in kv]).cast("map<string,double>")
+    square = lambda x: F.pow((F.log(x["tf"]) + 1) * F.try_element_at(table(weights), x["term"]), F.lit(2.0))
+    own = F.aggregate(F.filter(unit["counts"], lambda x: F.array_contains(unit["known"], x["term"])), F.lit(0.0), lambda a, x: a + square(x))
+    rest = F.size(unit["counts"]) - F.size(unit["known"]) - F.size(unit["usual"])
+    others = F.aggregate(unit["usual"], rest * F.lit(max(common.values(), default=1.0) ** 2), lambda a, t: a + F.pow(F.try_element_at(table(common), t), F.lit(2.0)))
     return own >= (min_score - 1e-4) ** 2 * (own + others)
 
 
+def that_may_reach(units: DataFrame, weights: dict[str, float], common: dict[str, float], min_score: float) -> DataFrame:
+    """The units that may reach the score, as rows of their terms, each with tf. units has the column terms; they are sorted and counted once, whatever their number."""
+    names = lambda d: F.array(*map(F.lit, d)).cast("array<string>")
+    kept = [c for c in units.columns if c != "terms"]
+    # generators hand on what was worked out once; expressions would be put in place of their names
+    ordered = units.select(*kept, F.explode(F.array(F.array_sort("terms"))).alias("terms"))
+    unit = F.struct(runs_of_equals("terms").alias("counts"), F.array_intersect("terms", names(weights)).alias("known"), F.array_intersect("terms", names(common)).alias("usual"))
+    reaching = ordered.select(*kept, F.explode(F.array(unit)).alias("u")).where(may_reach(F.col("u"), weights, common, min_score))
+    return reaching.select(*kept, F.explode("u.counts").alias("x")).select(*kept, "x.term", F.col("x.tf").cast("long").alias("tf"))
+
+
 def blocks_of(text: Column, wanted: Column) -> Column:
     """array<struct<line, said>>: the blocks of lines up to a blank one that hold a wanted term, with the number of their first line."""
-    # every line with its break before it; each blank line is one separator, so a block's first line follows from what is before
+    # every line with its break before it; each blank line is one separator, so that every block but the first begins after one
     pieces = F.split(F.concat(F.lit("\n"), text), BLANK_LINE)
-    sizes = F.transform(pieces, lambda p: F.length(p) - F.length(F.replace(p, F.lit("\n"), F.lit(""))))
-    hits = F.filter(F.transform(pieces, lambda p, j: F.struct(j.alias("j"), p.alias("p"))), lambda x: F.arrays_overlap(lines_terms(x["p"]), wanted))
-    before = lambda j: j + F.aggregate(F.slice(sizes, F.lit(1), j), F.lit(0), lambda a, n: a + n)
-    return F.transform(hits, lambda x: F.struct(before(x["j"]).alias("line"), F.substr(x["p"], F.lit(2)).alias("said")))
+    blank = F.filter(F.transform(F.split(text, "\n"), lambda x, i: F.when(F.translate(x, " \t\r", "") == "", i + 1)), F.isnotnull)
+    each = F.arrays_zip(F.concat(F.array(F.lit(0)), blank).alias("line"), pieces.alias("p"))
+    hits = F.filter(each, lambda x: F.arrays_overlap(lines_terms(x["p"]), wanted))
+    return F.transform(hits, lambda x: F.struct(x["line"].alias("line"), F.substr(x["p"], F.lit(2)).alias("said")))
 
 
 def lines_terms(text: Column) -> Column:
@@ -226,9 +244,8 @@ def unit_terms(rows: DataFrame, keys: list[str], weights: dict[str, float], comm
     lines = blocks.select("_row", "line", each_line).select("_row", F.lit("line").alias("unit"), (F.col("line") + F.col("i")).alias("line"), "terms")
     several = blocks.where(F.contains("said", F.lit("\n"))).select("_row", F.lit("block").alias("unit"), "line", F.explode(F.array(lines_terms(F.col("said")))).alias("terms"))
     whole = rows.where(F.rlike("path", F.lit(NAMED))).select("_row", F.lit("whole").alias("unit"), F.lit(0).alias("line"), F.explode(F.array(lines_terms(F.col("text")))).alias("terms"))
-    units = lines.unionByName(several).unionByName(whole).where(F.arrays_overlap("terms", wanted)).where(may_reach(F.col("terms"), weights, common, min_score))
-    each = units.select("_row", "unit", "line", F.explode("terms").alias("term"))
-    return each.groupBy("_row", "unit", "line", "term").agg(F.count(F.lit(1)).alias("tf"))
+    units = lines.unionByName(several).unionByName(whole).where(F.arrays_overlap("terms", wanted))
+    return that_may_reach(units, weights, common, min_score)
 
 
 def unit_scores(counted: DataFrame, frequency: DataFrame, sides: DataFrame, total: int, min_score: float) -> DataFrame:
@@ -297,15 +314,16 @@ def scan_licenses(df: DataFrame, min_score: float = 0.6, id_col: str = "doc_id",
 
 
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files: source/thousands/hundreds/id, where a round thousand stands in its source's directory and a round hundred in its thousand's."""
+    """Documents as files: source/thousands/hundreds/id. Round hundreds are licence files: a round thousand in its source's directory, any other in its thousand's."""
     i = F.col("doc_id")
-    path = F.when(i % 1000 == 0, F.concat_ws("/", "source", i.cast("string"))).when(i % 100 == 0, F.concat_ws("/", "source", F.expr("string(doc_id div 1000)"), i.cast("string")))
+    licence = F.concat(F.lit("LICENSE-"), i.cast("string"))
+    path = F.when(i % 1000 == 0, F.concat_ws("/", "source", licence)).when(i % 100 == 0, F.concat_ws("/", "source", F.expr("string(doc_id div 1000)"), licence))
     path = path.otherwise(F.concat_ws("/", "source", F.expr("string(doc_id div 1000)"), F.expr("string(doc_id div 100)"), i.cast("string")))
     return scan_licenses(stack(spark, sf_dir, "documents").withColumn("path", path))
 
 
 def _sql() -> str:
-    """Every line and every block against every template, without the bound."""
+    """Every line, every block and every whole licence file against every template, without the bound."""
     quoted = lambda x: "'" + x.lower().replace("'", "''") + "'"
     values = ", ".join(f"({i}, '{k}', {quoted(v)})" for i, (k, v) in enumerate(TEMPLATES))
     return f"""
@@ -320,6 +338,8 @@ with total as (select count(*) as n from documents
 ), units as (
   select doc_id, 'l' || line as unit, line, terms from marked
   union all
+  select doc_id, 'w', 0, terms from marked where doc_id % 100 = 0
+  union all
   select doc_id, 'b' || block, first_line, terms from (select *, min(line) over w as first_line, count(*) over w as n from marked window w as (partition by doc_id, block)) where n > 1
 ), counted as (
   select doc_id, unit, line, term, count(*) as tf from (select doc_id, unit, line, unnest(terms) as term from units) group by all
@@ -345,7 +365,7 @@ with total as (select count(*) as n from documents
               else source || '/' || (d.doc_id // 1000) || '/' || (d.doc_id // 100) end as dir
   from documents d left join best b on d.doc_id = b.doc_id
 ), speaking as (
-  select dir, arg_min(license, doc_id) as license from files where license is not null and line = 0 group by dir
+  select dir, arg_min(license, doc_id) as license from files where license is not null and (line = 0 or doc_id % 100 = 0) group by dir
 ), above as (
   select dir, unnest(range(1, len(string_split(dir, '/')) + 1)) as depth from (select distinct dir from files)
 ), nearest as (
@@ -353,7 +373,7 @@ with total as (select count(*) as n from documents
   join speaking s on s.dir = array_to_string(string_split(a.dir, '/')[1:a.depth], '/')
   qualify row_number() over (partition by a.dir order by a.depth desc) = 1
 )
-select f.doc_id, f.dir || '/' || f.doc_id as path, coalesce(f.license, n.license) as license,
+select f.doc_id, f.dir || '/' || case when f.doc_id % 100 = 0 then 'LICENSE-' else '' end || f.doc_id as path, coalesce(f.license, n.license) as license,
        case when f.license is not null then 'stated' when n.license is not null then 'inherited' else 'none' end as how,
        f.score, f.line, case when f.license is null then n.licensed_by end as licensed_by
 from files f left join nearest n on f.dir = n.dir

@@ -131,3 +131,34 @@ def test_blocks(spark):
                     want.append((own[0][0], "\n".join(x for _, x in own)))
                 own = []
         assert got[i] == want, text
+
+
+def test_very_long_texts(spark):
+    """100,000 blocks, all of which mention a licence; one line of 200,000 words; a licence file of 200,000 words."""
+    import time
+
+    words = " ".join(f"w{i}" for i in range(200_000))
+    rows = [(1, "no license here\n\n" * 100_000 + "Released under the MIT License.", "a/x"), (2, words + " license", "b/x"), (3, words + "\nlicense", "c/LICENSE"), (4, "license " * 200_000, "d/NOTICE")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, path string").repartition(4)
+    began = time.time()
+    got = {r.doc_id: (r.license, r.line) for r in L.scan_licenses(df).collect()}
+    assert got[1] == ("MIT", 200_000) and got[2] == got[3] == (None, None) and len(got) == 4
+    assert time.time() - began < 120
+
+
+def test_counts_of_terms(spark):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    rows = [(0, []), (1, ["a"]), (2, ["a", "a", "b"]), (3, ["a", "b", "b", "c", "c", "c"])]
+    df = spark.createDataFrame(rows, "i int, terms array<string>")
+    for r in df.select("i", "terms", L.runs_of_equals("terms").alias("n")).collect():
+        assert dict(map(tuple, r.n)) == Counter(r.terms)
+
+
+def test_licence_files_of_the_query_are_compared_whole(spark):
+    df = L.op10_license_scans(spark, SF)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    named = df.where(df.path.rlike(L.NAMED))
+    assert named.count() == docs.where("doc_id % 100 = 0").count() > 0 and df.count() == docs.count()
