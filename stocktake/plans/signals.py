@@ -162,7 +162,7 @@ cep as (select {key}, n, avg(v) as c from (select {key}, st, n, sum(v * cos(pi()
   from energy cross join (select unnest([0, 1, 12]) as n) group by {key}, st, n) group by all),
 level as (select {key}, 20 * log10(sqrt(avg(x * x)) + 1e-10) as db from s group by 1)
 select l.{key}, round(coalesce(m, 0), 4) as f0_median, round(coalesce(spread, 0), 4) as f0_spread, round(db, 4) as rms_db, round(coalesce(voiced, 0), 4) as voiced,
-       round(coalesce(max(c) filter (where n = 0), 0), 4) as mfcc0, round(coalesce(max(c) filter (where n = 1), 0), 4) as mfcc1, round(coalesce(max(c) filter (where n = 12), 0), 4) as mfcc12
+       round(coalesce(max(c) filter (where n = 0), 0), 4) + 0.0::double as mfcc0, round(coalesce(max(c) filter (where n = 1), 0), 4) + 0.0::double as mfcc1, round(coalesce(max(c) filter (where n = 12), 0), 4) + 0.0::double as mfcc12
 from level l left join pitch using ({key}) left join cep using ({key}) group by l.{key}, m, spread, db, voiced
 """
 
