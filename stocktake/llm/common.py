@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,10 @@ M64 = 0xFFFFFFFFFFFFFFFF
 HOT_KEYS = 20_000
 ROWS_PER_RANGE = 1_000_000
 SLICE_BYTES = 8 << 20
+#: Spark's setting that a query's shuffle files go when it ends, not when the driver's memory next happens to be collected.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: The open blocks of passing(): what was staged in each.
+_passing: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -48,10 +53,38 @@ def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """staged(), and the folder, which drop_staged() takes once nothing reads it any more."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    if _passing:
+        _passing[-1].append(path)
+    was = spark.conf.get(SHUFFLES_GO, "false")
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLES_GO, was)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """What is staged() inside is deleted at the end, but for what is lasting()."""
+    _passing.append([])
+    try:
+        yield
+    finally:
+        for path in _passing.pop():
+            drop_staged(spark, path)
+
+
+def lasting(df: DataFrame, name: str) -> DataFrame:
+    """staged() for the block around the innermost passing() one: it outlives that."""
+    inner = _passing[-1:]
+    del _passing[-1:]
+    try:
+        return staged(df, name)
+    finally:
+        _passing.extend(inner)
+
+
 def drop_staged(spark: SparkSession, path: str) -> None:
     """Delete one folder of staged_at()."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

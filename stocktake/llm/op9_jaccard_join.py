@@ -27,7 +27,12 @@ are listed by the positions of a further, independent cut, in which linked sets
 take the long one's place. That repeats as long as it leaves a quarter of the pairs or fewer.
 
 Equal sets are one set from the start. Lists are sorted streams over ranges of (list, set): no list is held in memory,
-and a long one is in many tasks, whose first sets are joined up. Joins split hot keys. What stays quadratic is the number
+and a long one is in many tasks, whose first sets are joined up. Joins split hot keys.
+
+Disk. The two large shuffles, of the lists' entries and of the blocks' sets, go in passes by the hash of a list or of a pair of
+blocks; shuffle files go with the query they are of, and tables on the way when the last query that reads them is done.
+
+What stays quadratic is the number
 of pairs of blocks of a list whose sets agree in most slices and yet don't link, a block being BLOCK sets.
 """
 
@@ -43,7 +48,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import HOT_KEYS, WordHash, arrow_map, col, list_array, mix64, out_batch, spread_join, spread_on, stack, staged, texts, tidy
+from .common import HOT_KEYS, WordHash, arrow_map, col, lasting, list_array, mix64, out_batch, passing, spread_join, spread_on, stack, staged, texts, tidy
 
 SHINGLE = 3
 SIMILARITY = 90  # per cent
@@ -53,6 +58,8 @@ BLOCK = 1024
 LONG = 16 * BLOCK  # sets of other components that a set of a list has on average, from which on the list is cut anew
 MEMBERS = 256  # sets verified against one copy of a leader's text
 BROADCAST_IDS = 300_000
+PASSES = 4  # that a large shuffle is cut into: its files on disk at once are a fourth
+PASS_ROWS = 250_000  # fewer rows than that are no pass of their own
 
 
 def shingles(words: list[bytes], known: WordHash, size: int = SHINGLE) -> np.ndarray:
@@ -157,10 +164,15 @@ def sets_of(df: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY)
     return arrow_map(df.select("id", "text"), look, schema)
 
 
-def first_pairs(sets: DataFrame) -> DataFrame:
+def passes_of(rows: int | None) -> int:
+    """How many passes a shuffle of so many rows goes in."""
+    return min(PASSES, 1 + (rows or 0) // PASS_ROWS)
+
+
+def first_pairs(sets: DataFrame, passes: int = 1) -> DataFrame:
     """(list, first, other): each set of an index list of two sets or more, with a first set of the list.
 
-    A list that lies in several ranges has a first set in each, and pairs of the first of all with these.
+    A list that lies in several ranges has a first set in each, and pairs of the first of all with these. Each pass has its share of the lists.
     """
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,11 +204,14 @@ def first_pairs(sets: DataFrame) -> DataFrame:
         return out_batch(list=pa.array([name], pa.int64()), first=pa.array([first], pa.int64()), other=pa.array([None], pa.int64()))
 
     entries = sets.select(F.explode("lists").alias("list"), "set")
-    spread = entries.repartitionByRange("list", "set").sortWithinPartitions("list", "set")
-    found = staged(spread.mapInArrow(tidy(stream), "list long, first long, other long"), "list-pairs")
+    found = None
+    for i in range(passes):
+        spread = entries.where(F.pmod("list", F.lit(passes)) == i).repartitionByRange("list", "set").sortWithinPartitions("list", "set")
+        part = lasting(spread.mapInArrow(tidy(stream), "list long, first long, other long"), "list-pairs")
+        found = part if found is None else found.unionByName(part)
     open_ = found.where("other is null").select("list", F.col("first").alias("other")).distinct()  # two for each range
     firsts = open_.groupBy("list").agg(F.min("other").alias("first"))
-    return found.where("other is not null").unionByName(staged(open_.join(firsts, "list").where("first <> other").select("list", "first", "other"), "list-ends"))
+    return found.where("other is not null").unionByName(lasting(open_.join(firsts, "list").where("first <> other").select("list", "first", "other"), "list-ends"))
 
 
 def may_link(a: str, b: str, similarity: int = SIMILARITY) -> F.Column:
@@ -215,7 +230,7 @@ def linked(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, similarity
     keyed = keyed.select("a", "sa", "b", "sb", F.pmod(F.xxhash64("b"), F.floor(F.col("_n") / MEMBERS) + 1).alias("part"))
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    needed = docs.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    needed = docs.join(F.broadcast(ids), "id", "left_semi") if few else staged(docs.join(ids, "id", "left_semi"), "needed")
     none = F.lit(None).cast("long")
     heads = keyed.select("a", "sa", "part").distinct().join(needed, F.col("a") == F.col("id")).select("a", "sa", "part", none.alias("b"), none.alias("sb"), "text")
     tails = keyed.join(needed, F.col("b") == F.col("id")).select("a", "sa", "part", "b", "sb", "text")
@@ -266,12 +281,13 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def block_pairs(members: DataFrame, similarity: int) -> DataFrame:
-    """(list, lo, hi): pairs of blocks of a list, or a block and itself, that may hold a link between components.
+    """(list, lo, hi, held): pairs of blocks of a list, or a block and itself, that may hold a link between components, and how many sets to send.
 
     members: (list, block, component, n, bits). Bounds of a block: its sizes, the bits that all and that any of its sets have.
     """
     word = lambda i: F.col("bits")[i]
     bounds = members.groupBy("list", "block").agg(
+        F.count(F.lit(1)).alias("k"),
         F.min("n").alias("least"),
         F.max("n").alias("most"),
         F.min("component").alias("from"),
@@ -288,7 +304,8 @@ def block_pairs(members: DataFrame, similarity: int) -> DataFrame:
     near = (100 + similarity) * apart <= (100 - similarity) * (F.col("p.most") + F.col("q.most"))
     several = F.least("p.from", "q.from") < F.greatest("p.to", "q.to")
     both = p.join(q, (F.col("p.list") == F.col("q.list")) & (F.col("p.block") <= F.col("q.block"))).where(several & fits & near)
-    return both.select(F.col("p.list").alias("list"), F.col("p.block").alias("lo"), F.col("q.block").alias("hi"))
+    held = F.when(F.col("p.block") == F.col("q.block"), F.col("p.k")).otherwise(F.col("p.k") + F.col("q.k"))
+    return both.select(F.col("p.list").alias("list"), F.col("p.block").alias("lo"), F.col("q.block").alias("hi"), held.alias("held"))
 
 
 def further_cut(sets: DataFrame, docs: DataFrame, level: int, shingle: int, similarity: int) -> DataFrame:
@@ -371,9 +388,7 @@ def unresolved_pairs(pairs: DataFrame, info: DataFrame, docs: DataFrame, shingle
     pool = F.xxhash64(F.lit("pool"), sizes, F.pmod(F.xxhash64("set"), F.ceil(F.col("_small") / BLOCK)))
     blocked = each.withColumn("block", F.when(F.col("_of") >= BLOCK, own).otherwise(pool))
     blocked = staged(blocked.select("list", "block", "set", "n", "bits", "id", "component"), "open-blocks")
-    units = staged(block_pairs(blocked, similarity), "block-pairs")
-    sides = units.select("list", F.col("lo").alias("block"), "lo", "hi").union(units.where("lo <> hi").select("list", F.col("hi").alias("block"), "lo", "hi"))
-    rows = blocked.join(sides, ["list", "block"]).repartition("list", "lo", "hi").sortWithinPartitions("list", "lo", "hi")
+    every = staged(block_pairs(blocked, similarity), "block-pairs")
 
     def compare(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
         rows.sort(key=lambda r: r["n"])
@@ -409,7 +424,14 @@ def unresolved_pairs(pairs: DataFrame, info: DataFrame, docs: DataFrame, shingle
         if held:
             yield out_batch(**dict(zip(("a", "sa", "b", "sb"), compare(held), strict=True)))
 
-    return rows.mapInArrow(tidy(stream), "a long, sa long, b long, sb long").where("a < b").distinct()
+    found, passes = None, passes_of(every.agg(F.sum("held")).first()[0])
+    for i in range(passes):
+        units = every.where(F.pmod(F.xxhash64("list", "lo", "hi"), F.lit(passes)) == i)
+        sides = units.select("list", F.col("lo").alias("block"), "lo", "hi").union(units.where("lo <> hi").select("list", F.col("hi").alias("block"), "lo", "hi"))
+        rows = blocked.join(sides, ["list", "block"]).repartition("list", "lo", "hi").sortWithinPartitions("list", "lo", "hi")
+        part = staged(rows.mapInArrow(tidy(stream), "a long, sa long, b long, sb long").where("a < b").distinct(), "late-pairs")
+        found = part if found is None else found.unionByName(part)
+    return found.distinct()
 
 
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
@@ -421,10 +443,22 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     empty table gives an empty result. Other columns are ignored. Ids are integers.
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sets = staged(sets_of(docs, shingle, similarity), "sets")
-    whole = sets.where("set is not null and id is not null")
+    spark = df.sparkSession
+    with passing(spark):
+        with passing(spark):
+            listed = staged(sets_of(docs, shingle, similarity), "set-lists")
+            sets = lasting(listed.select("id", "n", "set", "bits"), "sets")
+            whole = sets.where("set is not null and id is not null")
+            pairs = first_pairs(listed.where("set is not null and id is not null"), passes_of(whole.agg(F.sum("n")).first()[0]))
+        own = lasting(with_components(whole, pairs, docs, shingle, similarity), "components")
+        bare = lasting(sets.where("set is null or id is null").select("id", "n", F.col("id").alias("component")), "unlinked")
+    found = own.unionByName(bare)
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def with_components(whole: DataFrame, pairs: DataFrame, docs: DataFrame, shingle: int, similarity: int) -> DataFrame:
+    """(id, n, component) of each row of whole (id, n, set, bits), which has a set and an id; pairs: first_pairs() of them."""
     info = staged(whole.groupBy("set").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "distinct-sets")
-    pairs = first_pairs(whole)
     once = staged(pairs.select("first", "other").distinct(), "first-pairs")
     named = lambda x, key: info.select(F.col("set").alias(key), F.col("id").alias(f"{x}_id"), F.struct("n", "bits").alias(x))
     some = spread_on(once, named("p", "first"), "first").join(named("q", "other"), "other").where(may_link("p", "q", similarity))
@@ -439,17 +473,16 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         late = staged(linked(more, docs, shingle, similarity), "late-verified")
         groups = components(links.unionByName(late))
         known = info.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    own = spread_on(sets.where("set is not null and id is not null").select("id", "n", "set"), known.select("set", "component"), "set")
-    bare = sets.where("set is null or id is null").select("id", "n", F.col("id").alias("component"))
-    found = own.select("id", "n", "component").unionByName(bare)
-    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+    return spread_on(whole.select("id", "n", "set"), known.select("set", "component"), "set").select("id", "n", "component")
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
     """df with one document of each group of linked documents: the one with the smallest id. Rows without an id stay."""
-    groups = similar_groups(df, id_col, text_col, shingle, similarity)
-    gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return df.join(gone, df[id_col].cast("long") == gone["_gone"], "left_anti")
+    with passing(df.sparkSession):
+        groups = similar_groups(df, id_col, text_col, shingle, similarity)
+        gone = lasting(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "copies")
+    few = gone.count() <= BROADCAST_IDS
+    return df.join(F.broadcast(gone) if few else gone, df[id_col].cast("long") == gone["_gone"], "left_anti")
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

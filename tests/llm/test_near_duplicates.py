@@ -1,13 +1,14 @@
 """The Jaccard join with other shingles and similarities than the query's, against brute force."""
 
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stocktake.llm import op9_jaccard_join
+from stocktake.llm import common, op9_jaccard_join
 from stocktake.llm.common import stack, staged
 
 from . import brute
@@ -135,3 +136,26 @@ def test_lists_in_several_ranges(spark, rows):
         assert name == 7
         root[find(a)] = find(b)
     assert len({find(x) for x in root}) == 1 and len(pairs) < 520 and len({a for _, a, _ in pairs}) > 1
+
+
+def test_passes_find_the_same(frame, rows, small_docs, nasty_docs, monkeypatch):
+    """However many passes the shuffles go in, the groups are the same."""
+    docs = small_docs + nasty_docs + [(10_000 + i, t, "a") for i, t in enumerate(unlike_texts(120, 30))]
+    monkeypatch.setattr(op9_jaccard_join, "PASS_ROWS", 1)
+    got = op9_jaccard_join.similar_groups(frame(docs), shingle=5, similarity=80)
+    assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(brute.groups([(d, t) for d, t, _ in docs], 5, 80), key=repr)
+
+
+def test_disk_is_given_back(spark, frame, small_docs, nasty_docs):
+    """Of the stage's tables on the way only what its result reads is left, and of what staged() writes no shuffle files."""
+    shared = Path(common.shared_dir(spark).removeprefix("file://"))
+    held = lambda: {p.name for p in shared.glob("*")}
+    shuffles = lambda: spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    docs = frame(small_docs + nasty_docs)
+    before = held()
+    kept = op9_jaccard_join.keep_first(docs, shingle=5, similarity=80)
+    assert [n.rsplit("-", 1)[0] for n in held() - before] == ["copies"]
+    assert kept.count() < docs.count()
+    alive = shuffles()
+    common.staged(docs.repartition(7, "doc_id").groupBy("source").count(), "test-shuffle")
+    assert shuffles() <= alive
