@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+GUARD = 1e-10
+
 
 def total(v: Column) -> Column:
     return F.aggregate(v, F.lit(0.0), lambda a, x: a + x)
@@ -20,7 +22,7 @@ def norm(v: Column) -> Column:
 
 def cosine(a: Column, b: Column) -> Column:
     """Cosine with 1e-10 added to the denominator, so that zero vectors give 0."""
-    return dot(a, b) / (norm(a) * norm(b) + F.lit(1e-10))
+    return dot(a, b) / (norm(a) * norm(b) + F.lit(GUARD))
 
 
 def weighted_mix(parts: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,6 +13,9 @@ from ..functions import vectors as V
 from .cohesion import least_cosine
 from .rows import first_of
 
+SHORT = 1e-3  # norm under which the guard of a cosine counts
+TERMS = 3  # of the guard's series
+
 
 def _cuttable(column: Column, kind: T.DataType) -> Column:
     """A number in the order of the column, for cutting it into runs."""
@@ -105,9 +110,37 @@ def mean_cohesion(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
 
 
 def proximity(candidates: DataFrame, references: DataFrame, on: str, candidate: str, reference: str, vector: str) -> DataFrame:
-    """(candidate, reference, proximity): mean cosine over the utterances both have."""
-    a, b = candidates.select(candidate, on, F.col(vector).alias("_a")), references.select(reference, on, F.col(vector).alias("_b"))
-    return a.join(b, on).groupBy(candidate, reference).agg(F.avg(V.cosine(F.col("_a"), F.col("_b"))).alias("proximity"))
+    """(candidate, reference, proximity): mean cosine over the pairs of their utterances that have the same `on`.
+
+    The cosines of all pairs of two groups of vectors add up to the product of the groups' sums of unit vectors. The 1e-10
+    that V.cosine() has in the denominator is a series in it, of which three terms leave less than 1e-12 where no vector is
+    shorter than SHORT. So groups meet, not pairs; only vectors that are shorter, but not zero, are compared one by one.
+    Vectors of other lengths, or with nulls, have no cosine.
+    """
+    side = lambda df, key: df.select(key, on, F.col(vector).alias("_v"), F.size(vector).alias("_size"), V.norm(F.col(vector)).alias("_n"))
+    a, b = side(candidates, candidate), side(references, reference)
+    short = (F.col("_n") > 0) & (F.col("_n") < SHORT)
+    groups = _unit_sums(a.where(~short), [candidate, on]).join(_unit_sums(b.where(~short), [reference, on]).withColumnsRenamed({f"_s{j}": f"_t{j}" for j in range(TERMS)} | {"_k": "_l"}), [on, "_size"])
+    terms = [F.lit((-V.GUARD) ** j) * F.coalesce(V.dot(F.col(f"_s{j}"), F.col(f"_t{j}")), F.lit(0.0)) for j in range(TERMS)]
+    sums = groups.select(candidate, reference, reduce(lambda x, y: x + y, terms).alias("_sum"), (F.col("_k") * F.col("_l")).alias("_pairs"))
+    one = lambda x, y: x.join(y.withColumnsRenamed({"_v": "_w", "_n": "_m"}), [on, "_size"]).select(candidate, reference, V.cosine(F.col("_v"), F.col("_w")).alias("_sum"), F.lit(1).cast("long").alias("_pairs")).where("_sum is not null")
+    some_a, some_b = (x.where(short).limit(1).count() for x in (a, b))
+    if some_a:
+        sums = sums.unionByName(one(a.where(short), b))
+    if some_b:
+        sums = sums.unionByName(one(a.where(~short), b.where(short)))
+    met = a.select(candidate, on).distinct().join(b.select(reference, on).distinct(), on).select(candidate, reference, F.lit(None).cast("double").alias("_sum"), F.lit(None).cast("long").alias("_pairs")).distinct()
+    total = sums.unionByName(met).groupBy(candidate, reference).agg(F.sum("_sum").alias("_sum"), F.sum("_pairs").alias("_pairs"))
+    return total.select(candidate, reference, (F.col("_sum") / F.col("_pairs")).alias("proximity"))
+
+
+def _unit_sums(vectors: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, _size, _k, _s0, _s1, ...: how many vectors of a length, and the sums of their unit vectors over powers of their norms."""
+    each = vectors.where("_n is not null").select(*keys, "_size", "_n", F.posexplode_outer("_v").alias("_i", "_x"))
+    over = [F.when(F.col("_n") > 0, F.col("_x") / F.col("_n") / F.pow("_n", F.lit(float(j)))).otherwise(0.0) for j in range(TERMS)]
+    dims = each.groupBy(*keys, "_size", "_i").agg(F.count(F.lit(1)).alias("_k"), *[F.sum(x).alias(f"_s{j}") for j, x in enumerate(over)])
+    whole = dims.groupBy(*keys, "_size").agg(F.max("_k").alias("_k"), F.array_sort(F.collect_list(F.struct("_i", *[f"_s{j}" for j in range(TERMS)]))).alias("_all"))
+    return whole.select(*keys, "_size", "_k", *[F.col(f"_all._s{j}").alias(f"_s{j}") for j in range(TERMS)])
 
 
 def worst_proximity(near: DataFrame, candidate: str, reference: str) -> DataFrame:

@@ -1,9 +1,11 @@
 """Order, ties, empty groups and guards."""
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from stocktake.functions import vectors as V
 from stocktake.operators import match as M
 from stocktake.operators import reconcile as R
 from stocktake.operators import rows, stats
@@ -167,3 +169,24 @@ def test_another_lot_is_reused_whole_or_not_at_all(spark):
     with pytest.raises(Exception, match="expected rows are missing"):
         reconcile.reuse_or_generate(wanted, lot, ["k"], True).collect()
     assert [tuple(r) for r in reconcile.reuse_or_generate(wanted.where("k = 1"), lot, ["k"], True).collect()] == [(1, "a", "x", "reused")]
+
+
+def test_proximity_of_groups(spark):
+    """Groups' sums give the mean cosine of all pairs: also with zero, short, null, empty and unequally long vectors."""
+    rng = np.random.default_rng(7)
+    vectors = [(["c0", "c1", "r0", "r1", "r2"][i % 5], i % 3, [float(x) for x in rng.normal(size=4) * 10.0 ** rng.integers(-7, 3)]) for i in range(150)]
+    vectors += [("c0", 1, [0.0] * 4), ("r0", 1, [0.0] * 4), ("c1", 2, None), ("r1", 2, [1.0, None, 2.0, 3.0]), ("r2", 2, [1.0, 2.0]), ("c0", 2, []), ("r0", 2, []), ("c9", 0, None)]
+    df = spark.createDataFrame(vectors, "who string, u int, v array<double>")
+    c, r = df.where("who like 'c%'").withColumnRenamed("who", "c"), df.where("who like 'r%'").withColumnRenamed("who", "r")
+    got = {(x.c, x.r): x.proximity for x in M.proximity(c, r, "u", "c", "r", "v").collect()}
+    pairs = c.join(r.withColumnRenamed("v", "w"), "u").groupBy("c", "r").agg(F.avg(V.cosine(F.col("v"), F.col("w"))).alias("p"))
+    want = {(x.c, x.r): x.p for x in pairs.collect()}
+    assert got.keys() == want.keys() and all(want[k] is None if got[k] is None else abs(got[k] - want[k]) < 1e-10 for k in got)
+
+
+def test_proximity_makes_no_pairs(spark, monkeypatch):
+    """However many vectors two groups have, no cosine of a pair is asked for."""
+    df = spark.range(4000).select((F.col("id") % 2).alias("who"), F.lit(0).alias("u"), F.array(F.lit(1.0), F.col("id").cast("double")).alias("v"))
+    c, r = df.where("who = 0").withColumnRenamed("who", "c"), df.where("who = 1").withColumnRenamed("who", "r")
+    monkeypatch.setattr(V, "cosine", lambda a, b: pytest.fail("a pair is compared"))
+    assert M.proximity(c, r, "u", "c", "r", "v").count() == 1
